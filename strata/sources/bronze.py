@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from strata.operators.shape import require_columns
 from strata.sources.metadata import NO_WATERMARK
 
+_DAY_FOLDERS = {"year": "yyyy", "month": "MM", "day": "dd"}
+
 
 def extract_full(source: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The configured columns of all rows."""
@@ -39,9 +41,18 @@ def bronze_path(root: str, source_system: str, source_object: str) -> str:
     return f"{root.rstrip('/')}/Bronze/{source_system}/{source_object}"
 
 
-def write_bronze(df: DataFrame, path: str, load_ts: datetime) -> None:
-    """Append one copy to the folder of its load day."""
-    df.write.mode("append").option("compression", "snappy").parquet(f"{path}/{load_ts:year=%Y/month=%m/day=%d}")
+def write_bronze(df: DataFrame, path: str, load_ts: datetime | None = None) -> None:
+    """Append one copy to the folder of its load day.
+
+    Without ``load_ts`` each row goes to the day of its ``audit_ts``, for a history of copies.
+    """
+    if load_ts is not None:
+        df.write.mode("append").option("compression", "snappy").parquet(f"{path}/{load_ts:year=%Y/month=%m/day=%d}")
+        return
+    day = {name: F.date_format("audit_ts", pattern) for name, pattern in _DAY_FOLDERS.items()}
+    # Few files per day, while a day with many rows still spreads over several tasks.
+    dated = df.withColumns(day).hint("rebalance", *day)
+    dated.write.mode("append").option("compression", "snappy").partitionBy(*day).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
