@@ -18,6 +18,7 @@ from strata.operators.scd import (
     dimension_schema,
     fill_inferred,
     infer_members,
+    new_members,
     scd1_next,
     scd2_next,
     scd2_recalc,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import hash_expr, with_sales_measures
 from strata.operators.changes import restrict_to
-from strata.operators.keys import add_surrogate_key, max_skey
+from strata.operators.keys import add_surrogate_key
 from strata.operators.latest import keep_latest
 from strata.operators.merge import merge_delete
 
@@ -102,20 +102,20 @@ def replace_by_key(
     skey: str = FACT_SKEY,
     order: Sequence[str] = (*FACT_KEYS, "hash_key"),
     keep_skeys: bool = True,
-    start: int | None = None,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows with those of the staged keys replaced.
 
     A replaced row keeps its surrogate key and only new rows are numbered, from the largest
     key in use. ``keep_skeys=False`` numbers every staged row, from the largest key of the
-    rows that stay. ``start`` overrides where numbering begins.
+    rows that stay. When ``fact`` is only a part of the table, ``numbered`` is all of it.
     """
+    everything = fact if numbered is None else numbered
     kept = merge_delete(fact, staged, ["hash_key"])
     if not keep_skeys:
-        first = max_skey(kept, skey) if start is None else start
-        return kept.unionByName(add_surrogate_key(staged, skey, order, start=first).select(*fact.columns))
-    first = max_skey(fact, skey) if start is None else start
+        stays = kept if numbered is None else merge_delete(numbered, staged, ["hash_key"])
+        return kept.unionByName(add_surrogate_key(staged, skey, order, after=stays).select(*fact.columns))
     known = staged.join(fact.select("hash_key", skey), "hash_key", "left")
     replaced = known.filter(F.col(skey).isNotNull()).select(*fact.columns)
-    new = add_surrogate_key(known.filter(F.col(skey).isNull()), skey, order, start=first)
+    new = add_surrogate_key(known.filter(F.col(skey).isNull()), skey, order, after=everything)
     return kept.unionByName(replaced).unionByName(new.select(*fact.columns))

@@ -53,14 +53,17 @@ def max_skey(df: DataFrame | None, column: str) -> int:
     return df.agg(F.coalesce(F.max(column), F.lit(0)).cast("long")).first()[0]
 
 
-def add_surrogate_key(df: DataFrame, skey: str, order: Sequence[str], *, start: int = 0) -> DataFrame:
+def add_surrogate_key(
+    df: DataFrame, skey: str, order: Sequence[str], *, start: int = 0, after: DataFrame | None = None
+) -> DataFrame:
     """Number the rows ``start+1, start+2, ...`` in the given order, without one global task.
 
     The rows are range-partitioned and sorted by ``order`` and written out once with their
     partition and position; the number is then the position plus the row count of all
     earlier partitions. What is broadcast is one row per partition, whatever the data size.
     Writing first keeps numbers stable: a retried task would otherwise sample new ranges.
-    ``order`` must be a total order for the numbering to be repeatable.
+    ``order`` must be a total order for the numbering to be repeatable. With ``after``,
+    numbering goes on from the largest ``skey`` of that frame.
     """
     require_columns(df, order)
     by = [F.col(c).asc() for c in order]
@@ -70,12 +73,13 @@ def add_surrogate_key(df: DataFrame, skey: str, order: Sequence[str], *, start:
     )
     part = F.shiftright("_place", _ROW_BITS).cast("int")
     position = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    if after is not None:
+        # The numbers in use count like a partition before the first one.
+        used = F.coalesce(F.max(skey), F.lit(0)).cast("long")
+        sizes = sizes.unionByName(after.agg(used.alias("_rows")).select(F.lit(-1).alias("_part"), "_rows"))
     earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     number = F.lit(start).cast("long") + F.col("_offset") + position + 1
     return numbered.select(number.alias(skey), *[c for c in df.columns if c != skey])

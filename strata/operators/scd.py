@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from strata.functions import blank_to_null
 from strata.operators.changes import CHANGED, NEW, SAME, restrict_to
-from strata.operators.keys import add_surrogate_key, max_skey, with_hash_key
+from strata.operators.keys import add_surrogate_key, with_hash_key
 from strata.operators.merge import merge_delete, merge_update
 from strata.operators.shape import align_to, require_columns
 
@@ -79,26 +79,35 @@ def classify_members(staged: DataFrame, dim: DataFrame, skey: str) -> DataFrame:
     return staged.drop(skey).join(active, "hash_key", "left").select(*staged.columns, skey, change.alias("change_type"))
 
 
+def new_members(members: DataFrame, dim: DataFrame, *, skey: str, keys: Sequence[str], now: Column) -> DataFrame:
+    """New and changed members as numbered first versions, shaped like ``dim``.
+
+    While nothing stored has changed, appending these rows is the whole load.
+    """
+    arrived = members.filter(F.col("change_type").isin(NEW, CHANGED)).drop(skey, "change_type")
+    complete = with_scd2_defaults(arrived, now)
+    return align_to(add_surrogate_key(complete, skey, [*keys, "audit_ts", "hash_key"], after=dim), dim.schema)
+
+
 def scd2_next(dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[str], attributes: Sequence[str], now: Column, refresh_source: bool = True) -> DataFrame:
     """Next state of a dimension with history, from ``classify_members``.
 
     Placeholders take the real attributes in place and keep their surrogate key; new and
-    changed members become versions, whose keys' chains are recalculated.
+    changed members become versions, whose keys' chains are recalculated. All joins are on
+    ``hash_key``. ``members`` is read several times and should be stored.
     """
-    arrived = members.filter(F.col("change_type").isin(NEW, CHANGED)).drop(skey, "change_type")
-    versions = add_surrogate_key(
-        with_scd2_defaults(arrived, now), skey, [*keys, "audit_ts", "hash_key"], start=max_skey(dim, skey)
+    arrived = members.filter(F.col("change_type").isin(NEW, CHANGED)).select("hash_key")
+    versions = new_members(members, dim, skey=skey, keys=keys, now=now)
+    settled = fill_inferred(
+        merge_delete(dim, arrived, ["hash_key"]), members, attributes=attributes, now=now, refresh_source=refresh_source
     )
-    filled = fill_inferred(dim, members, skey=skey, attributes=attributes, now=now, refresh_source=refresh_source)
-    return scd2_recalc(filled.unionByName(align_to(versions, dim.schema)), skey, keys=versions)
+    affected = restrict_to(dim, arrived, "hash_key").unionByName(versions)
+    return settled.unionByName(_chains(affected, skey))
 
 
 def scd1_next(dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[str], attributes: Sequence[str], now: Column) -> DataFrame:
     """Next state of a dimension without history: new rows added, changed and inferred ones updated in place."""
-    arrived = members.filter(F.col("change_type") == NEW).drop(skey, "change_type")
-    rows = add_surrogate_key(
-        with_scd1_defaults(arrived, now), skey, [*keys, "audit_ts", "hash_key"], start=max_skey(dim, skey)
-    )
+    rows = new_members(members.filter(F.col("change_type") == NEW), dim, skey=skey, keys=keys, now=now)
     replaced = members.filter(F.col("change_type").isin(CHANGED, FILL)).drop(skey)
     new_values = {
         **_attributes(dim, members, attributes),
@@ -107,14 +116,15 @@ def scd1_next(dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[s
         "scd_version": F.lit(1),
     }
     updated = merge_update(dim, replaced, ["hash_key"], new_values)
-    return updated.unionByName(align_to(rows, dim.schema))
+    return updated.unionByName(rows)
 
 
-def fill_inferred(dim: DataFrame, members: DataFrame, *, skey: str, attributes: Sequence[str], now: Column, refresh_source: bool = True) -> DataFrame:
-    """Give placeholders the attributes of the real row; validity and version stay as they are."""
+def fill_inferred(dim: DataFrame, members: DataFrame, *, attributes: Sequence[str], now: Column, refresh_source: bool = True) -> DataFrame:
+    """Give active placeholders the attributes of the real row; validity and version stay as they are."""
     real = members.filter(F.col("change_type") == FILL)
     new_values = {**_attributes(dim, members, attributes), **_refreshed(dim, now, refresh_source)}
-    return merge_update(dim, real, [skey], new_values)
+    placeholder = (F.col("t.scd_active") == 1) & (F.col("t.inferred_flag") == 1)
+    return merge_update(dim, real, ["hash_key"], new_values, placeholder)
 
 
 def scd2_recalc(dim: DataFrame, skey: str, keys: DataFrame | None = None) -> DataFrame:
@@ -183,7 +193,7 @@ def infer_members(facts: DataFrame, dim: DataFrame, key_map: Mapping[str, str],
     )
     missing = merge_delete(with_hash_key(first, keys), dim, ["hash_key"])
     placeholders = with_scd2_defaults(missing, now).withColumns({"row_hash": F.lit(""), "inferred_flag": F.lit(1)})
-    numbered = add_surrogate_key(placeholders, skey, [*keys, "audit_ts", "hash_key"], start=max_skey(dim, skey))
+    numbered = add_surrogate_key(placeholders, skey, [*keys, "audit_ts", "hash_key"], after=dim)
     return align_to(numbered, dim.schema)
 
 

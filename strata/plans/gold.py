@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from strata.operators import (
     add_surrogate_key,
-    align_to,
     calendar,
     changed_facts,
     classify_members,
@@ -19,8 +18,7 @@ from strata.operators import (
     enrich,
     infer_members,
     lookup_skey,
-    max_skey,
-    merge_delete,
+    new_members,
     replace_by_key,
     restrict_to,
     row_hash,
@@ -29,8 +27,6 @@ from strata.operators import (
     select_configured,
     staged_facts,
     with_hash_key,
-    with_scd1_defaults,
-    with_scd2_defaults,
 )
 from strata.operators.calendar import FIRST_DAY, LAST_DAY
 from strata.operators.changes import CHANGED, NEW, SAME
@@ -130,7 +126,7 @@ def load_fact(layers: Layers, now: datetime, *, mode: str = "either", keep_skeys
         for dim in DIMENSIONS:
             base = lookup_skey(base, layers.gold.read(dim.name), dim.fact_key, dim.key, dim.skey)
         counts.update(_write_facts(layers, base, keep_skeys))
-    layers.advance("gold", FACT_SALES, reached, now)
+    layers.advance("gold", FACT_SALES, reached, now, since)
     return LoadResult(FACT_SALES, LOADED, counts, reached)
 
 
@@ -147,10 +143,7 @@ def _write_facts(layers: Layers, base: DataFrame, keep_skeys: bool) -> dict[str,
     months = {row[0]: row["count"] for row in replaced.groupBy(FACT_PARTITION).count().collect()}
     touched = set(months) | {row[0] for row in staged.select(FACT_PARTITION).distinct().collect()}
     in_scope = fact.filter(F.col(FACT_PARTITION).isin(*touched))
-    numbered_from = fact if keep_skeys else merge_delete(fact, staged, ["hash_key"])
-    rows = replace_by_key(
-        in_scope, staged, keep_skeys=keep_skeys, order=order, start=max_skey(numbered_from, FACT_SKEY)
-    )
+    rows = replace_by_key(in_scope, staged, keep_skeys=keep_skeys, order=order, numbered=fact)
     layers.gold.replace_partitions(rows, FACT_SALES, FACT_PARTITION, sorted(touched))
     return {**seen.get, "replaced": sum(months.values())}
 
@@ -177,15 +170,11 @@ def _target(layers: Layers, dim: Dimension, config: ObjectConfig) -> DataFrame:
 
 
 def _write_members(layers: Layers, dim: Dimension, config: ObjectConfig, target: DataFrame, members: DataFrame, counts: dict[str, int], now: Column) -> None:
-    attributes = [*config.columns, *dim.lookup_columns]
     common = {"skey": dim.skey, "keys": config.keys, "now": now}
+    attributes = [*config.columns, *dim.lookup_columns]
     if counts[CHANGED] + counts[FILL] == 0:
         # Only first versions: nothing stored changes, so the rows are added as they are.
-        complete = with_scd2_defaults if dim.history else with_scd1_defaults
-        rows = complete(members.drop(dim.skey, "change_type"), now)
-        order = [*config.keys, "audit_ts", "hash_key"]
-        numbered = add_surrogate_key(rows, dim.skey, order, start=max_skey(target, dim.skey))
-        _add(layers, dim.name, align_to(numbered, target.schema))
+        _add(layers, dim.name, new_members(members, target, **common))
     elif dim.history:
         refresh = dim.refresh_source_on_fill
         rows = scd2_next(target, members, attributes=attributes, refresh_source=refresh, **common)

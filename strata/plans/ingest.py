@@ -9,25 +9,32 @@ from pyspark.sql import DataFrame
 
 from strata.plans.layers import LOADED, LoadResult, Layers
 from strata.sources.bronze import add_lineage, extract_delta, extract_full, source_high_water, write_bronze
-from strata.sources.metadata import ObjectConfig, ingest_list, last_watermark
+from strata.sources.metadata import NO_WATERMARK, ObjectConfig, ingest_list, last_load
 
 # Gives the source table for a schema and table name: spark.table, a JDBC read, files, ...
 Reader = Callable[[str, str], DataFrame]
 
 
 def ingest_object(layers: Layers, config: ObjectConfig, source: DataFrame, now: datetime, *, clock: str = "source") -> LoadResult:
-    """Copy one source table, or what changed in it, to the raw layer."""
-    high = None
+    """Copy one source table, or what changed in it, to the raw layer.
+
+    A delta starts at the stored source watermark. ``clock="load"`` starts at the time of the
+    last load instead, which misses rows edited before it but after the watermark.
+    """
+    if clock not in ("source", "load"):
+        raise ValueError(f"unknown clock {clock!r}")
+    high = marked = None
     if config.incremental:
         mark = config.watermark_column
-        low = last_watermark(layers.watermarks, config.source_object, clock=clock)
+        marked = layers.watermark("bronze", config.source_object)
+        low = marked if clock == "source" else last_load(layers.watermarks, "bronze", config.source_object)
         high = source_high_water(source, mark).first()[0]
-        rows = extract_delta(source, config.columns, mark, low, high)
+        rows = extract_delta(source, config.columns, mark, low or NO_WATERMARK, high)
     else:
         rows = extract_full(source, config.columns)
     write_bronze(add_lineage(rows, config.source_system, now), layers.bronze(config), now)
     if high is not None:
-        layers.advance("bronze", config.source_object, high, now)
+        layers.advance("bronze", config.source_object, high, now, marked)
     return LoadResult(config.source_object, LOADED, watermark=high)
 
 

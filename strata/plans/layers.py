@@ -72,9 +72,9 @@ class Layers:
     def watermark(self, layer: str, object_name: str) -> datetime | None:
         return latest_watermark(self.watermarks, layer, object_name)
 
-    def advance(self, layer: str, object_name: str, value: datetime, now: datetime) -> None:
+    def advance(self, layer: str, object_name: str, value: datetime, now: datetime, previous: datetime | None) -> None:
         """Log a new watermark; called last in a load. An unchanged value is not logged again."""
-        if value == self.watermark(layer, object_name):
+        if value == previous:
             return
         with self._log_lock:
             self.control.append(watermark_rows(self.spark, layer, object_name, value, now), self.WATERMARK)

@@ -89,7 +89,7 @@ def load_incremental(layers: Layers, config: ObjectConfig, now: datetime) -> Loa
     else:
         staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
         silver.create(staged, name)
-    layers.advance("silver", name, newest, now)
+    layers.advance("silver", name, newest, now, since)
     return LoadResult(name, LOADED, seen.get, newest)
 
 
@@ -114,7 +114,7 @@ def load_snapshot(layers: Layers, config: ObjectConfig, now: datetime) -> LoadRe
         staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
         silver.create(staged, name)
         counts = seen.get
-    layers.advance("silver", name, newest, now)
+    layers.advance("silver", name, newest, now, since)
     return LoadResult(name, LOADED, counts, newest)
 
 

@@ -101,22 +101,14 @@ def latest_watermarks(log: DataFrame) -> DataFrame:
 def latest_watermark(log: DataFrame, layer: str, object_name: str) -> datetime | None:
     """Value of the newest entry of one object, None before its first load."""
     mine = log.filter((F.col("layer") == layer) & (F.col("object_name") == object_name))
-    row = latest_watermarks(mine).first()
-    return row["watermark"] if row else None
-
-
-def last_watermark(log: DataFrame, object_name: str, *, clock: str = "source", default: datetime = NO_WATERMARK) -> datetime:
-    """Lower bound of the next delta extract.
-
-    ``clock="source"`` is the stored source mark. ``clock="load"`` is the time of the last
-    load; it misses rows edited before that time but after the stored mark.
-    """
-    if clock not in ("source", "load"):
-        raise ValueError(f"unknown clock {clock!r}")
-    if clock == "source":
-        return latest_watermark(log, "bronze", object_name) or default
-    mine = log.filter((F.col("layer") == "bronze") & (F.col("object_name") == object_name))
-    return mine.agg(F.coalesce(F.max("timestamp"), F.lit(default))).first()[0]
+    row = mine.orderBy(F.desc("timestamp"), F.desc("key_1")).select(F.to_timestamp("key_1")).first()
+    return row[0] if row else None
+
+
+def last_load(log: DataFrame, layer: str, object_name: str) -> datetime | None:
+    """Time of the newest entry. As a lower bound it misses rows edited before it but after the mark."""
+    mine = log.filter((F.col("layer") == layer) & (F.col("object_name") == object_name))
+    return mine.agg(F.max("timestamp")).first()[0]
 
 
 def reset_watermark(log: DataFrame, layer: str = "bronze") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +15,15 @@ from strata.operators import (
     enrich,
     fill_inferred,
     infer_members,
+    new_members,
     scd1_next,
     scd2_next,
     scd2_recalc,
 )
+from strata.operators.changes import SAME
 from strata.operators.scd import SCD1_TECHNICAL, SCD2_TECHNICAL
 from strata.plans.gold import stage_members
+from strata.session import stage
 from strata.workload.inputs import (
     CATEGORIES_SQL,
     CUSTOMER_COLUMNS,
@@ -47,38 +51,38 @@ T0, T1 = f"TIMESTAMP '{FIRST_LOAD}'", f"TIMESTAMP '{SECOND_LOAD}'"
 OPEN_SQL = "TIMESTAMP '2999-12-31'"
 
 
-def _load(dim: DataFrame, source: DataFrame, key: str, columns: list[str], skey: str, when: datetime, history: bool) -> DataFrame:
+def _load(dim: DataFrame, source: DataFrame, key: str, columns: list[str], skey: str, when: datetime) -> DataFrame:
+    """One load as the job does it: members stored, first versions appended, else the next state."""
     staged = stage_members(with_load(source, when), [key], columns)
-    members = classify_members(staged, dim, skey)
-    step = scd2_next if history else scd1_next
-    return step(dim, members, skey=skey, keys=[key], attributes=columns, now=load_time(when))
+    members = classify_members(staged, dim, skey).filter(F.col("change_type") != SAME)
+    if when == FIRST_LOAD:
+        return new_members(members, dim, skey=skey, keys=[key], now=load_time(when))
+    step = scd2_next if "scd_from" in dim.columns else scd1_next
+    stored = stage(members, "members")
+    return step(dim, stored, skey=skey, keys=[key], attributes=columns, now=load_time(when))
 
 
-def _empty(source: DataFrame, columns: list[str], skey: str, technical: str) -> DataFrame:
-    return source.sparkSession.createDataFrame([], dimension_schema(source.schema, skey, columns, technical))
-
-
-def stock_dimension(spark: SparkSession, folder: str, periods: tuple[str, ...] = (EARLY, LATE)) -> DataFrame:
-    dim = _empty(stock_items(spark, folder, EARLY), STOCK_COLUMNS, "stockitem_skey", SCD2_TECHNICAL)
+def _dimension(source, key: str, columns: list[str], skey: str, technical: str, periods: tuple[str, ...]) -> DataFrame:
+    first = source(EARLY)
+    dim = first.sparkSession.createDataFrame([], dimension_schema(first.schema, skey, columns, technical))
     for period, when in zip(periods, (FIRST_LOAD, SECOND_LOAD)):
-        source = stock_items(spark, folder, period)
-        dim = _load(dim, source, "StockItemID", STOCK_COLUMNS, "stockitem_skey", when, history=True)
+        dim = _load(dim, source(period), key, columns, skey, when)
     return dim
 
 
-def customer_dimension(spark: SparkSession, folder: str, periods: tuple[str, ...] = (EARLY,)) -> DataFrame:
-    dim = _empty(customers(spark, folder, EARLY), CUSTOMER_COLUMNS, "customer_skey", SCD2_TECHNICAL)
-    for period, when in zip(periods, (FIRST_LOAD, SECOND_LOAD)):
-        source = customers(spark, folder, period)
-        dim = _load(dim, source, "CustomerID", CUSTOMER_COLUMNS, "customer_skey", when, history=True)
-    return dim
+def stock_dimension(spark: SparkSession, folder: str, *periods: str) -> DataFrame:
+    source = partial(stock_items, spark, folder)
+    return _dimension(source, "StockItemID", STOCK_COLUMNS, "stockitem_skey", SCD2_TECHNICAL, periods)
 
 
-def people_dimension(spark: SparkSession, folder: str, periods: tuple[str, ...] = (EARLY, LATE)) -> DataFrame:
-    dim = _empty(people(spark, folder, EARLY), PEOPLE_COLUMNS, "person_skey", SCD1_TECHNICAL)
-    for period, when in zip(periods, (FIRST_LOAD, SECOND_LOAD)):
-        dim = _load(dim, people(spark, folder, period), "PersonID", PEOPLE_COLUMNS, "person_skey", when, history=False)
-    return dim
+def customer_dimension(spark: SparkSession, folder: str, *periods: str) -> DataFrame:
+    source = partial(customers, spark, folder)
+    return _dimension(source, "CustomerID", CUSTOMER_COLUMNS, "customer_skey", SCD2_TECHNICAL, periods)
+
+
+def people_dimension(spark: SparkSession, folder: str, *periods: str) -> DataFrame:
+    source = partial(people, spark, folder)
+    return _dimension(source, "PersonID", PEOPLE_COLUMNS, "person_skey", SCD1_TECHNICAL, periods)
 
 
 def _scd2_sql(name: str, key: str, columns: list[str], skey: str) -> str:
@@ -118,7 +122,7 @@ CUSTOMER_DIM_SQL = f"""{customers_sql(EARLY)}, {customers_sql(LATE)},
     FROM stock_items_dim""",
 )
 def stock_history(spark: SparkSession, folder: str) -> DataFrame:
-    return stock_dimension(spark, folder).select(
+    return stock_dimension(spark, folder, EARLY, LATE).select(
         "stockitem_skey", "StockItemID", "StockItemName", "Brand", "Tags", "UnitPrice", "hash_key", "row_hash",
         "audit_ts", "scd_start", "scd_from", "scd_to", "scd_active", "scd_version", "inferred_flag",
     )
@@ -132,7 +136,7 @@ def stock_history(spark: SparkSession, folder: str) -> DataFrame:
     FROM customers_dim""",
 )
 def customer_history(spark: SparkSession, folder: str) -> DataFrame:
-    return customer_dimension(spark, folder, (EARLY, LATE)).select(
+    return customer_dimension(spark, folder, EARLY, LATE).select(
         "customer_skey", "CustomerID", "CustomerName", "CreditLimit", "DeliveryPostalCode", "row_hash",
         "scd_from", "scd_to", "scd_active", "scd_version",
     )
@@ -153,7 +157,7 @@ def customer_history(spark: SparkSession, folder: str) -> DataFrame:
     FROM people_early e FULL JOIN people_late l ON e.PersonID = l.PersonID""",
 )
 def people_in_place(spark: SparkSession, folder: str) -> DataFrame:
-    return people_dimension(spark, folder).select(
+    return people_dimension(spark, folder, EARLY, LATE).select(
         "person_skey", "PersonID", "FullName", "EmailAddress", "audit_ts", "updated_audit_ts", "scd_active", "scd_version"
     )
 
@@ -201,7 +205,7 @@ def _order_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 def dimension_with_placeholders(spark: SparkSession, folder: str) -> DataFrame:
     """Early customers, and placeholders for the others that have orders."""
-    dim = customer_dimension(spark, folder)
+    dim = customer_dimension(spark, folder, EARLY)
     missing = infer_members(
         _order_keys(spark, folder), dim, {"CustomerID": "CustomerID"}, skey="customer_skey", now=load_time(FIRST_LOAD)
     )
@@ -248,9 +252,7 @@ def filled_placeholders(spark: SparkSession, folder: str) -> DataFrame:
     dim = dimension_with_placeholders(spark, folder)
     staged = stage_members(with_load(customers(spark, folder, LATE), SECOND_LOAD), ["CustomerID"], CUSTOMER_COLUMNS)
     members = classify_members(staged, dim, "customer_skey")
-    filled = fill_inferred(
-        dim, members, skey="customer_skey", attributes=CUSTOMER_COLUMNS, now=load_time(SECOND_LOAD)
-    )
+    filled = fill_inferred(dim, members, attributes=CUSTOMER_COLUMNS, now=load_time(SECOND_LOAD))
     return filled.select(
         "customer_skey", "CustomerID", "CustomerName", "DeliveryPostalCode", "inferred_flag", "audit_ts", "scd_from",
         "updated_audit_ts", "scd_version",

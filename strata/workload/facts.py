@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from strata.operators import add_surrogate_key, changed_facts, lookup_skey, replace_by_key, staged_facts
 from strata.operators.facts import FACT_SKEY, ROW_HASH_COLUMNS
-from strata.schemas import DIM_CUSTOMER, DIM_PEOPLE, DIM_STOCK_ITEMS
+from strata.schemas import DIM_CUSTOMER, DIM_PEOPLE, DIM_STOCK_ITEMS, Dimension
 from strata.session import stage
-from strata.workload.dimensions import (
-    CUSTOMER_DIM_SQL,
-    STOCK_DIM_SQL,
-    customer_dimension,
-    people_dimension,
-    stock_dimension,
+from strata.workload.dimensions import customer_dimension, people_dimension, stock_dimension
+from strata.workload.inputs import (
+    EARLY,
+    FIRST_LOAD,
+    SECOND_LOAD,
+    customers_sql,
+    load_time,
+    people_sql,
+    stock_items_sql,
 )
-from strata.workload.inputs import EARLY, FIRST_LOAD, LATE, SECOND_LOAD, load_time, people_sql
 from strata.workload.registry import query, sql_hash, sql_text, sql_time
 from strata.workload.versions import LINE_VERSIONS_SQL, ORDER_VERSIONS_SQL, line_versions, order_versions
 
@@ -79,26 +81,34 @@ def base_of_both_changes(spark: SparkSession, folder: str) -> DataFrame:
     return changed_facts(*versions, FIRST_LOAD, mode="both").select(*_BASE_OUT)
 
 
-def _with_keys(base: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    dims = {
-        DIM_CUSTOMER: customer_dimension(spark, folder, (EARLY, LATE)),
-        DIM_STOCK_ITEMS: stock_dimension(spark, folder),
-        DIM_PEOPLE: people_dimension(spark, folder),
+def _dimensions(spark: SparkSession, folder: str) -> dict[Dimension, DataFrame]:
+    """Dimensions as the first load left them; members that came later are unknown."""
+    return {
+        DIM_CUSTOMER: customer_dimension(spark, folder, EARLY),
+        DIM_STOCK_ITEMS: stock_dimension(spark, folder, EARLY),
+        DIM_PEOPLE: people_dimension(spark, folder, EARLY),
     }
+
+
+def _with_keys(base: DataFrame, dims: dict[Dimension, DataFrame]) -> DataFrame:
     for spec, dim in dims.items():
         base = lookup_skey(base, dim, spec.fact_key, spec.key, spec.skey)
     return base.withColumn("updated_audit_ts", load_time(SECOND_LOAD))
 
 
-_LOOKUP_SQL = f"""{CUSTOMER_DIM_SQL}, {STOCK_DIM_SQL}, {people_sql(EARLY)}, {people_sql(LATE)}, people_dim AS (
-  SELECT row_number() OVER (ORDER BY PersonID) AS person_skey, PersonID FROM people_early
-  UNION ALL
-  SELECT (SELECT count(*) FROM people_early) + row_number() OVER (ORDER BY PersonID), PersonID
-  FROM people_late ANTI JOIN people_early USING (PersonID)), keyed AS (
+
+
+def _ranked_sql(name: str, key: str, skey: str) -> str:
+    return f"{name}_dim AS (SELECT {key}, row_number() OVER (ORDER BY {key}) AS {skey} FROM {name}_early)"
+
+
+_LOOKUP_SQL = f"""{customers_sql(EARLY)}, {_ranked_sql("customers", "CustomerID", "customer_skey")},
+{stock_items_sql(EARLY)}, {_ranked_sql("stock_items", "StockItemID", "stockitem_skey")},
+{people_sql(EARLY)}, {_ranked_sql("people", "PersonID", "person_skey")}, keyed AS (
   SELECT b.*, coalesce(c.customer_skey, -1) AS customer_skey, coalesce(s.stockitem_skey, -1) AS stockitem_skey,
          coalesce(p.person_skey, -1) AS person_skey
-  FROM base b LEFT JOIN customers_dim c ON c.CustomerID = b.CustomerID AND c.scd_active = 1
-  LEFT JOIN stock_items_dim s ON s.StockItemID = b.StockItemID AND s.scd_active = 1
+  FROM base b LEFT JOIN customers_dim c ON c.CustomerID = b.CustomerID
+  LEFT JOIN stock_items_dim s ON s.StockItemID = b.StockItemID
   LEFT JOIN people_dim p ON p.PersonID = b.SalespersonPersonID), facts AS (
   SELECT *, {sql_hash("OrderLineID")} AS hash_key, {sql_hash(*ROW_HASH_COLUMNS)} AS row_hash FROM keyed)"""
 
@@ -112,7 +122,7 @@ _LOOKUP_SQL = f"""{CUSTOMER_DIM_SQL}, {STOCK_DIM_SQL}, {people_sql(EARLY)}, {peo
 )
 def facts_with_keys(spark: SparkSession, folder: str) -> DataFrame:
     base = changed_facts(line_versions(spark, folder), order_versions(spark, folder), None)
-    return staged_facts(_with_keys(base, spark, folder)).select(
+    return staged_facts(_with_keys(base, _dimensions(spark, folder))).select(
         "OrderLineID", "CustomerID", "StockItemID", "SalespersonPersonID", "customer_skey", "stockitem_skey",
         "person_skey", "sales_amount_gross", "hash_key", "row_hash",
     )
@@ -139,9 +149,10 @@ def loaded_facts(spark: SparkSession, folder: str) -> DataFrame:
     lines = stage(line_versions(spark, folder), "line_versions")
     orders = stage(order_versions(spark, folder), "order_versions")
     first_time = F.col("audit_ts") == load_time(FIRST_LOAD)
-    before = _with_keys(changed_facts(lines.filter(first_time), orders.filter(first_time), None), spark, folder)
+    dims = {spec: stage(dim, spec.name) for spec, dim in _dimensions(spark, folder).items()}
+    before = _with_keys(changed_facts(lines.filter(first_time), orders.filter(first_time), None), dims)
     fact = add_surrogate_key(staged_facts(before), FACT_SKEY, ["OrderLineID", "hash_key"])
-    changed = stage(staged_facts(_with_keys(changed_facts(lines, orders, FIRST_LOAD), spark, folder)), "changed_facts")
+    changed = stage(staged_facts(_with_keys(changed_facts(lines, orders, FIRST_LOAD), dims)), "changed_facts")
     return replace_by_key(fact, changed).select(
         "fact_sales_skey", "hash_key", "row_hash", "OrderLineID", "OrderID", "customer_skey", "stockitem_skey",
         "person_skey", "OrderDate", "Quantity", "sales_amount_net", "tax_amount", "sales_amount_gross", "audit_ts",
