@@ -18,7 +18,9 @@ from strata.operators.scd import (
     dimension_schema,
     fill_inferred,
     infer_members,
+    missing_members,
     new_members,
+    placeholder_rows,
     scd1_next,
     scd2_next,
     scd2_recalc,

@@ -173,12 +173,12 @@ def _chains(dim: DataFrame, skey: str) -> DataFrame:
     )
 
 
-def infer_members(facts: DataFrame, dim: DataFrame, key_map: Mapping[str, str], *, skey: str, now: Column) -> DataFrame:
-    """Placeholder rows for keys that facts use and the dimension lacks, shaped like ``dim``.
+def missing_members(facts: DataFrame, dim: DataFrame, key_map: Mapping[str, str]) -> DataFrame:
+    """Keys that facts use and the dimension lacks, with the earliest ``audit_ts`` each was seen with.
 
-    ``key_map`` maps dimension keys to fact columns. One row per key, valid from the earliest
-    ``audit_ts`` it was seen with; NULL and blank keys are left out. Finding keys is a
-    pre-aggregated grouping, so a key used by a third of the facts costs one row per task.
+    ``key_map`` maps dimension keys to fact columns. NULL and blank keys are left out. Finding
+    keys is a pre-aggregated grouping, so a key used by a third of the facts costs one row
+    per task.
     """
     keys = list(key_map)
     typed = [
@@ -191,10 +191,18 @@ def infer_members(facts: DataFrame, dim: DataFrame, key_map: Mapping[str, str],
         .agg(F.min(F.struct("audit_ts", "source_id")).alias("_first"))
         .select(*keys, "_first.audit_ts", "_first.source_id")
     )
-    missing = merge_delete(with_hash_key(first, keys), dim, ["hash_key"])
-    placeholders = with_scd2_defaults(missing, now).withColumns({"row_hash": F.lit(""), "inferred_flag": F.lit(1)})
-    numbered = add_surrogate_key(placeholders, skey, [*keys, "audit_ts", "hash_key"], after=dim)
-    return align_to(numbered, dim.schema)
+    return merge_delete(with_hash_key(first, keys), dim, ["hash_key"])
+
+
+def placeholder_rows(missing: DataFrame, dim: DataFrame, *, skey: str, keys: Sequence[str], now: Column) -> DataFrame:
+    """Numbered rows for missing members, shaped like ``dim``: no attributes, marked as inferred."""
+    rows = with_scd2_defaults(missing, now).withColumns({"row_hash": F.lit(""), "inferred_flag": F.lit(1)})
+    return align_to(add_surrogate_key(rows, skey, [*keys, "audit_ts", "hash_key"], after=dim), dim.schema)
+
+
+def infer_members(facts: DataFrame, dim: DataFrame, key_map: Mapping[str, str], *, skey: str, now: Column) -> DataFrame:
+    """Placeholder rows for the keys that facts use and the dimension lacks, one per key."""
+    return placeholder_rows(missing_members(facts, dim, key_map), dim, skey=skey, keys=list(key_map), now=now)
 
 
 def _attributes(dim: DataFrame, members: DataFrame, attributes: Sequence[str]) -> dict[str, Column]:

@@ -16,9 +16,10 @@ from strata.operators import (
     current_versions,
     dimension_schema,
     enrich,
-    infer_members,
     lookup_skey,
+    missing_members,
     new_members,
+    placeholder_rows,
     replace_by_key,
     restrict_to,
     row_hash,
@@ -80,11 +81,15 @@ def load_inferred(layers: Layers, dim: Dimension, facts: DataFrame, now: datetim
     config = layers.config("Gold", dim.source.object)[dim.source.object]
     with scratch_scope(layers.spark):
         target = _target(layers, dim, config)
-        rows = infer_members(facts, target, {dim.key: dim.fact_key}, skey=dim.skey, now=F.lit(now).cast("timestamp"))
-        rows, seen = observed(rows, {"inferred": F.count(F.lit(1))})
-        _add(layers, dim.name, rows)
-        count = seen.get
-    return LoadResult(dim.name, LOADED if count["inferred"] else NO_NEW_DATA, count)
+        missing, seen = observed(
+            missing_members(facts, target, {dim.key: dim.fact_key}), {"inferred": F.count(F.lit(1))}
+        )
+        missing = stage(missing, dim.name)
+        if not seen.get["inferred"]:
+            return LoadResult(dim.name, NO_NEW_DATA, seen.get)
+        load_time = F.lit(now).cast("timestamp")
+        _add(layers, dim.name, placeholder_rows(missing, target, skey=dim.skey, keys=[dim.key], now=load_time))
+    return LoadResult(dim.name, LOADED, seen.get)
 
 
 def infer_ahead(layers: Layers, dim: Dimension, now: datetime) -> LoadResult:

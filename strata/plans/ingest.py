@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -39,10 +40,17 @@ def ingest_object(layers: Layers, config: ObjectConfig, source: DataFrame, now:
 
 
 def ingest_all(layers: Layers, reader: Reader, now: datetime, *, source_object: str = "ALL", clock: str = "source") -> list[LoadResult]:
-    """All active objects of the Bronze config, or one of them. Each is one Spark write."""
+    """All active objects of the Bronze config, or one of them. Each is one Spark write.
+
+    The objects do not depend on each other, so Spark gets their jobs together.
+    """
     listing = ingest_list(layers.control.read(layers.CONFIG), source_object).orderBy("config_id")
     listed = [row["source_object"] for row in listing.collect()]
-    configs = layers.config("Bronze", *(listed or [source_object]))
-    return [
-        ingest_object(layers, c, reader(c.source_schema, c.source_table), now, clock=clock) for c in configs.values()
-    ]
+    configs = layers.config("Bronze", *(listed or [source_object])).values()
+
+    def ingest(config: ObjectConfig) -> LoadResult:
+        source = reader(config.source_schema, config.source_table)
+        return ingest_object(layers, config, source, now, clock=clock)
+
+    with ThreadPoolExecutor(max_workers=len(configs)) as pool:
+        return list(pool.map(ingest, configs))
