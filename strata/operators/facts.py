@@ -12,6 +12,7 @@ from strata.operators.changes import restrict_to
 from strata.operators.keys import add_surrogate_key
 from strata.operators.latest import keep_latest
 from strata.operators.merge import merge_delete
+from strata.session import stage
 
 FACT_KEYS = ("OrderLineID",)
 FACT_SKEY = "fact_sales_skey"
@@ -45,25 +46,27 @@ def changed_facts(lines: DataFrame, orders: DataFrame, since: object, *, mode: s
     alone is not seen.
 
     For "either", only the histories of touched keys are ranked. The key sets of a small load
-    are small, so the semi joins that cut the histories down can be broadcast by size.
+    are small, so the semi joins that cut the histories down can be broadcast by size. The
+    lines found are stored once, as they also say which orders are needed.
     """
     if mode not in ("either", "both"):
         raise ValueError(f"unknown mode {mode!r}")
-    if since is not None:
-        newer = F.col("audit_ts") > F.lit(since)
-        changed_lines, changed_orders = lines.filter(newer), orders.filter(newer)
-        if mode == "both":
-            lines, orders = changed_lines, changed_orders
-        else:
-            moved_along = restrict_to(lines, changed_orders, "OrderID")
-            touched = changed_lines.select("OrderLineID").unionByName(moved_along.select("OrderLineID")).distinct()
-            lines = restrict_to(lines, touched, "OrderLineID")
-            orders = restrict_to(orders, lines, "OrderID")
-    current_lines = keep_latest(lines, ["OrderLineID"], _VERSION_ORDER)
-    current_orders = keep_latest(orders, ["OrderID"], _VERSION_ORDER)
-    base = fact_base(current_lines, current_orders, now)
+    if since is None:
+        return fact_base(_current(lines, "OrderLineID"), _current(orders, "OrderID"), now)
+    newer = F.col("audit_ts") > F.lit(since)
+    changed_lines, changed_orders = lines.filter(newer), orders.filter(newer)
+    if mode == "both":
+        return fact_base(_current(changed_lines, "OrderLineID"), _current(changed_orders, "OrderID"), now)
+    of_changed_orders = restrict_to(lines, changed_orders, "OrderID").select("OrderLineID")
+    touched = changed_lines.select("OrderLineID").unionByName(of_changed_orders).distinct()
+    current_lines = stage(_current(restrict_to(lines, touched, "OrderLineID"), "OrderLineID"), "touched_lines")
+    current_orders = _current(restrict_to(orders, current_lines, "OrderID"), "OrderID")
     # The later of both load times; a line that has left a changed order drops out here.
-    return base if since is None else base.filter(F.col("audit_ts") > F.lit(since))
+    return fact_base(current_lines, current_orders, now).filter(newer)
+
+
+def _current(versions: DataFrame, key: str) -> DataFrame:
+    return keep_latest(versions, [key], _VERSION_ORDER)
 
 
 def fact_base(lines: DataFrame, orders: DataFrame, now: Column | None = None) -> DataFrame:

@@ -56,9 +56,14 @@ _BASE_OUT_SQL = f"""OrderLineID, OrderID, StockItemID, CustomerID, SalespersonPe
     {sql_text("sales_amount_gross")}"""
 
 
+def _versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The two cleaned tables, stored."""
+    return stage(line_versions(spark, folder), "lines"), stage(order_versions(spark, folder), "orders")
+
+
 @query("fact_base", f"WITH {VERSIONS_SQL}, {base_sql('base')} SELECT {_BASE_OUT_SQL} FROM base")
 def whole_base(spark: SparkSession, folder: str) -> DataFrame:
-    return changed_facts(line_versions(spark, folder), order_versions(spark, folder), None).select(*_BASE_OUT)
+    return changed_facts(*_versions(spark, folder), None).select(*_BASE_OUT)
 
 
 @query(
@@ -67,8 +72,7 @@ def whole_base(spark: SparkSession, folder: str) -> DataFrame:
     SELECT {_BASE_OUT_SQL} FROM base""",
 )
 def base_of_either_change(spark: SparkSession, folder: str) -> DataFrame:
-    versions = line_versions(spark, folder), order_versions(spark, folder)
-    return changed_facts(*versions, FIRST_LOAD, mode="either").select(*_BASE_OUT)
+    return changed_facts(*_versions(spark, folder), FIRST_LOAD, mode="either").select(*_BASE_OUT)
 
 
 @query(
@@ -77,8 +81,7 @@ def base_of_either_change(spark: SparkSession, folder: str) -> DataFrame:
     SELECT {_BASE_OUT_SQL} FROM base""",
 )
 def base_of_both_changes(spark: SparkSession, folder: str) -> DataFrame:
-    versions = line_versions(spark, folder), order_versions(spark, folder)
-    return changed_facts(*versions, FIRST_LOAD, mode="both").select(*_BASE_OUT)
+    return changed_facts(*_versions(spark, folder), FIRST_LOAD, mode="both").select(*_BASE_OUT)
 
 
 def _dimensions(spark: SparkSession, folder: str) -> dict[Dimension, DataFrame]:
@@ -121,7 +124,7 @@ _LOOKUP_SQL = f"""{customers_sql(EARLY)}, {_ranked_sql("customers", "CustomerID"
     FROM facts""",
 )
 def facts_with_keys(spark: SparkSession, folder: str) -> DataFrame:
-    base = changed_facts(line_versions(spark, folder), order_versions(spark, folder), None)
+    base = changed_facts(*_versions(spark, folder), None)
     return staged_facts(_with_keys(base, _dimensions(spark, folder))).select(
         "OrderLineID", "CustomerID", "StockItemID", "SalespersonPersonID", "customer_skey", "stockitem_skey",
         "person_skey", "sales_amount_gross", "hash_key", "row_hash",
@@ -146,8 +149,7 @@ FACT_SKEY_SQL = f"""first_facts AS (
 )
 def loaded_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Two fact loads: the second replaces rows whose line or order changed."""
-    lines = stage(line_versions(spark, folder), "line_versions")
-    orders = stage(order_versions(spark, folder), "order_versions")
+    lines, orders = _versions(spark, folder)
     first_time = F.col("audit_ts") == load_time(FIRST_LOAD)
     dims = {spec: stage(dim, spec.name) for spec, dim in _dimensions(spark, folder).items()}
     before = _with_keys(changed_facts(lines.filter(first_time), orders.filter(first_time), None), dims)

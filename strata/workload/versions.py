@@ -235,14 +235,14 @@ def order_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _two_loads(source: DataFrame, key: str, columns: list[str], unwanted: tuple[str, ...]) -> DataFrame:
-    """First load: rows edited before the cut. Second load: the others."""
+    """First load: rows edited before the cut. Second load: the others. Stored where a job stores them."""
 
     def staged(rows: DataFrame, when: datetime) -> DataFrame:
         raw = with_load(rows, when)
         return stage_rows(raw, [key], columns, when, unwanted=unwanted, watermark_column="LastEditedWhen")
 
     edited = F.col("LastEditedWhen")
-    first = staged(source.filter(edited < F.lit(CUT)), FIRST_LOAD)
+    first = stage(staged(source.filter(edited < F.lit(CUT)), FIRST_LOAD), key)
     second = stage(staged(source.filter(edited >= F.lit(CUT)), SECOND_LOAD), key)
     changes = incremental_versions(second, first)
     return first.unionByName(changes.filter(F.col("change_type") != SAME).select(*first.columns))
@@ -303,7 +303,7 @@ def customer_versions(spark: SparkSession, folder: str) -> DataFrame:
         rows = stage_rows(with_load(customers(spark, folder, period), when), ["CustomerID"], CUSTOMER_COLUMNS, when)
         return rows.withColumn("deleted_audit_ts", F.lit(None).cast("timestamp"))
 
-    first = staged(EARLY, FIRST_LOAD)
+    first = stage(staged(EARLY, FIRST_LOAD), "customers")
     changes = snapshot_versions(staged(LATE, SECOND_LOAD), first).filter(F.col("change_type") != SAME)
     return snapshot_next(first, stage(changes, "customers"), SECOND_LOAD)
 
