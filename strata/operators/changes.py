@@ -56,3 +56,16 @@ def restrict_to(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     broadcast hint, Spark decides by the measured size and can filter by a Bloom filter.
     """
     return df.join(keys.select(on), on, "left_semi").select(*df.columns)
+
+
+def restrict_to_stored(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """``restrict_to`` for stored keys, where NULL is a key like any other.
+
+    The smallest and largest key first reach the scan: keys are mostly given out in order and
+    loads bring recent ones, so the range lets the parquet reader skip most row groups of a
+    long history by their statistics. The semi join then decides; the range loses no row.
+    """
+    column = F.col(on)
+    low, high, blanks = keys.agg(F.min(on), F.max(on), F.count_if(column.isNull())).first()
+    found = df.limit(0) if low is None else restrict_to(df.filter(column.between(F.lit(low), F.lit(high))), keys, on)
+    return found.unionByName(df.filter(column.isNull())) if blanks else found

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import hash_expr, with_sales_measures
-from strata.operators.changes import restrict_to
+from strata.operators.changes import restrict_to, restrict_to_stored
 from strata.operators.keys import add_surrogate_key
 from strata.operators.latest import keep_latest
 from strata.operators.merge import merge_delete
@@ -46,8 +46,8 @@ def changed_facts(lines: DataFrame, orders: DataFrame, since: object, *, mode: s
     alone is not seen.
 
     For "either", only the histories of touched keys are ranked. The key sets of a small load
-    are small, so the semi joins that cut the histories down can be broadcast by size. The
-    lines found are stored once, as they also say which orders are needed.
+    are small, so the semi joins that cut the histories down can be broadcast by size. Keys
+    and lines found are stored once: their ranges limit what is read of the histories.
     """
     if mode not in ("either", "both"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -59,8 +59,9 @@ def changed_facts(lines: DataFrame, orders: DataFrame, since: object, *, mode: s
         return fact_base(_current(changed_lines, "OrderLineID"), _current(changed_orders, "OrderID"), now)
     of_changed_orders = restrict_to(lines, changed_orders, "OrderID").select("OrderLineID")
     touched = changed_lines.select("OrderLineID").unionByName(of_changed_orders).distinct()
-    current_lines = stage(_current(restrict_to(lines, touched, "OrderLineID"), "OrderLineID"), "touched_lines")
-    current_orders = _current(restrict_to(orders, current_lines, "OrderID"), "OrderID")
+    histories = restrict_to_stored(lines, stage(touched, "touched_keys"), "OrderLineID")
+    current_lines = stage(_current(histories, "OrderLineID"), "touched_lines")
+    current_orders = _current(restrict_to_stored(orders, current_lines, "OrderID"), "OrderID")
     # The later of both load times; a line that has left a changed order drops out here.
     return fact_base(current_lines, current_orders, now).filter(newer)
 

@@ -22,6 +22,7 @@ from strata.operators import (
     placeholder_rows,
     replace_by_key,
     restrict_to,
+    restrict_to_stored,
     row_hash,
     scd1_next,
     scd2_next,
@@ -143,7 +144,9 @@ def _write_facts(layers: Layers, base: DataFrame, keep_skeys: bool) -> dict[str,
         layers.gold.create(add_surrogate_key(staged, FACT_SKEY, order), FACT_SALES, [FACT_PARTITION])
         return {**seen.get, "replaced": 0}
     fact = layers.gold.read(FACT_SALES)
-    replaced = fact.select("hash_key", FACT_PARTITION).join(staged.select("hash_key"), "hash_key", "left_semi")
+    # Found by the business key: narrower than the hash, and its range skips row groups.
+    key = FACT_KEYS[0]
+    replaced = restrict_to_stored(fact.select(key, FACT_PARTITION), staged, key)
     # One row per order month on the driver, never one per fact.
     months = {row[0]: row["count"] for row in replaced.groupBy(FACT_PARTITION).count().collect()}
     touched = set(months) | {row[0] for row in staged.select(FACT_PARTITION).distinct().collect()}

@@ -17,7 +17,7 @@ from strata.operators import (
     drop_columns,
     keep_latest,
     latest_snapshot_at,
-    restrict_to,
+    restrict_to_stored,
     row_hash,
     soft_delete,
     with_hash_key,
@@ -44,9 +44,14 @@ def stage_rows(bronze: DataFrame, keys: Sequence[str], columns: Sequence[str], n
     return keep_latest(hashed, keys, order).withColumn("audit_ts", F.lit(now).cast("timestamp"))
 
 
-def incremental_versions(staged: DataFrame, silver: DataFrame) -> DataFrame:
-    """Staged rows with ``change_type``, compared with the current versions of their own keys."""
-    current = current_versions(restrict_to(silver, staged, "hash_key"), active=None)
+def incremental_versions(staged: DataFrame, silver: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored staged rows with ``change_type``, compared with the current versions of their own keys.
+
+    The history is cut down by the first business key column: its range skips row groups, its
+    values leave only histories that are needed. Further key columns only make that set larger
+    than necessary, never smaller.
+    """
+    current = current_versions(restrict_to_stored(silver, staged, keys[0]), active=None)
     return classify(staged, current, detect_deletes=False)
 
 
@@ -83,7 +88,7 @@ def load_incremental(layers: Layers, config: ObjectConfig, now: datetime) -> Loa
     staged = _staged(bronze, config, now)
     if silver.exists(name):
         # Used twice: to cut the history down to its keys and to be compared with it.
-        versions = incremental_versions(stage(staged, name), silver.read(name))
+        versions = incremental_versions(stage(staged, name), silver.read(name), config.keys)
         versions, seen = observed(versions, count_by("change_type", NEW, CHANGED, SAME))
         silver.append(versions.filter(F.col("change_type") != SAME), name)
     else:

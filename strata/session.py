@@ -10,6 +10,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.errors import ConfigError
+
 SQL_SETTINGS = {
     # One clock for all layers, so that text watermarks read back as they were written.
     "spark.sql.session.timeZone": "UTC",
@@ -43,14 +45,20 @@ def build_session(app: str = "strata", master: str | None = None, **conf: str) -
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder named in ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary folder in local mode; on a cluster, where other machines
+    could not see one, an error.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_scratch:
-        _own_scratch[app] = tempfile.mkdtemp(prefix="strata-")
-    return _own_scratch[app]
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ConfigError("spark.checkpoint.dir must name a folder that all executors can reach")
+    if context.applicationId not in _own_scratch:
+        _own_scratch[context.applicationId] = tempfile.mkdtemp(prefix="strata-")
+    return _own_scratch[context.applicationId]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

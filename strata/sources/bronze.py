@@ -1,9 +1,9 @@
-"""Extracts from source tables and the date-partitioned raw layer."""
+"""Extracts from source tables and the date-partitioned raw layer. Day folders are days in UTC."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +47,8 @@ def write_bronze(df: DataFrame, path: str, load_ts: datetime | None = None) -> N
     Without ``load_ts`` each row goes to the day of its ``audit_ts``, for a history of copies.
     """
     if load_ts is not None:
-        df.write.mode("append").option("compression", "snappy").parquet(f"{path}/{load_ts:year=%Y/month=%m/day=%d}")
+        folder = load_ts.astimezone(timezone.utc).strftime("year=%Y/month=%m/day=%d")
+        df.write.mode("append").option("compression", "snappy").parquet(f"{path}/{folder}")
         return
     day = {name: F.date_format("audit_ts", pattern) for name, pattern in _DAY_FOLDERS.items()}
     # Few files per day, while a day with many rows still spreads over several tasks.
@@ -64,9 +65,10 @@ def read_bronze(spark: SparkSession, path: str, since: datetime | None = None) -
 def since_day(df: DataFrame, since: datetime) -> DataFrame:
     """Rows in day partitions at or after the day of ``since`` (a partition filter)."""
     year, month, day = F.col("year"), F.col("month"), F.col("day")
-    later_month = (year == since.year) & (month > since.month)
-    same_month = (year == since.year) & (month == since.month) & (day >= since.day)
-    return df.filter((year > since.year) | later_month | same_month)
+    first = since.astimezone(timezone.utc)
+    later_month = (year == first.year) & (month > first.month)
+    same_month = (year == first.year) & (month == first.month) & (day >= first.day)
+    return df.filter((year > first.year) | later_month | same_month)
 
 
 def newer_than(df: DataFrame, ts: str, since: datetime | None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.errors import ConfigError
 from strata.functions import split_list
-from strata.schemas import CONFIG_SCHEMA, SOURCE_SYSTEM, SOURCES, WATERMARK_SCHEMA
+from strata.schemas import CONFIG_SCHEMA, SOURCE_SYSTEM, SOURCES
 
 LAYERS = ("Bronze", "Silver", "Gold")
 NO_WATERMARK = datetime(1900, 1, 1)  # fixed value: lower bound before the first load
@@ -82,9 +82,16 @@ def ingest_list(config: DataFrame, source_object: str = "ALL") -> DataFrame:
     return rows if source_object == "ALL" else rows.filter(F.col("source_object") == source_object)
 
 
-def watermark_rows(spark: SparkSession, layer: str, object_name: str, value: object, now: datetime) -> DataFrame:
-    """A log entry; the value is stored as text."""
-    return spark.createDataFrame([(now, layer, object_name, str(value), "datetime")], WATERMARK_SCHEMA)
+def watermark_rows(spark: SparkSession, layer: str, object_name: str, value: datetime, now: datetime) -> DataFrame:
+    """A log entry. Spark writes the value as text and reads it back, both in the session's time zone."""
+    entry = {
+        "timestamp": F.lit(now).cast("timestamp"),
+        "layer": F.lit(layer),
+        "object_name": F.lit(object_name),
+        "key_1": F.lit(value).cast("timestamp").cast("string"),
+        "key_1_desc": F.lit("datetime"),
+    }
+    return spark.range(1).select(*[column.alias(name) for name, column in entry.items()])
 
 
 def latest_watermarks(log: DataFrame) -> DataFrame:

@@ -244,7 +244,7 @@ def _two_loads(source: DataFrame, key: str, columns: list[str], unwanted: tuple[
     edited = F.col("LastEditedWhen")
     first = stage(staged(source.filter(edited < F.lit(CUT)), FIRST_LOAD), key)
     second = stage(staged(source.filter(edited >= F.lit(CUT)), SECOND_LOAD), key)
-    changes = incremental_versions(second, first)
+    changes = incremental_versions(second, first, [key])
     return first.unionByName(changes.filter(F.col("change_type") != SAME).select(*first.columns))
 
 

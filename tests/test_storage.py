@@ -1,5 +1,6 @@
 """Configuration, watermark log, raw files and stored tables."""
 
+import time
 from datetime import datetime
 
 import pytest
@@ -98,6 +99,25 @@ def test_delta_bounds(spark):
     assert source_high_water(df.limit(0), "edited").first()[0] == NO_WATERMARK
 
 
+def test_marks_and_folders_do_not_depend_on_the_clients_time_zone(spark, tmp_path, monkeypatch):
+    with monkeypatch.context() as zone:
+        zone.setenv("TZ", "Asia/Bangkok")
+        time.tzset()
+        try:
+            load = datetime(2024, 1, 2, 3)  # still January 1st in UTC
+            log = watermark_rows(spark, "bronze", "a", load, load)
+            assert latest_watermark(log, "bronze", "a") == load
+            assert log.first()["key_1"] == "2024-01-01 20:00:00"
+            path = str(tmp_path / "raw")
+            write_bronze(add_lineage(spark.range(1), "WWI", load), path, load)
+            write_bronze(read_bronze(spark, path).drop("year", "month", "day"), path)
+            assert [p.name for p in (tmp_path / "raw" / "year=2024" / "month=01").glob("day=*")] == ["day=01"]
+            assert read_bronze(spark, path, load).count() == 2
+        finally:
+            zone.undo()
+            time.tzset()
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

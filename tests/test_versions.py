@@ -26,6 +26,8 @@ from strata.operators import (
     merge_update,
     new_keys,
     replace_by_key,
+    restrict_to,
+    restrict_to_stored,
     scd1_next,
     scd2_next,
     scd2_recalc,
@@ -130,10 +132,23 @@ def test_key_that_disappears_and_returns(spark, rows_of):
     ]
 
 
+def test_restriction_by_range_keeps_every_row_of_the_keys(spark, rows_of):
+    history = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (5, "d"), (None, "e")], "k int, v string")
+    for keys, expected in (
+        ([2, 5], [("b",), ("c",), ("d",)]),
+        ([3], []),
+        ([None, 1], [("a",), ("e",)]),
+        ([], []),
+    ):
+        wanted = spark.createDataFrame([(k,) for k in keys], "k int")
+        assert rows_of(restrict_to_stored(history, wanted, "k"), "v") == expected
+        assert rows_of(restrict_to(history, wanted, "k"), "v") == [row for row in expected if row != ("e",)]
+
+
 def test_incremental_rerun_adds_nothing(spark):
-    table = silver(spark, [(1, " a "), (1, "a"), (2, " ")], T[0]).drop("deleted_audit_ts")
-    assert table.count() == 2
-    again = incremental_versions(silver(spark, [(1, "a"), (2, None)], T[1]).drop("deleted_audit_ts"), table)
+    table = silver(spark, [(1, " a "), (1, "a"), (2, " "), (None, "n")], T[0]).drop("deleted_audit_ts")
+    assert table.count() == 3
+    again = incremental_versions(silver(spark, [(1, "a"), (2, None), (None, "n")], T[1]).drop("deleted_audit_ts"), table, ["id"])
     assert {r["change_type"] for r in again.collect()} == {"same"}
 
 
