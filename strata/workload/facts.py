@@ -24,10 +24,15 @@ from strata.workload.versions import LINE_VERSIONS_SQL, ORDER_VERSIONS_SQL, line
 
 T0 = f"TIMESTAMP '{FIRST_LOAD}'"
 
-VERSIONS_SQL = f"""{LINE_VERSIONS_SQL}, {ORDER_VERSIONS_SQL}, lines_now AS (
+
+def versions_sql(line_versions: str) -> str:
+    return f"""{line_versions}, {ORDER_VERSIONS_SQL}, lines_now AS (
   SELECT * FROM lines_src_versions QUALIFY row_number() OVER (PARTITION BY OrderLineID ORDER BY audit_ts DESC) = 1)"""
 
 
+VERSIONS_SQL = versions_sql(LINE_VERSIONS_SQL)
+
+
 def base_sql(name: str, lines: str = "lines_now", orders: str = "orders_src_versions", where: str = "true") -> str:
     return f"""{name}_joined AS (
   SELECT l.OrderLineID, l.OrderID, l.StockItemID, l.Description, o.CustomerID, o.SalespersonPersonID,

@@ -12,7 +12,7 @@ from strata.operators import align_to
 from strata.plans import Layers, ingest_all, run_all
 from strata.schemas import DIMENSIONS, FACT_SALES, SOURCES, Source
 from strata.session import scratch_folder, stage
-from strata.workload.facts import FACT_SKEY_SQL, VERSIONS_SQL, base_sql
+from strata.workload.facts import FACT_SKEY_SQL, base_sql, versions_sql
 from strata.workload.inputs import (
     CUT,
     EARLY,
@@ -27,6 +27,7 @@ from strata.workload.inputs import (
     stock_items,
 )
 from strata.workload.registry import query, sql_text, sql_time
+from strata.workload.versions import CONFIGURED_LINE_VERSIONS_SQL
 
 
 def reader(spark: SparkSession, folder: str, period: str):
@@ -88,7 +89,7 @@ def ingested_increments(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "run_all",
-    f"""WITH {VERSIONS_SQL}, {base_sql("facts")}, {FACT_SKEY_SQL}
+    f"""WITH {versions_sql(CONFIGURED_LINE_VERSIONS_SQL)}, {base_sql("facts")}, {FACT_SKEY_SQL}
     SELECT fact_sales_skey, OrderLineID, OrderID, CustomerID, CustomerID AS "Dim_Customer",
            StockItemID, StockItemID AS "Dim_StockItems", SalespersonPersonID, SalespersonPersonID AS "Dim_People",
            {sql_text("OrderDate")}, Description, {sql_text("sales_amount_net")}, {sql_text("tax_amount")},

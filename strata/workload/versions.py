@@ -248,7 +248,9 @@ def _two_loads(source: DataFrame, key: str, columns: list[str], unwanted: tuple[
     return first.unionByName(changes.filter(F.col("change_type") != SAME).select(*first.columns))
 
 
-def _two_loads_sql(source: str, key: str, columns: list[str], expressions: dict[str, str]) -> str:
+def _two_loads_sql(source: str, key: str, columns: list[str], expressions: dict[str, str], absent: tuple[str, ...] = ()) -> str:
+    """SQL twin of the two loads. ``absent`` are configured columns without values; they are hashed as NULL."""
+    versioned = [c if c in columns else "NULL" for c in sorted([*columns, *absent])]
     cleaned = ", ".join(f"{expressions.get(c, c)} AS {c}" for c in columns)
 
     def load(name: str, test: str, when: str) -> str:
@@ -257,7 +259,7 @@ def _two_loads_sql(source: str, key: str, columns: list[str], expressions: dict[
   QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY LastEditedWhen DESC, row_hash DESC) = 1)"""
 
     return f"""{source}_clean AS (
-  SELECT *, {sql_hash(key)} AS hash_key, {sql_hash(*sorted(columns))} AS row_hash FROM (SELECT {cleaned} FROM {source})),
+  SELECT *, {sql_hash(key)} AS hash_key, {sql_hash(*versioned)} AS row_hash FROM (SELECT {cleaned} FROM {source})),
 {load(source + "_first", "<", T0)}, {load(source + "_second", ">=", T1)}, {source}_versions AS (
   SELECT * FROM {source}_first
   UNION ALL SELECT s.* FROM {source}_second s LEFT JOIN {source}_first f ON s.{key} = f.{key}
@@ -265,8 +267,11 @@ def _two_loads_sql(source: str, key: str, columns: list[str], expressions: dict[
 
 
 _TIMES = {c: f"CAST({c} AS TIMESTAMP)" for c in ("OrderDate", "ExpectedDeliveryDate", "LastEditedWhen")}
-LINE_VERSIONS_SQL = f"""{LINES_SQL}, {_two_loads_sql(
-    "lines_src", "OrderLineID", LINE_COLUMNS, {"Description": "nullif(trim(Description), '')"})}"""
+_CLEANED = {"Description": "nullif(trim(Description), '')"}
+LINE_VERSIONS_SQL = f"{LINES_SQL}, {_two_loads_sql('lines_src', 'OrderLineID', LINE_COLUMNS, _CLEANED)}"
+# The same with every configured column in the row hash, which decides between tied rows.
+CONFIGURED_LINE_VERSIONS_SQL = f"""{LINES_SQL}, {_two_loads_sql(
+    "lines_src", "OrderLineID", LINE_COLUMNS, _CLEANED, ("PackageTypeID", "PickingCompletedWhen", "LastEditedBy"))}"""
 ORDER_VERSIONS_SQL = f"{ORDERS_SQL}, {_two_loads_sql('orders_src', 'OrderID', ORDER_COLUMNS, _TIMES)}"
 
 

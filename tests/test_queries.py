@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from strata.workload import ORACLES, QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = os.environ.get("STRATA_TEST_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables not present")
 
 
