@@ -63,7 +63,8 @@ def add_surrogate_key(
     earlier partitions. What is broadcast is one row per partition, whatever the data size.
     Writing first keeps numbers stable: a retried task would otherwise sample new ranges.
     ``order`` must be a total order for the numbering to be repeatable. With ``after``,
-    numbering goes on from the largest ``skey`` of that frame.
+    numbering goes on from the largest ``skey`` of that frame. Finding the ranges reads ``df``
+    once more, so costly input should be stored first.
     """
     require_columns(df, order)
     by = [F.col(c).asc() for c in order]

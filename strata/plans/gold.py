@@ -56,15 +56,18 @@ def stage_members(current: DataFrame, keys: Sequence[str], columns: Sequence[str
     return with_hash_key(rows, keys).withColumn("row_hash", version)
 
 
-def load_dimension(layers: Layers, dim: Dimension, now: datetime) -> LoadResult:
-    """Bring a dimension up to the current rows of its source; deletions are not carried over."""
+def load_dimension(layers: Layers, dim: Dimension, now: datetime, *, hash_lookups: bool = False) -> LoadResult:
+    """Bring a dimension up to the current rows of its source; deletions are not carried over.
+
+    With ``hash_lookups=True`` a new value of a looked-up attribute is a change of the member.
+    """
     config = layers.config("Gold", dim.source.object)[dim.source.object]
     source = layers.silver.read(dim.source.object)
     current = current_versions(source, active="before")
     if dim.lookup:
         current = _with_lookup(layers, dim, current)
     with scratch_scope(layers.spark):
-        staged = stage_members(current, config.keys, config.columns, lookups=dim.lookup_columns)
+        staged = stage_members(current, config.keys, config.columns, lookups=dim.lookup_columns, hash_lookups=hash_lookups)
         target = _target(layers, dim, config)
         members, seen = observed(
             classify_members(staged, target, dim.skey), count_by("change_type", NEW, CHANGED, FILL, SAME)

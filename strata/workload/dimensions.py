@@ -54,12 +54,11 @@ OPEN_SQL = "TIMESTAMP '2999-12-31'"
 def _load(dim: DataFrame, source: DataFrame, key: str, columns: list[str], skey: str, when: datetime) -> DataFrame:
     """One load as the job does it: members stored, first versions appended, else the next state."""
     staged = stage_members(with_load(source, when), [key], columns)
-    members = classify_members(staged, dim, skey).filter(F.col("change_type") != SAME)
+    members = stage(classify_members(staged, dim, skey).filter(F.col("change_type") != SAME), "members")
     if when == FIRST_LOAD:
         return new_members(members, dim, skey=skey, keys=[key], now=load_time(when))
     step = scd2_next if "scd_from" in dim.columns else scd1_next
-    stored = stage(members, "members")
-    return step(dim, stored, skey=skey, keys=[key], attributes=columns, now=load_time(when))
+    return step(dim, members, skey=skey, keys=[key], attributes=columns, now=load_time(when))
 
 
 def _dimension(source, key: str, columns: list[str], skey: str, technical: str, periods: tuple[str, ...]) -> DataFrame:

@@ -158,7 +158,7 @@ def loaded_facts(spark: SparkSession, folder: str) -> DataFrame:
     first_time = F.col("audit_ts") == load_time(FIRST_LOAD)
     dims = {spec: stage(dim, spec.name) for spec, dim in _dimensions(spark, folder).items()}
     before = _with_keys(changed_facts(lines.filter(first_time), orders.filter(first_time), None), dims)
-    fact = add_surrogate_key(staged_facts(before), FACT_SKEY, ["OrderLineID", "hash_key"])
+    fact = add_surrogate_key(stage(staged_facts(before), "first_facts"), FACT_SKEY, ["OrderLineID", "hash_key"])
     changed = stage(staged_facts(_with_keys(changed_facts(lines, orders, FIRST_LOAD), dims)), "changed_facts")
     return replace_by_key(fact, changed).select(
         "fact_sales_skey", "hash_key", "row_hash", "OrderLineID", "OrderID", "customer_skey", "stockitem_skey",
