@@ -35,7 +35,7 @@ from strata.operators.changes import CHANGED, NEW, SAME
 from strata.operators.facts import FACT_KEYS, FACT_SKEY
 from strata.operators.lookup import UNKNOWN_TEXT
 from strata.operators.scd import FILL, SCD1_TECHNICAL, SCD2_TECHNICAL
-from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, count_by, observed
+from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, count_by, observed, side_by_side
 from strata.schemas import DIM_DATE, DIMENSIONS, FACT_SALES, ORDER_LINES, ORDERS, Dimension
 from strata.session import scratch_scope, stage
 from strata.sources.bronze import newer_than
@@ -129,12 +129,12 @@ def load_fact(layers: Layers, now: datetime, *, mode: str = "either", keep_skeys
     with scratch_scope(layers.spark):
         load_time = F.lit(now).cast("timestamp")
         base = stage(changed_facts(lines, orders, since, mode=mode, now=load_time), "fact_base")
-        counts = {}
+        inferred = side_by_side(lambda dim: load_inferred(layers, dim, base, now), DIMENSIONS)
+        counts = {f"inferred {result.table}": result.counts["inferred"] for result in inferred}
+        keyed = base
         for dim in DIMENSIONS:
-            counts[f"inferred {dim.name}"] = load_inferred(layers, dim, base, now).counts["inferred"]
-        for dim in DIMENSIONS:
-            base = lookup_skey(base, layers.gold.read(dim.name), dim.fact_key, dim.key, dim.skey)
-        counts.update(_write_facts(layers, base, keep_skeys))
+            keyed = lookup_skey(keyed, layers.gold.read(dim.name), dim.fact_key, dim.key, dim.skey)
+        counts.update(_write_facts(layers, keyed, keep_skeys))
     layers.advance("gold", FACT_SALES, reached, now, since)
     return LoadResult(FACT_SALES, LOADED, counts, reached)
 

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from strata.plans.layers import LOADED, LoadResult, Layers
+from strata.plans.layers import LOADED, LoadResult, Layers, side_by_side
 from strata.sources.bronze import add_lineage, extract_delta, extract_full, source_high_water, write_bronze
 from strata.sources.metadata import NO_WATERMARK, ObjectConfig, ingest_list, last_load
 
@@ -40,10 +39,7 @@ def ingest_object(layers: Layers, config: ObjectConfig, source: DataFrame, now:
 
 
 def ingest_all(layers: Layers, reader: Reader, now: datetime, *, source_object: str = "ALL", clock: str = "source") -> list[LoadResult]:
-    """All active objects of the Bronze config, or one of them. Each is one Spark write.
-
-    The objects do not depend on each other, so Spark gets their jobs together.
-    """
+    """All active objects of the Bronze config, or one of them. Each is one Spark write."""
     listing = ingest_list(layers.control.read(layers.CONFIG), source_object).orderBy("config_id")
     listed = [row["source_object"] for row in listing.collect()]
     configs = layers.config("Bronze", *(listed or [source_object])).values()
@@ -52,5 +48,4 @@ def ingest_all(layers: Layers, reader: Reader, now: datetime, *, source_object:
         source = reader(config.source_schema, config.source_table)
         return ingest_object(layers, config, source, now, clock=clock)
 
-    with ThreadPoolExecutor(max_workers=len(configs)) as pool:
-        return list(pool.map(ingest, configs))
+    return side_by_side(ingest, configs)

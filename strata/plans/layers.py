@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from threading import Lock
@@ -87,6 +89,13 @@ class Layers:
         return removed
 
 
+def side_by_side(load: Callable, items: Iterable) -> list:
+    """Run loads that do not depend on each other from parallel threads; Spark gets their jobs together."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        return list(pool.map(load, items))
+
+
 def count_by(column: str, *values: str) -> dict[str, Column]:
     return {value: F.count_if(F.col(column) == value) for value in values}
 

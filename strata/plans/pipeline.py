@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from strata.plans.gold import load_calendar, load_dimension, load_fact
 from strata.plans.ingest import Reader, ingest_all
-from strata.plans.layers import LoadResult, Layers
+from strata.plans.layers import LoadResult, Layers, side_by_side
 from strata.plans.silver import load_silver
 from strata.schemas import DIMENSIONS, SOURCES
 
 
 def run_silver(layers: Layers, now: datetime) -> list[LoadResult]:
-    """The six cleaned tables. They do not depend on each other, so Spark gets their jobs together."""
-    with ThreadPoolExecutor(max_workers=len(SOURCES)) as pool:
-        return list(pool.map(lambda source: load_silver(layers, source.object, now), SOURCES))
+    """The six cleaned tables."""
+    return side_by_side(lambda source: load_silver(layers, source.object, now), SOURCES)
 
 
 def run_gold(layers: Layers, now: datetime, *, fact_mode: str = "either") -> list[LoadResult]:
     """Calendar, dimensions, then the fact table that refers to them."""
     return [
         load_calendar(layers),
-        *(load_dimension(layers, dim, now) for dim in DIMENSIONS),
+        *side_by_side(lambda dim: load_dimension(layers, dim, now), DIMENSIONS),
         load_fact(layers, now, mode=fact_mode),
     ]
 

@@ -74,7 +74,7 @@ def high_water_of_sources(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "bronze_partition_range",
     f"""SELECT event_id, user_id, event_type, {sql_time("ts", "audit_ts")},
-           year(ts) AS year, month(ts) AS month, day(ts) AS day
+           CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
     FROM events WHERE ts > TIMESTAMP '{_SINCE}'""",
 )
 def bronze_since(spark: SparkSession, folder: str) -> DataFrame:

@@ -171,11 +171,13 @@ def numbered(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH days AS (
       SELECT CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS d
       FROM (SELECT date_trunc('year', min(o_orderdate)) AS d0, max(o_orderdate) AS d1 FROM orders))
-    SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, {sql_text("d", "full_date")}, year(d) AS year,
-           quarter(d) AS quarter, 'Q' || quarter(d) AS quarter_name, month(d) AS month,
-           strftime(d, '%B') AS month_name, strftime(d, '%b') AS month_short, day(d) AS day,
-           dayofweek(d) + 1 AS day_of_week, strftime(d, '%A') AS day_name, strftime(d, '%a') AS day_short,
-           weekofyear(d) AS week_of_year, dayofweek(d) IN (0, 6) AS is_weekend, day(d) = 1 AS is_month_start,
+    SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, {sql_text("d", "full_date")},
+           CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+           'Q' || quarter(d) AS quarter_name, CAST(month(d) AS INTEGER) AS month,
+           strftime(d, '%B') AS month_name, strftime(d, '%b') AS month_short, CAST(day(d) AS INTEGER) AS day,
+           CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, strftime(d, '%A') AS day_name,
+           strftime(d, '%a') AS day_short, CAST(weekofyear(d) AS INTEGER) AS week_of_year,
+           dayofweek(d) IN (0, 6) AS is_weekend, day(d) = 1 AS is_month_start,
            last_day(d) = d AS is_month_end, CAST(strftime(d, '%Y%m') AS INTEGER) AS year_month_key,
            year(d) || '-Q' || quarter(d) AS year_quarter
     FROM days""",
