@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import mixed, rolling, text_of, word_hashes
+from strata.llm.common import bounded_broadcast, columns_of, mixed, rolling, text_of, whole_row, word_hashes
 from strata.session import stage
 
 WIDTH = 5
@@ -42,6 +42,7 @@ SMALL = 24  # sets of up to so many shingles may be enumerated
 FREQUENT = 500_000  # shingles that are told apart by frequency
 SEEN = 8  # least count of those
 CHUNK = 2_000_000  # shingles that a task counts at a time
+NEEDED = 1_000_000  # keys (8 bytes each) of texts to compare that are broadcast; more are joined by a shuffle
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -258,8 +259,8 @@ def screened(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, as edges (u, v). Only texts that a pair needs travel to it."""
     needed = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    texts = docs.groupBy("key").agg(F.first("text").alias("text")).join(needed, "key", "left_semi")
-    texts = stage(texts, "jaccard-texts")
+    needed = bounded_broadcast(stage(needed, "jaccard-needed"), NEEDED)
+    texts = stage(docs.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "jaccard-texts")
     a, b = (texts.select(F.col("key").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
     return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(linked, "u long, v long")
 
@@ -355,11 +356,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     keep = first.select("f.doc_id", "f._key").withColumn("_one", F.lit(True))
     keep = keep.union(found.filter("n_shingles = 0").select("doc_id", "_key", F.lit(False)).distinct())
     keep = stage(keep.toDF("_doc", "_text", "_one"), "jaccard-kept")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64(text_of()).alias("_key"))
+    rows = docs.select(whole_row(docs), F.col("doc_id").alias("_id"), F.xxhash64(text_of()).alias("_key"))
     rows = rows.join(keep, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text")))
     nth = F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_one"))
     rows = rows.withColumn("_nth", nth).filter("not _one or _nth = 1")
-    return rows.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return rows.select(*columns_of(docs))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
