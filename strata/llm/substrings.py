@@ -12,7 +12,8 @@ its segments and streams them through it: backward search gives for every end po
 the longest match that occurs elsewhere, up to ``width``; ends that reach it are reported.
 
 Shards have a fixed size and their number grows with the input. Anchors with very many different
-segments are split: their windows travel one by one and are dealt by their own content.
+segments fit in no shard; their windows travel one by one, and those that come twice are
+repeats, which is again settled by counting.
 """
 
 from __future__ import annotations
@@ -188,39 +189,64 @@ PASSAGES = "shard long, doc_id long, digest long, start int, n int, once boolean
 
 
 def fetch_words(width: int, shards: int):
-    """Maps doc_id, digest, text, wanted (structs of start, n, anchor, once, hot) to PASSAGES."""
+    """Maps doc_id, digest, text, wanted (structs of start, n, anchor, once) to PASSAGES."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, digest, text, wanted in zip(*(batch.column(c) for c in ("doc_id", "digest", "text", "wanted")), strict=True):
+            rows, origin = [], []
+            for i, (text, wanted) in enumerate(zip(batch.column("text"), batch.column("wanted"), strict=True)):
                 words = text.as_py().split()
                 hashes = word_hashes(words, len(words))
                 for x in wanted.as_py():
                     start, n = x["start"], x["n"]
-                    if x["hot"]:
-                        begin = np.arange(start, start + n)
-                        route = spans_hash(hashes, begin, begin + width).view(np.int64)
-                        rows += [(int(r % shards), doc, digest, int(b), 1, x["once"], hashes[b : b + width].tobytes()) for r, b in zip(route, begin, strict=True)]
-                    else:
-                        rows.append((x["anchor"] % shards, doc, digest, start, n, x["once"], hashes[start : start + n + width - 1].tobytes()))
-                    if len(rows) >= 20_000:
-                        yield packed(rows)
-                        rows = []
+                    rows.append((x["anchor"] % shards, start, n, x["once"], hashes[start : start + n + width - 1].tobytes()))
+                    origin.append(i)
             if rows:
-                yield packed(rows)
+                shard, start, n, once, words = zip(*rows, strict=True)
+                at = pa.array(origin)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int64()), batch.column("doc_id").take(at), batch.column("digest").take(at),
+                     pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(once, pa.bool_()), pa.array(words, pa.binary())],
+                    ["shard", "doc_id", "digest", "start", "n", "once", "words"],
+                )
 
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        shard, doc, digest, start, n, once, words = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(shard, pa.int64()), pa.array([x.as_py() for x in doc], pa.int64()), pa.array([x.as_py() for x in digest], pa.int64()),
-             pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(once, pa.bool_()), pa.array(words, pa.binary())],
-            ["shard", "doc_id", "digest", "start", "n", "once", "words"],
-        )
+    return run
+
+
+WINDOWS = "window long, doc_id long, digest long, start int, once boolean"
+
+
+def fetch_windows(width: int):
+    """Maps doc_id, digest, text, wanted to WINDOWS: each window of the wanted segments by its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, origin = [], []
+            for i, (text, wanted) in enumerate(zip(batch.column("text"), batch.column("wanted"), strict=True)):
+                words = text.as_py().split()
+                hashes = word_hashes(words, len(words))
+                for x in wanted.as_py():
+                    at = np.arange(x["start"], x["start"] + x["n"])
+                    found.append((spans_hash(hashes, at, at + width).view(np.int64), at.astype(np.int32), np.full(len(at), x["once"])))
+                    origin.append(np.full(len(at), i))
+            if found:
+                window, start, once = (np.concatenate(x) for x in zip(*found, strict=True))
+                at = pa.array(np.concatenate(origin))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(window), batch.column("doc_id").take(at), batch.column("digest").take(at), pa.array(start), pa.array(once)],
+                    ["window", "doc_id", "digest", "start", "once"],
+                )
 
     return run
 
 
+def with_wanted(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """The documents of ``listed`` (doc_id, digest, x) with all their x as ``wanted``."""
+    wanted = listed.groupBy("doc_id", "digest").agg(F.collect_list("x").alias("wanted")).withColumnsRenamed({"doc_id": "d", "digest": "g"})
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))
+    return docs.join(wanted, same).select("doc_id", "digest", "text", "wanted")
+
+
 def repeats(docs: DataFrame, width: int = 35) -> DataFrame:
     """Runs of windows that occur elsewhere (REPEATS) in ``docs`` (doc_id, digest, text as bytes).
 
@@ -236,18 +262,20 @@ def repeats(docs: DataFrame, width: int = 35) -> DataFrame:
     counts = stage(counts, "substring-counts")
     twice = mixed_up.join(counts.filter("times > 1").select("anchor", "seg"), ["anchor", "seg"]).select("doc_id", "digest", "start", "n")
     sizes = stage(counts.groupBy("anchor").agg(F.count("*").alias("kinds")).withColumn("hot", F.col("kinds") > HOT_SEGMENTS), "substring-anchor-sizes")
-    hot = sizes.filter("hot").select(F.col("anchor"), F.lit(True).alias("hot"))
-    listed = counts.join(hot, "anchor", "left").select(
-        "at.doc_id", "at.digest",
-        F.struct("at.start", "at.n", "anchor", (F.col("times") == 1).alias("once"), F.coalesce("hot", F.lit(False)).alias("hot")).alias("x"),
-    )
-    words = listed.agg(F.sum(F.when(F.col("x.hot"), F.col("x.n") * (width + 1)).otherwise(F.col("x.n") + width))).first()[0] or 0
+    x = F.struct("at.start", "at.n", "anchor", (F.col("times") == 1).alias("once")).alias("x")
+    listed = counts.join(sizes.filter("not hot").select("anchor"), "anchor").select("at.doc_id", "at.digest", x)
+    words = listed.agg(F.sum(F.col("x.n") + width)).first()[0] or 0
     shards = max(1, ceil(words / SHARD_WORDS))
-    wanted = listed.groupBy("doc_id", "digest").agg(F.collect_list("x").alias("wanted")).withColumnsRenamed({"doc_id": "d", "digest": "g"})
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))).select("doc_id", "digest", "text", "wanted")
-    passages = texts.mapInArrow(fetch_words(width, shards), PASSAGES)
+    passages = with_wanted(docs, listed).mapInArrow(fetch_words(width, shards), PASSAGES)
     edges = passages.groupBy("shard").applyInArrow(shard_repeats(width), REPEATS)
-    return known.union(twice).union(edges)
+    found = known.union(twice).union(edges)
+    hot = sizes.filter("hot").select("anchor")
+    if hot.isEmpty():
+        return found
+    listed = counts.join(hot, "anchor").select("at.doc_id", "at.digest", x)
+    windows = stage(with_wanted(docs, listed).mapInArrow(fetch_windows(width), WINDOWS), "substring-windows")
+    again = stage(windows.groupBy("window").agg(F.count("*").alias("times")).filter("times > 1").select("window"), "substring-again")
+    return found.union(windows.filter("once").join(again, "window").select("doc_id", "digest", "start", F.lit(1).alias("n")))
 
 
 KEPT = "doc_id long, n_words long, n_removed long, kept string"
