@@ -29,6 +29,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, ``_row``, whose names can't clash with working columns."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
+def columns_of(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs`` out of the struct ``_row``."""
+    return [F.col("_row").getField(c).alias(c) for c in docs.columns]
+
+
 def lower_ascii(text: Column) -> Column:
     """``A-Z`` lower-cased and nothing else; plain ``lower`` does it where all characters are ASCII."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

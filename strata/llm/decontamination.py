@@ -17,16 +17,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ALNUM_WORDS, BROADCAST_ROWS, UPPER, LOWER, bounded_broadcast, text_of
+from strata.llm.common import (
+    ALNUM_WORDS,
+    BROADCAST_ROWS,
+    bounded_broadcast,
+    columns_of,
+    lower_ascii,
+    text_of,
+    whole_row,
+)
 from strata.session import stage
 
 SHINGLE = 3
 
 
 def words_of(text: Column) -> Column:
-    """Words in lower case (``A-Z`` only). Where there are no upper-case letters, texts stay as they are."""
-    lowered = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.regexp_extract_all(lowered, F.lit(ALNUM_WORDS), F.lit(0))
+    """Words in lower case (``A-Z`` only)."""
+    return F.regexp_extract_all(lower_ascii(text), F.lit(ALNUM_WORDS), F.lit(0))
 
 
 def shingle_at(words: Column, position: Column, size: int) -> Column:
@@ -134,8 +141,9 @@ def clean_documents(docs: DataFrame, items: DataFrame, width: int = 10, share: f
     found = contamination(docs.select("doc_id", "text"), items, width)
     bad = found.filter((F.col("n_hit") > 0) & (F.col("n_hit") > F.col("n_words") * share))
     bad = bad.select(F.col("doc_id").alias("_bad"), F.col("_digest").alias("_bad_text")).distinct()
-    key = F.col("_bad").eqNullSafe(docs["doc_id"]) & (F.col("_bad_text") == F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
-    return docs.join(bad, key, "left_anti")
+    rows = docs.select(whole_row(docs), F.col("doc_id").alias("_id"), F.xxhash64(text_of()).alias("_key"))
+    same = F.col("_bad").eqNullSafe(F.col("_id")) & (F.col("_bad_text") == F.col("_key"))
+    return rows.join(bad, same, "left_anti").select(*columns_of(docs))
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORDS, permute, text_of
+from strata.llm.common import WORDS, permute, text_of, whole_row
 from strata.session import stage
 
 GRID = 65_536  # steps in which the multinomial draw tells sources apart
@@ -176,7 +176,7 @@ def mixed_documents(docs: DataFrame, block: int = 1024, **options) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("_from", "_len"))).alias("_runs")
     )
     sources = F.broadcast(plan.sources.select(F.col("_source").alias("_named"), "_src", "_chunks"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("source").alias("_source"),
+    rows = docs.select(whole_row(docs), F.col("source").alias("_source"),
                        F.col("doc_id").alias("_doc"), F.xxhash64(F.lit(seed), F.col("doc_id"), text_of()).alias("_key"))
     rows = rows.join(sources, F.col("_source").eqNullSafe(F.col("_named"))).withColumn("_chunk", F.pmod(F.col("_key"), F.col("_chunks")))
     rows = rows.withColumn("_pos", F.row_number().over(Window.partitionBy("_src", "_chunk").orderBy("_key", "_doc")))

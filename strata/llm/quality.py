@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import rolling, text_of, word_hashes
+from strata.llm.common import columns_of, rolling, text_of, whole_row, word_hashes
 from strata.session import stage
 
 #: Frequent short words of the corpus languages (fixed values).
@@ -185,10 +185,9 @@ def score_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 def good_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, that are kept. Texts are measured twice instead of shuffled."""
     model = learn(docs.select(features_of(text_of()).alias("f")).select("f.pattern"))
-    seen = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), features_of(text_of()).alias("f"))
-    seen = seen.select("row", "f.*")
+    seen = docs.select(whole_row(docs), features_of(text_of()).alias("f")).select("_row", "f.*")
     kept = seen.filter(~base_failed() & (model.posterior(F.col("pattern")) >= threshold))
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return kept.select(*columns_of(docs))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import text_of
+from strata.llm.common import columns_of, text_of, whole_row
 from strata.session import scratch_folder, stage
 
 #: The kinds in the order of their names in results (patterns of the contract are fixed values).
@@ -101,7 +101,7 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[str, ...] = tuple(RULES)) ->
 def findings(docs: DataFrame, ledger: str, rules: tuple[str, ...] = tuple(RULES)) -> DataFrame:
     """Every row of ``docs`` with _spans, all findings of its blob under ``rules``: start, place of the kind, kind, end.
 
-    Columns of ``docs`` stay; names that clash with the added one are not supported for ``_spans``.
+    All columns of ``docs`` stay, but one named ``_spans`` is replaced.
     """
     kinds = list(dict.fromkeys(RULES[r][0] for r in rules))
     entries = read_ledger(docs.sparkSession, ledger).filter(F.size("found") > 0)
@@ -110,8 +110,11 @@ def findings(docs: DataFrame, ledger: str, rules: tuple[str, ...] = tuple(RULES)
     )
     # Written before the join, so that Spark can split a blob that very many paths hold.
     spans = stage(spans.groupBy("blob").agg(F.sort_array(F.collect_set("s")).alias("_spans")), "ledger-findings")
-    joined = docs.withColumn("_blob", F.sha2(text_of(), 256)).join(spans.withColumnRenamed("blob", "_found"), F.col("_blob") == F.col("_found"), "left")
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("_spans", F.array().cast(spans.schema["_spans"].dataType)).alias("_spans"))
+    docs = docs.drop("_spans")
+    rows = docs.select(whole_row(docs), F.sha2(text_of(), 256).alias("_blob"))
+    joined = rows.join(spans.withColumnRenamed("blob", "_found"), F.col("_blob") == F.col("_found"), "left")
+    none = F.array().cast(spans.schema["_spans"].dataType)
+    return joined.select(*columns_of(docs), F.coalesce("_spans", none).alias("_spans"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -1,9 +1,14 @@
 """Operator 9: toxicity by averaged subword embeddings and a linear softmax, trained jointly.
 
-A text is the bag of its distinct words; each word is itself and its character n-grams, hashed to rows of one
-embedding table. The average of all rows goes through a linear softmax. Misspellings that were never
-seen share most n-grams with words that were. Table and softmax are trained together in numpy on a
-bounded sample of labelled rows; every text of the corpus is then scored whole, in parallel.
+A word is the bag of its character n-grams and itself, each hashed to a row of one embedding table. The
+average of its rows goes through a linear softmax. Misspellings that were never seen share most
+n-grams with words that were. Every word of a labelled text is an example of the text's label:
+words of both classes cancel out, those of toxic texts alone don't. Table and softmax are trained
+together in numpy on a bounded sample of labelled rows.
+
+A few toxic words are lost in the average over a long text, so a text is scored by the average of
+the bags that lean most to toxic; how high that is in ordinary texts is learned from rows set
+aside. Every text of the corpus is scored whole, in parallel.
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nlargest
 
 import numpy as np
 import pyarrow as pa
@@ -21,86 +27,113 @@ from pyspark.sql import functions as F
 from strata.llm.common import text_of
 from strata.session import stage
 
-TOKEN = re.compile(r"[^\W_]+")
+TOKEN = re.compile(r"[^\W\d_]+")
 SCORED = "doc_id long, score double"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled rows per class that are fitted on, at most."""
+    """``sample``: labelled rows per class that are fitted on, at most; one in ``aside`` of them
+    calibrates the score. ``seen``: texts in which an n-gram must occur to get an embedding.
+    ``doubt``: texts of each class that every word is counted in besides its own. ``top``: bags averaged per text."""
 
     buckets: int = 1 << 17
     width: int = 16
-    grams: tuple[int, ...] = (3, 4, 5)
+    grams: tuple[int, ...] = (3, 4, 5, 6)
     sample: int = 2_000
-    epochs: int = 12
-    batch: int = 64
-    rate: float = 0.02
+    aside: int = 4
+    seen: int = 4
+    doubt: float = 1.0
+    top: int = 2
+    epochs: int = 5
+    batch: int = 1_024
+    rate: float = 0.05
     seed: int = 909
 
 
-def subwords(word: str, settings: Settings) -> list[int]:
-    """Buckets of a word and its character n-grams."""
+def subwords(word: str, settings: Settings) -> np.ndarray:
+    """Buckets of a word and its character n-grams; bucket 0 belongs to every word."""
     marked = f"<{word}>"
-    parts = [marked, *(marked[i : i + n] for n in settings.grams for i in range(len(marked) - n + 1))]
-    return [xxhash.xxh3_64_intdigest(p.encode("utf-8", "replace")) % settings.buckets for p in parts]
+    parts = {marked, *(marked[i : i + n] for n in settings.grams for i in range(len(marked) - n + 1))}
+    ids = {1 + xxhash.xxh3_64_intdigest(p.encode("utf-8", "replace")) % (settings.buckets - 1) for p in parts}
+    return np.array([0, *sorted(ids)])
 
 
-def words_in(text: str) -> list[str]:
-    """Different words, lower-cased, in order of their first place."""
-    return list(dict.fromkeys(TOKEN.findall(text.lower())))
+def words_in(text: str) -> set[str]:
+    """The different words of letters, lower-cased."""
+    return set(TOKEN.findall(text.lower()))
 
 
 @dataclass(frozen=True)
 class Model:
+    """``toward``: how far each known bucket leans to toxic. ``slope`` and ``shift`` calibrate."""
+
     settings: Settings
-    table: np.ndarray
-    weights: np.ndarray
-    bias: np.ndarray
+    toward: np.ndarray
+    known: np.ndarray
+    bias: float
+    slope: float = 1.0
+    shift: float = 0.0
 
     def scorer(self):
-        """A function from texts to scores. The model is linear, so each word adds one known number."""
-        toward = self.table @ (self.weights[:, 1] - self.weights[:, 0])
-        bias = float(self.bias[1] - self.bias[0])
-        known: dict[str, tuple[float, int]] = {}
-
-        def of(word: str) -> tuple[float, int]:
-            ids = subwords(word, self.settings)
-            return float(toward[ids].sum()), len(ids)
+        """A function from texts to scores. The model is linear, so each word has one known lean."""
+        leans: dict[str, float] = {}
+
+        def lean(word: str) -> float:
+            got = leans.get(word)
+            if got is None:
+                if len(leans) > 400_000:
+                    leans.clear()
+                ids = subwords(word, self.settings)
+                got = leans[word] = self.bias + float(self.toward[ids[self.known[ids]]].mean())
+            return got
 
         def score(text: str) -> float:
-            total, n = 0.0, 0
-            for word in words_in(text):
-                got = known.get(word)
-                if got is None:
-                    if len(known) > 400_000:
-                        known.clear()
-                    got = known[word] = of(word)
-                total, n = total + got[0], n + got[1]
-            logit = bias + (total / n if n else 0.0)
-            return float(1 / (1 + np.exp(-np.clip(logit, -40, 40))))
+            best = nlargest(self.settings.top, map(lean, words_in(text)))
+            lean_of_text = sum(best) / len(best) if best else self.bias + float(self.toward[0])
+            return float(1 / (1 + np.exp(-np.clip(self.slope * lean_of_text + self.shift, -40, 40))))
 
         return score
 
 
+def calibrate(leans: np.ndarray, labels: np.ndarray, rounds: int = 4_000) -> tuple[float, float]:
+    """Slope and shift of a logistic curve through scores and labels."""
+    if len(set(labels.tolist())) < 2:
+        return 1.0, 0.0
+    middle, spread = leans.mean(), leans.std() + 1e-9
+    x, slope, shift = (leans - middle) / spread, 1.0, 0.0
+    for _ in range(rounds):
+        wrong = 1 / (1 + np.exp(-(slope * x + shift))) - labels
+        slope, shift = slope - 2 * ((wrong * x).mean() + 1e-4 * slope), shift - 2 * wrong.mean()
+    return float(slope / spread), float(shift - slope * middle / spread)
+
+
 def train(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
-    """Joint training with Adam on batches. Classes weigh the same. Without both classes, every score is 0."""
-    rng = np.random.default_rng(settings.seed)
-    table = rng.normal(0, 0.1, (settings.buckets, settings.width)).astype(np.float32)
-    weights, bias = rng.normal(0, 0.1, (settings.width, 2)).astype(np.float32), np.zeros(2, np.float32)
+    """Joint training with Adam on batches of words, each class weighing the same. Without both classes, every score is 0."""
     if len(set(labels.tolist())) < 2:
-        return Model(settings, table * 0, weights, np.array([40.0, 0.0], np.float32))
-    cache: dict[str, list[int]] = {}
-    bags = []
-    for text in texts:
-        bag: list[int] = []
-        for word in words_in(text):
-            if word not in cache:
-                cache[word] = subwords(word, settings)
-            bag += cache[word]
-        bags.append(np.array(bag or [0], np.int64))
-    balance = len(labels) / (2 * np.bincount(labels, minlength=2))
-    moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in (("t", table), ("w", weights), ("b", bias))}
+        return Model(settings, np.zeros(settings.buckets, np.float32), np.ones(settings.buckets, bool), 0.0, 0.0, -40.0)
+    rng = np.random.default_rng(settings.seed)
+    order = rng.permutation(len(texts))
+    aside, used = order[:: settings.aside], np.delete(order, np.s_[:: settings.aside])
+    counts: dict[str, list[int]] = {}
+    for i in used:
+        for word in words_in(texts[i]):
+            counts.setdefault(word, [0, 0])[labels[i]] += 1
+    words = sorted(counts)
+    times = np.array([counts[w] for w in words], np.float64).reshape(-1, 2)
+    bags = [subwords(w, settings) for w in words]
+    seen = np.zeros(settings.buckets)
+    for bag, n in zip(bags, times.sum(1), strict=True):
+        seen[bag] += n
+    known = seen >= settings.seen
+    known[0] = True
+    bags = [bag[known[bag]] for bag in bags]
+    share = (times + settings.doubt) / np.maximum(np.bincount(labels[used], minlength=2), 1)
+    share /= max(share.sum(1).mean(), 1e-12) if len(share) else 1
+
+    table = rng.normal(0, 0.01, (settings.buckets, settings.width)).astype(np.float32)
+    weights, bias = rng.normal(0, 0.3, (settings.width, 2)).astype(np.float32), np.zeros(2, np.float32)
+    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in (("t", table), ("w", weights), ("b", bias))}
     step = 0
 
     def adam(key: str, value: np.ndarray, grad: np.ndarray, rows=slice(None)) -> None:
@@ -110,28 +143,30 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
         value[rows] -= settings.rate * (m[rows] / (1 - 0.9**step)) / (np.sqrt(v[rows] / (1 - 0.999**step)) + 1e-8)
 
     for _ in range(settings.epochs):
-        order = rng.permutation(len(bags))
-        for start in range(0, len(order), settings.batch):
-            picked = order[start : start + settings.batch]
+        turn = rng.permutation(len(bags))
+        for start in range(0, len(turn), settings.batch):
+            picked = turn[start : start + settings.batch]
             sizes = np.array([len(bags[i]) for i in picked])
             ids, first = np.concatenate([bags[i] for i in picked]), np.concatenate([[0], np.cumsum(sizes)[:-1]])
             mean = np.add.reduceat(table[ids], first) / sizes[:, None]
             logits = mean @ weights + bias
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            p[np.arange(len(picked)), labels[picked]] -= 1
-            wrong = (p * balance[labels[picked]][:, None] / len(picked)).astype(np.float32)
+            wanted = share[picked]
+            wrong = ((p * wanted.sum(1, keepdims=True) - wanted) / len(picked)).astype(np.float32)
             down = (wrong @ weights.T) / sizes[:, None]
             rows, place = np.unique(ids, return_inverse=True)
-            grad = np.empty((len(rows), settings.width), np.float32)
             spread = np.repeat(np.arange(len(picked)), sizes)
-            for k in range(settings.width):
-                grad[:, k] = np.bincount(place, weights=down[spread, k], minlength=len(rows))
+            grad = np.stack([np.bincount(place, weights=down[spread, k], minlength=len(rows)) for k in range(settings.width)], 1)
             step += 1
-            adam("t", table, grad, rows)
+            adam("t", table, grad.astype(np.float32), rows)
             adam("w", weights, mean.T @ wrong)
             adam("b", bias, wrong.sum(0))
-    return Model(settings, table, weights, bias)
+    plain = Model(settings, table @ (weights[:, 1] - weights[:, 0]), known, float(bias[1] - bias[0]))
+    score = plain.scorer()
+    leans = np.array([score(texts[i]) for i in aside])
+    leans = np.log(leans / (1 - leans))
+    return Model(settings, plain.toward, known, plain.bias, *calibrate(leans, labels[aside]))
 
 
 def held_out() -> F.Column:
