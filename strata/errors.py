@@ -13,6 +13,14 @@ class MissingColumns(LoadError):
     """A frame lacks required columns."""
 
 
+class UnknownColumns(LoadError):
+    """Rows hold columns that the table lacks and that would be lost."""
+
+
+class UnmarkedRows(LoadError):
+    """Source rows have no value in the watermark column."""
+
+
 class MissingTable(LoadError):
     """A required table does not exist."""
 

@@ -26,6 +26,7 @@ ROW_HASH_COLUMNS = (
     "sales_amount_net", "tax_amount", "sales_amount_gross",
 )
 
+# Fixed value: the stored columns in their order, behind the surrogate key.
 FACT_COLUMNS = (
     "hash_key", "row_hash", "audit_ts", "updated_audit_ts", "source_id",
     "OrderID", "OrderLineID", "CustomerID", "StockItemID", "SalespersonPersonID",
@@ -107,19 +108,22 @@ def replace_by_key(
     order: Sequence[str] = (*FACT_KEYS, "hash_key"),
     keep_skeys: bool = True,
     numbered: DataFrame | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows with those of the staged keys replaced.
 
     A replaced row keeps its surrogate key and only new rows are numbered, from the largest
     key in use. ``keep_skeys=False`` numbers every staged row, from the largest key of the
-    rows that stay. When ``fact`` is only a part of the table, ``numbered`` is all of it.
+    rows that stay. When ``fact`` is only a part of the table, ``numbered`` is all of it. ``stored``
+    holds the hash and surrogate keys of the staged rows that ``fact`` has, where they are already known.
     """
     everything = fact if numbered is None else numbered
     kept = merge_delete(fact, staged, ["hash_key"])
     if not keep_skeys:
         stays = kept if numbered is None else merge_delete(numbered, staged, ["hash_key"])
         return kept.unionByName(add_surrogate_key(staged, skey, order, after=stays).select(*fact.columns))
-    known = staged.join(fact.select("hash_key", skey), "hash_key", "left")
+    keys = (fact if stored is None else stored).select("hash_key", skey)
+    known = staged.join(keys, "hash_key", "left")
     replaced = known.filter(F.col(skey).isNotNull()).select(*fact.columns)
     new = add_surrogate_key(known.filter(F.col(skey).isNull()), skey, order, after=everything)
     return kept.unionByName(replaced).unionByName(new.select(*fact.columns))

@@ -2,7 +2,8 @@
 
 No join carries a broadcast hint: dimensions grow with the data, so Spark chooses a
 broadcast only under ``spark.sql.autoBroadcastJoinThreshold`` and a shuffled join beyond it,
-where AQE splits a key that holds a large share of the rows.
+where AQE splits a key that holds a large share of the rows, NULL included. It can do so only if the
+lookup side comes straight from a shuffle, so an aggregated one is stored first.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.shape import require_columns
+from strata.session import stage
 
 UNKNOWN_TEXT = "UNKNOWN"
 UNKNOWN_SKEY = -1
@@ -39,6 +41,9 @@ def enrich(df: DataFrame, lookup: DataFrame, on: Mapping[str, str], defaults: Ma
 
 
 def lookup_skey(df: DataFrame, dim: DataFrame, source_key: str, dim_key: str, skey: str) -> DataFrame:
-    """Surrogate key of the active dimension row; -1 for a missing or NULL key."""
+    """Surrogate key of the active dimension row; -1 for a missing or NULL key.
+
+    The narrow side, one row per active key, is written to the scratch folder.
+    """
     active = dim.filter(F.col("scd_active") == 1).groupBy(dim_key).agg(F.min(skey).alias(skey))
-    return enrich(df, active, {source_key: dim_key}, {skey: UNKNOWN_SKEY})
+    return enrich(df, stage(active, "active_members"), {source_key: dim_key}, {skey: UNKNOWN_SKEY})

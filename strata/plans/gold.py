@@ -35,13 +35,22 @@ from strata.operators.changes import CHANGED, NEW, SAME
 from strata.operators.facts import FACT_KEYS, FACT_SKEY
 from strata.operators.lookup import UNKNOWN_TEXT
 from strata.operators.scd import FILL, SCD1_TECHNICAL, SCD2_TECHNICAL
-from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, count_by, observed, side_by_side
+from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, count_by, observed, side_by_side, timed
 from strata.schemas import DIM_DATE, DIMENSIONS, FACT_SALES, ORDER_LINES, ORDERS, Dimension
 from strata.session import scratch_scope, stage
 from strata.sources.bronze import newer_than
 from strata.sources.metadata import ObjectConfig
 
 FACT_PARTITION = "order_month"
+# What facts use of the two histories, and what tells their versions apart.
+LINE_COLUMNS = (
+    "OrderLineID", "OrderID", "StockItemID", "Description", "Quantity", "UnitPrice", "TaxRate", "PickedQuantity",
+    "audit_ts", "source_id", "row_hash",
+)
+ORDER_COLUMNS = (
+    "OrderID", "CustomerID", "SalespersonPersonID", "OrderDate", "ExpectedDeliveryDate",
+    "audit_ts", "source_id", "row_hash",
+)
 
 
 def stage_members(current: DataFrame, keys: Sequence[str], columns: Sequence[str], *, lookups: Sequence[str] = (), hash_lookups: bool = False) -> DataFrame:
@@ -56,6 +65,7 @@ def stage_members(current: DataFrame, keys: Sequence[str], columns: Sequence[str
     return with_hash_key(rows, keys).withColumn("row_hash", version)
 
 
+@timed
 def load_dimension(layers: Layers, dim: Dimension, now: datetime, *, hash_lookups: bool = False) -> LoadResult:
     """Bring a dimension up to the current rows of its source; deletions are not carried over.
 
@@ -80,6 +90,7 @@ def load_dimension(layers: Layers, dim: Dimension, now: datetime, *, hash_lookup
     return LoadResult(dim.name, LOADED, counts)
 
 
+@timed
 def load_inferred(layers: Layers, dim: Dimension, facts: DataFrame, now: datetime) -> LoadResult:
     """Append placeholder rows for dimension keys that the facts use and the dimension lacks."""
     config = layers.config("Gold", dim.source.object)[dim.source.object]
@@ -107,6 +118,7 @@ def infer_ahead(layers: Layers, dim: Dimension, now: datetime) -> LoadResult:
     return load_inferred(layers, dim, restrict_to(side, other, "OrderID"), now)
 
 
+@timed
 def load_calendar(layers: Layers, start: date = FIRST_DAY, end: date = LAST_DAY) -> LoadResult:
     """Rebuild the calendar dimension."""
     days, seen = observed(calendar(layers.spark, start, end), {"days": F.count(F.lit(1))})
@@ -114,13 +126,15 @@ def load_calendar(layers: Layers, start: date = FIRST_DAY, end: date = LAST_DAY)
     return LoadResult(DIM_DATE, LOADED, seen.get)
 
 
+@timed
 def load_fact(layers: Layers, now: datetime, *, mode: str = "either", keep_skeys: bool = True) -> LoadResult:
     """Replace the fact rows of order lines that changed since the last load.
 
     The table is partitioned by order month, and only months that lose or gain a row are
     rewritten. Missing dimension members are inferred before their keys are looked up.
     """
-    lines, orders = layers.silver.read(ORDER_LINES.object), layers.silver.read(ORDERS.object)
+    lines = layers.silver.read(ORDER_LINES.object).select(*LINE_COLUMNS)
+    orders = layers.silver.read(ORDERS.object).select(*ORDER_COLUMNS)
     since = layers.watermark("gold", FACT_SALES)
     marks = [newer_than(df, "audit_ts", since).agg(F.max("audit_ts")).first()[0] for df in (lines, orders)]
     if not any(marks):
@@ -149,13 +163,16 @@ def _write_facts(layers: Layers, base: DataFrame, keep_skeys: bool) -> dict[str,
     fact = layers.gold.read(FACT_SALES)
     # Found by the business key: narrower than the hash, and its range skips row groups.
     key = FACT_KEYS[0]
-    replaced = restrict_to_stored(fact.select(key, FACT_PARTITION), staged, key)
+    stored = restrict_to_stored(fact.select(key, FACT_PARTITION, "hash_key", FACT_SKEY), staged, key)
+    replaced = stage(stored, "fact_stored")
     # One row per order month on the driver, never one per fact.
     months = {row[0]: row["count"] for row in replaced.groupBy(FACT_PARTITION).count().collect()}
     touched = set(months) | {row[0] for row in staged.select(FACT_PARTITION).distinct().collect()}
+    if not touched:
+        return {**seen.get, "replaced": 0}
     in_scope = fact.filter(F.col(FACT_PARTITION).isin(*touched))
-    rows = replace_by_key(in_scope, staged, keep_skeys=keep_skeys, order=order, numbered=fact)
-    layers.gold.replace_partitions(rows, FACT_SALES, FACT_PARTITION, sorted(touched))
+    rows = replace_by_key(in_scope, staged, keep_skeys=keep_skeys, order=order, numbered=fact, stored=replaced)
+    layers.gold.replace_partitions(rows, FACT_SALES, FACT_PARTITION, sorted(touched), evolve=True)
     return {**seen.get, "replaced": sum(months.values())}
 
 
@@ -171,13 +188,17 @@ def _with_lookup(layers: Layers, dim: Dimension, current: DataFrame) -> DataFram
 
 
 def _target(layers: Layers, dim: Dimension, config: ObjectConfig) -> DataFrame:
-    if layers.gold.exists(dim.name):
-        return layers.gold.read(dim.name)
     source = layers.silver.read(dim.source.object).schema
     columns = list(dict.fromkeys([*config.keys, *config.columns]))
     extra = dict.fromkeys(dim.lookup_columns, "string")
     technical = SCD2_TECHNICAL if dim.history else SCD1_TECHNICAL
-    return layers.spark.createDataFrame([], dimension_schema(source, dim.skey, columns, technical, extra))
+    wanted = dimension_schema(source, dim.skey, columns, technical, extra)
+    if not layers.gold.exists(dim.name):
+        return layers.spark.createDataFrame([], wanted)
+    target = layers.gold.read(dim.name)
+    # Columns that the configuration has gained are NULL in stored rows.
+    gained = {f.name: F.lit(None).cast(f.dataType) for f in wanted if f.name not in target.columns}
+    return target.withColumns(gained) if gained else target
 
 
 def _write_members(layers: Layers, dim: Dimension, config: ObjectConfig, target: DataFrame, members: DataFrame, counts: dict[str, int], now: Column) -> None:
@@ -196,6 +217,6 @@ def _write_members(layers: Layers, dim: Dimension, config: ObjectConfig, target:
 
 def _add(layers: Layers, table: str, rows: DataFrame) -> None:
     if layers.gold.exists(table):
-        layers.gold.append(rows, table)
+        layers.gold.append(rows, table, evolve=True)
     else:
         layers.gold.create(rows, table)

@@ -6,39 +6,58 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from strata.plans.layers import LOADED, LoadResult, Layers, side_by_side
-from strata.sources.bronze import add_lineage, extract_delta, extract_full, source_high_water, write_bronze
-from strata.sources.metadata import NO_WATERMARK, ObjectConfig, ingest_list, last_load
+from strata.errors import UnmarkedRows
+from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, observed, side_by_side, timed
+from strata.sources.bronze import add_lineage, extract_delta, extract_full, write_bronze
+from strata.sources.metadata import ObjectConfig, ingest_list, last_load
 
 # Gives the source table for a schema and table name: spark.table, a JDBC read, files, ...
 Reader = Callable[[str, str], DataFrame]
 
 
-def ingest_object(layers: Layers, config: ObjectConfig, source: DataFrame, now: datetime, *, clock: str = "source") -> LoadResult:
+@timed
+def ingest_object(
+    layers: Layers, config: ObjectConfig, source: DataFrame, now: datetime, *, clock: str = "source", unmarked: str = "take"
+) -> LoadResult:
     """Copy one source table, or what changed in it, to the raw layer.
 
-    A delta starts at the stored source watermark. ``clock="load"`` starts at the time of the
-    last load instead, which misses rows edited before it but after the watermark.
+    A delta starts at the stored source watermark; the first one takes everything. ``clock="load"``
+    starts at the time of the last load instead, which misses rows edited before it but after the
+    watermark. Rows without a watermark are taken by every load and counted, or with
+    ``unmarked="refuse"`` are an error before anything is written. A source without marks, such as
+    an empty one, leaves the stored mark as it is.
     """
     if clock not in ("source", "load"):
         raise ValueError(f"unknown clock {clock!r}")
+    if unmarked not in ("take", "refuse"):
+        raise ValueError(f"unknown choice for unmarked rows {unmarked!r}")
     high = marked = None
+    metrics = {"copied": F.count(F.lit(1))}
     if config.incremental:
         mark = config.watermark_column
         marked = layers.watermark("bronze", config.source_object)
         low = marked if clock == "source" else last_load(layers.watermarks, "bronze", config.source_object)
-        high = source_high_water(source, mark).first()[0]
-        rows = extract_delta(source, config.columns, mark, low or NO_WATERMARK, high)
+        high, without = source.agg(F.max(mark).cast("timestamp"), F.count_if(F.col(mark).isNull())).first()
+        if without and unmarked == "refuse":
+            raise UnmarkedRows(f"{config.source_object}: {without} rows have no {mark}")
+        # The configured columns need not hold the mark, so rows without one are counted above.
+        rows = extract_delta(source, config.columns, mark, low, high)
     else:
         rows = extract_full(source, config.columns)
-    write_bronze(add_lineage(rows, config.source_system, now), layers.bronze(config), now)
+    rows, seen = observed(add_lineage(rows, config.source_system, now), metrics)
+    write_bronze(rows, layers.bronze(config), now)
+    counts = {**seen.get, **({"unmarked": without} if config.incremental else {})}
     if high is not None:
         layers.advance("bronze", config.source_object, high, now, marked)
-    return LoadResult(config.source_object, LOADED, watermark=high)
+        high = high if marked is None else max(high, marked)
+    return LoadResult(config.source_object, LOADED if counts["copied"] else NO_NEW_DATA, counts, high or marked)
 
 
-def ingest_all(layers: Layers, reader: Reader, now: datetime, *, source_object: str = "ALL", clock: str = "source") -> list[LoadResult]:
+def ingest_all(
+    layers: Layers, reader: Reader, now: datetime, *, source_object: str = "ALL", clock: str = "source", unmarked: str = "take"
+) -> list[LoadResult]:
     """All active objects of the Bronze config, or one of them. Each is one Spark write."""
     listing = ingest_list(layers.control.read(layers.CONFIG), source_object).orderBy("config_id")
     listed = [row["source_object"] for row in listing.collect()]
@@ -46,6 +65,6 @@ def ingest_all(layers: Layers, reader: Reader, now: datetime, *, source_object:
 
     def ingest(config: ObjectConfig) -> LoadResult:
         source = reader(config.source_schema, config.source_table)
-        return ingest_object(layers, config, source, now, clock=clock)
+        return ingest_object(layers, config, source, now, clock=clock, unmarked=unmarked)
 
     return side_by_side(ingest, configs)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
+from functools import wraps
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,9 +17,12 @@ from strata.schemas import WATERMARK_SCHEMA
 from strata.session import configure
 from strata.sources.bronze import bronze_path
 from strata.sources.metadata import (
+    CONFIG_REQUIRED,
+    WATERMARK_REQUIRED,
     ObjectConfig,
     latest_watermark,
     load_config,
+    require_values,
     reset_watermark,
     seed_config,
     watermark_rows,
@@ -25,16 +30,29 @@ from strata.sources.metadata import (
 from strata.sources.tables import Tables
 
 LOADED, NO_NEW_DATA = "loaded", "no_new_data"
+MAX_LOADS = 8  # that run side by side
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Outcome of one load: row counts by kind and the watermark it reached."""
+    """Outcome of one load: row counts by kind, the watermark it reached and how long it took."""
 
     table: str
     status: str
     counts: dict[str, int] = field(default_factory=dict)
     watermark: datetime | None = None
+    seconds: float = 0.0
+
+
+def timed(load: Callable[..., LoadResult]) -> Callable[..., LoadResult]:
+    """Adds the duration of the load to its result."""
+
+    @wraps(load)
+    def run(*args, **options) -> LoadResult:
+        started = time.perf_counter()
+        return replace(load(*args, **options), seconds=time.perf_counter() - started)
+
+    return run
 
 
 class Layers:
@@ -52,7 +70,8 @@ class Layers:
 
     def set_up(self, config: DataFrame | None = None) -> Layers:
         """(Re)write the configuration; create the watermark log where it is missing."""
-        self.control.replace(seed_config(self.spark) if config is None else config, self.CONFIG)
+        config = seed_config(self.spark) if config is None else config
+        self.control.replace(require_values(config, CONFIG_REQUIRED), self.CONFIG)
         if not self.control.exists(self.WATERMARK):
             self.control.create(self.spark.createDataFrame([], WATERMARK_SCHEMA), self.WATERMARK)
         return self
@@ -75,11 +94,12 @@ class Layers:
         return latest_watermark(self.watermarks, layer, object_name)
 
     def advance(self, layer: str, object_name: str, value: datetime, now: datetime, previous: datetime | None) -> None:
-        """Log a new watermark; called last in a load. An unchanged value is not logged again."""
-        if value == previous:
+        """Log a new watermark; called last in a load. A mark never goes back and is not logged twice."""
+        if previous is not None and value <= previous:
             return
         with self._log_lock:
-            self.control.append(watermark_rows(self.spark, layer, object_name, value, now), self.WATERMARK)
+            rows = require_values(watermark_rows(self.spark, layer, object_name, value, now), WATERMARK_REQUIRED)
+            self.control.append(rows, self.WATERMARK)
 
     def reset(self, layer: str = "bronze") -> int:
         """Forget the watermarks of a layer, to load it anew; returns the number removed."""
@@ -92,7 +112,7 @@ class Layers:
 def side_by_side(load: Callable, items: Iterable) -> list:
     """Run loads that do not depend on each other from parallel threads; Spark gets their jobs together."""
     items = list(items)
-    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+    with ThreadPoolExecutor(max_workers=min(MAX_LOADS, max(1, len(items)))) as pool:
         return list(pool.map(load, items))
 
 

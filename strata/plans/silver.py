@@ -23,7 +23,7 @@ from strata.operators import (
     with_hash_key,
 )
 from strata.operators.changes import CHANGED, DELETED, NEW, SAME
-from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, count_by, observed
+from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, count_by, observed, timed
 from strata.schemas import SOURCES
 from strata.session import scratch_scope, stage
 from strata.sources.bronze import newer_than, read_bronze
@@ -62,11 +62,14 @@ def snapshot_versions(staged: DataFrame, silver: DataFrame) -> DataFrame:
 
 def snapshot_next(silver: DataFrame, changes: DataFrame, now: datetime) -> DataFrame:
     """Table after a full copy: deleted keys closed, new and changed rows added."""
-    upserts = changes.filter(F.col("change_type").isin(NEW, CHANGED)).select(*silver.columns)
+    upserts = changes.filter(F.col("change_type").isin(NEW, CHANGED)).drop("change_type")
     gone = changes.filter(F.col("change_type") == DELETED)
-    return soft_delete(silver, gone, F.lit(now).cast("timestamp"), mark=DELETION_MARK).unionByName(upserts)
+    closed = soft_delete(silver, gone, F.lit(now).cast("timestamp"), mark=DELETION_MARK)
+    # Newly configured columns are NULL in older versions.
+    return closed.unionByName(upserts, allowMissingColumns=True)
 
 
+@timed
 def load_silver(layers: Layers, source_object: str, now: datetime) -> LoadResult:
     """Load one object as its configuration says."""
     config = layers.config("Silver", source_object)[source_object]
@@ -90,7 +93,7 @@ def load_incremental(layers: Layers, config: ObjectConfig, now: datetime) -> Loa
         # Used twice: to cut the history down to its keys and to be compared with it.
         versions = incremental_versions(stage(staged, name), silver.read(name), config.keys)
         versions, seen = observed(versions, count_by("change_type", NEW, CHANGED, SAME))
-        silver.append(versions.filter(F.col("change_type") != SAME), name)
+        silver.append(versions.filter(F.col("change_type") != SAME).drop("change_type"), name, evolve=True)
     else:
         staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
         silver.create(staged, name)
@@ -114,7 +117,7 @@ def load_snapshot(layers: Layers, config: ObjectConfig, now: datetime) -> LoadRe
         if counts[DELETED]:
             silver.replace(snapshot_next(silver.read(name), changes, now), name)
         elif counts[NEW] + counts[CHANGED]:
-            silver.append(changes, name)
+            silver.append(changes.drop("change_type"), name, evolve=True)
     else:
         staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
         silver.create(staged, name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import threading
 from collections.abc import Iterator
@@ -48,19 +50,31 @@ def scratch_folder(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
     Where it is unset, a temporary folder in local mode; on a cluster, where other machines
-    could not see one, an error.
+    could not see one, an error. So is a folder of a machine's own file system there, unless
+    ``strata.scratch.mounted=true`` says that all machines mount it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    on_cluster = not context.master.startswith("local")
     if shared:
+        mounted = spark.conf.get("strata.scratch.mounted", "false") == "true"
+        if on_cluster and not mounted and _scheme(spark, shared) == "file":
+            raise ConfigError(f"spark.checkpoint.dir is {shared}, which other machines don't see")
         return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if on_cluster:
         raise ConfigError("spark.checkpoint.dir must name a folder that all executors can reach")
     if context.applicationId not in _own_scratch:
-        _own_scratch[context.applicationId] = tempfile.mkdtemp(prefix="strata-")
+        folder = _own_scratch[context.applicationId] = tempfile.mkdtemp(prefix="strata-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _own_scratch[context.applicationId]
 
 
+def _scheme(spark: SparkSession, folder: str) -> str:
+    """The file system that a path without one resolves to as well."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back: lineage ends, later passes prune columns.
 

@@ -20,10 +20,21 @@ def extract_full(source: DataFrame, columns: Sequence[str]) -> DataFrame:
     return source.select(*columns)
 
 
-def extract_delta(source: DataFrame, columns: Sequence[str], watermark_column: str, low: object, high: object) -> DataFrame:
-    """Rows with ``low < watermark <= high``; the bounds are literals, so they reach the source scan."""
+def extract_delta(
+    source: DataFrame, columns: Sequence[str], watermark_column: str, low: object, high: object, *, unmarked: bool = True
+) -> DataFrame:
+    """Rows with ``low < watermark <= high``; the bounds are literals, so they reach the source scan.
+
+    Without ``low``, on a first load, there is no lower bound. Rows without a watermark can't be told to be old, so
+    every extract takes them (later layers drop what did not change), unless ``unmarked=False``.
+    """
     mark = F.col(watermark_column)
-    return extract_full(source.filter((mark > F.lit(low)) & (mark <= F.lit(high))), columns)
+    wanted = F.lit(False) if high is None else mark <= F.lit(high)
+    if low is not None:
+        wanted = (mark > F.lit(low)) & wanted
+    if unmarked:
+        wanted = mark.isNull() | wanted
+    return extract_full(source.filter(wanted), columns)
 
 
 def source_high_water(source: DataFrame, watermark_column: str, default: datetime = NO_WATERMARK) -> DataFrame:
@@ -57,8 +68,11 @@ def write_bronze(df: DataFrame, path: str, load_ts: datetime | None = None) -> N
 
 
 def read_bronze(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The raw layer; with ``since``, only day folders from that day on are listed and read."""
-    df = spark.read.parquet(path)
+    """The raw layer; with ``since``, only day folders from that day on are listed and read.
+
+    Copies made before a column was configured read as NULL there.
+    """
+    df = spark.read.option("mergeSchema", "true").parquet(path)
     return df if since is None else since_day(df, since)
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,6 +15,8 @@ from strata.functions import split_list
 from strata.schemas import CONFIG_SCHEMA, SOURCE_SYSTEM, SOURCES
 
 LAYERS = ("Bronze", "Silver", "Gold")
+CONFIG_REQUIRED = ("config_id", "layer")
+WATERMARK_REQUIRED = ("timestamp", "layer", "object_name", "key_1")
 NO_WATERMARK = datetime(1900, 1, 1)  # fixed value: lower bound before the first load
 
 
@@ -82,6 +84,16 @@ def ingest_list(config: DataFrame, source_object: str = "ALL") -> DataFrame:
     return rows if source_object == "ALL" else rows.filter(F.col("source_object") == source_object)
 
 
+def require_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df``; writing it fails if a required column is NULL anywhere. Stored tables don't keep NOT NULL, so writes check it."""
+
+    def checked(name: str) -> Column:
+        missing = F.raise_error(F.lit(f"control column {name} must have a value")).cast(df.schema[name].dataType)
+        return F.when(F.col(name).isNull(), missing).otherwise(F.col(name))
+
+    return df.withColumns({name: checked(name) for name in columns})
+
+
 def watermark_rows(spark: SparkSession, layer: str, object_name: str, value: datetime, now: datetime) -> DataFrame:
     """A log entry. Spark writes the value as text and reads it back, both in the session's time zone."""
     entry = {

@@ -14,7 +14,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.errors import MissingTable
+from strata.errors import MissingTable, UnknownColumns
 from strata.operators.shape import align_to
 
 _SIDES = ("a", "b")
@@ -62,28 +62,24 @@ class Tables:
         self._publish(df, table, idle, partition_by)
 
     def append(self, df: DataFrame, table: str, *, evolve: bool = False) -> None:
-        """Add rows, shaped like the table. ``evolve`` first adds columns that only ``df`` has.
+        """Add rows, shaped like the table: columns that they lack are NULL.
 
-        Added columns are a catalog change; older files read as NULL there.
+        Columns that only ``df`` has are an error, or with ``evolve`` are added to the table. That is a
+        catalog change; older files read as NULL there.
         """
-        stored = self._stored(table)
-        if evolve:
-            known = {c.lower() for c in self.spark.table(stored).columns}
-            added = [f for f in df.schema if f.name.lower() not in known]
-            if added:
-                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-                self.spark.sql(f"ALTER TABLE {stored} ADD COLUMNS ({columns})")
-                self._point(table, self._side(table))
+        stored = self._widened(df, table, evolve)
         align_to(df, self.spark.table(stored).schema).write.mode("append").insertInto(stored)
 
-    def replace_partitions(self, df: DataFrame, table: str, partition: str, touched: Sequence[object]) -> None:
-        """New content for the touched partitions only; ``df`` holds all their rows.
+    def replace_partitions(
+        self, df: DataFrame, table: str, partition: str, touched: Sequence[object], *, evolve: bool = False
+    ) -> None:
+        """New content for the touched partitions only; ``df`` holds all their rows. New columns as in ``append``.
 
         Those left without rows are dropped. Files are staged and exchanged when all tasks
         have finished, so ``df`` may read the table. Needs the setting
         ``spark.sql.sources.partitionOverwriteMode=dynamic``.
         """
-        stored = self._stored(table)
+        stored = self._widened(df, table, evolve)
         written = Observation()
         rows = df.observe(written, F.collect_set(partition).alias("values"))  # at most one per touched partition
         rows = align_to(rows, self.spark.table(stored).schema).hint("rebalance", partition)
@@ -96,6 +92,19 @@ class Tables:
         for side in _SIDES:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}__{side}")
 
+    def _widened(self, df: DataFrame, table: str, evolve: bool) -> str:
+        """The stored table, with the columns of ``df`` that it lacked."""
+        stored = self._stored(table)
+        known = {c.lower() for c in self.spark.table(stored).columns}
+        added = [f for f in df.schema if f.name.lower() not in known]
+        if added and not evolve:
+            raise UnknownColumns(f"table {self.name(table)} lacks columns {[f.name for f in added]}")
+        if added:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {stored} ADD COLUMNS ({columns})")
+            self._point(table, self._side(table))
+        return stored
+
     def _publish(self, df: DataFrame, table: str, side: str, partition_by: Sequence[str]) -> None:
         if partition_by:
             # Few files per partition value, and a value with many rows still spreads over tasks.

@@ -183,16 +183,20 @@ def event_chains(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "enrich_lookup",
-    f"""WITH {customers_sql(EARLY)}, {CATEGORIES_SQL}
-    SELECT CustomerID, CustomerName, c.CustomerCategoryID,
+    f"""WITH {CATEGORIES_SQL}
+    SELECT c_custkey AS CustomerID, c_name AS CustomerName, CAST(c_nationkey AS BIGINT) AS CustomerCategoryID,
            coalesce(CustomerCategoryName, 'UNKNOWN') AS CustomerCategoryName
-    FROM customers_early c LEFT JOIN categories k ON k.CustomerCategoryID = c.CustomerCategoryID
+    FROM customer c LEFT JOIN categories k ON k.CustomerCategoryID = c.c_nationkey
       AND CustomerCategoryName < 'NATION_2'""",
 )
 def with_category(spark: SparkSession, folder: str) -> DataFrame:
     known = categories(spark, folder).filter(F.col("CustomerCategoryName") < "NATION_2")
     key = {"CustomerCategoryID": "CustomerCategoryID"}
-    rows = customers(spark, folder, EARLY).select("CustomerID", "CustomerName", "CustomerCategoryID")
+    rows = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("CustomerID"),
+        F.col("c_name").alias("CustomerName"),
+        F.col("c_nationkey").cast("long").alias("CustomerCategoryID"),
+    )
     return enrich(rows, known, key, {"CustomerCategoryName": "UNKNOWN"})
 
 

@@ -19,6 +19,7 @@ from strata.sources.bronze import (
     write_bronze,
 )
 from strata.sources.metadata import latest_watermarks, reset_watermark
+from strata.sources.tables import Tables
 from strata.workload.inputs import FIRST_LOAD, table
 from strata.workload.registry import query, sql_time
 
@@ -38,15 +39,31 @@ def extract_all_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "extract_delta",
-    f"""SELECT o_orderkey, o_custkey, {sql_time("o_orderdate")} FROM orders
-    WHERE o_orderdate > TIMESTAMP '{_BOUND}' AND o_orderdate <= (SELECT max(o_orderdate) FROM orders)""",
+    f"""WITH marked AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS o_orderdate FROM orders)
+    SELECT o_orderkey, o_custkey, {sql_time("o_orderdate")} FROM marked
+    WHERE o_orderdate IS NULL OR o_orderdate > TIMESTAMP '{_BOUND}' AND o_orderdate <= (SELECT max(o_orderdate) FROM marked)""",
 )
 def extract_between_marks(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
+    """Some orders have no mark; every extract takes them."""
+    mark = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    orders = table(spark, folder, "orders").withColumn("o_orderdate", mark)
     high = source_high_water(orders, "o_orderdate").first()[0]
     return extract_delta(orders, ["o_orderkey", "o_custkey", "o_orderdate"], "o_orderdate", _BOUND, high)
 
 
+@query(
+    "append_evolve",
+    """SELECT c_custkey, c_name, CAST(NULL AS DOUBLE) AS c_acctbal, NULL AS c_mktsegment FROM customer
+    UNION ALL SELECT c_custkey, NULL, c_acctbal, c_mktsegment FROM customer""",
+)
+def appended_with_new_columns(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "customer")
+    tables = Tables.temporary(spark, scratch_folder(spark))
+    tables.create(rows.select("c_custkey", "c_name"), "t")
+    tables.append(rows.select("c_mktsegment", "c_custkey", "c_acctbal"), "t", evolve=True)
+    return tables.read("t").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+
+
 @query(
     "high_water_default",
     f"""SELECT 'orders' AS source, {sql_time("max(o_orderdate)", "high_water")} FROM orders

@@ -87,12 +87,14 @@ def aligned(spark: SparkSession, folder: str) -> DataFrame:
     "conform_types",
     f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(trunc(o_totalprice) AS BIGINT) AS o_totalprice,
            {sql_text("CAST(o_orderdate AS DATE)", "o_orderdate")},
-           TRY_CAST(substr(o_orderpriority, 1, 2) AS INTEGER) AS o_orderpriority
+           TRY_CAST(CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS INTEGER) AS priority
     FROM orders""",
 )
 def conformed(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").withColumn("o_orderpriority", F.substring("o_orderpriority", 1, 2))
-    target = StructType.fromDDL("o_orderkey string, o_totalprice long, o_orderdate date, o_orderpriority int")
+    # Text of which one part is a number and the other isn't.
+    text = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).otherwise(F.col("o_custkey").cast("string"))
+    orders = table(spark, folder, "orders").withColumn("priority", text)
+    target = StructType.fromDDL("o_orderkey string, o_totalprice long, o_orderdate date, priority int")
     return conform(orders, target, strict=False)
 
 

@@ -11,6 +11,7 @@ from strata.operators import (
     enrich,
     keep_latest,
     latest_snapshot_at,
+    lookup_skey,
     missing_members,
     restrict_to_stored,
     scd2_recalc,
@@ -97,7 +98,10 @@ def test_numbering_has_no_single_task_over_the_rows(history):
 def test_filters_reach_the_scan(history):
     delta = plan(extract_delta(history, ["k", "v"], "audit_ts", T, datetime(2024, 2, 1)))
     pushed = delta[delta.index("PushedFilters") :]
-    assert "GreaterThan(audit_ts,2024-01-01" in pushed and "LessThanOrEqual(audit_ts,2024" in pushed, delta
+    bounds = "And(GreaterThan(audit_ts,2024-01-01 00:00:00.0),LessThanOrEqual(audit_ts,202"
+    assert f"PushedFilters: [Or(IsNull(audit_ts),{bounds}" in pushed, delta
+    only_marked = plan(extract_delta(history, ["k", "v"], "audit_ts", T, datetime(2024, 2, 1), unmarked=False))
+    assert "GreaterThan(audit_ts,2024-01-01" in only_marked[only_marked.index("PushedFilters") :]
     assert "ReadSchema: struct<k:bigint,v:bigint,audit_ts:timestamp>" in delta
     newest = plan(latest_snapshot_at(history)[0])
     assert "EqualTo(audit_ts," in newest
@@ -124,6 +128,32 @@ def test_lookups_broadcast_by_size_only(spark, history):
     assert "SortMergeJoin" in large and "Broadcast" not in large
 
 
+@pytest.mark.parametrize("hot", [7, None])
+def test_key_lookups_split_a_hot_key(spark, tmp_path, hot):
+    """A third of the facts share one key, or have none, and nothing is broadcast."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot).cast("long")).otherwise(F.col("id") % 5_000)
+    spark.range(60_000, numPartitions=8).select(key.alias("k"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("h")).write.parquet(str(tmp_path / "f"))
+    facts = spark.read.parquet(str(tmp_path / "f"))
+    dim = spark.range(5_000).select(F.col("id").alias("dim_key"), F.col("id").alias("dim_skey"), F.lit(1).alias("scd_active"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert shuffled_rows(spark, lookup_skey(facts, dim, "k", "dim_key", "dim_skey")) < 15_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_scratch_files_are_removed_with_their_scope(spark):
     def files(df):
         return [Path(name.removeprefix("file://")) for name in df.inputFiles()]

@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from strata.errors import ConfigError, MissingTable
+from strata.errors import ConfigError, MissingTable, UnknownColumns
 from strata.plans import Layers
 from strata.schemas import CONFIG_SCHEMA
 from strata.sources.bronze import (
@@ -85,6 +85,7 @@ def test_layers_reset(spark, tmp_path):
     layers.advance("bronze", "a", T[0], T[1], None)
     layers.advance("silver", "a", T[0], T[1], None)
     layers.advance("silver", "a", T[0], T[2], T[0])  # unchanged value
+    layers.advance("silver", "a", T[0], T[2], T[1])  # going back
     assert layers.watermarks.count() == 2
     assert layers.reset() == 1 and layers.reset() == 0
     assert layers.watermark("bronze", "a") is None and layers.watermark("silver", "a") == T[0]
@@ -94,7 +95,9 @@ def test_layers_reset(spark, tmp_path):
 
 def test_delta_bounds(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(T)] + [(9, None)], "id int, edited timestamp")
-    assert [r["id"] for r in extract_delta(df, ["id"], "edited", T[0], T[2]).orderBy("id").collect()] == [1, 2]
+    assert [r["id"] for r in extract_delta(df, ["id"], "edited", T[0], T[2]).orderBy("id").collect()] == [1, 2, 9]
+    assert [r["id"] for r in extract_delta(df, ["id"], "edited", None, T[2], unmarked=False).orderBy("id").collect()] == [0, 1, 2]
+    assert [r["id"] for r in extract_delta(df, ["id"], "edited", None, None).collect()] == [9]
     assert source_high_water(df, "edited").first()[0] == T[3]
     assert source_high_water(df.limit(0), "edited").first()[0] == NO_WATERMARK
 
@@ -143,7 +146,9 @@ def test_replace_while_reading(tables):
     for expected in ([1, 2, 3], [2, 3, 4], [3, 4, 5]):
         tables.replace(tables.read("t").withColumn("v", F.col("v") + 1), "t")
         assert sorted(r["v"] for r in tables.read("t").collect()) == expected
-    tables.append(spark.createDataFrame([("9", "x")], "v string, extra string"), "t")
+    with pytest.raises(UnknownColumns):
+        tables.append(spark.createDataFrame([("9", "x")], "v string, extra string"), "t")
+    tables.append(spark.createDataFrame([("9",)], "v string"), "t")
     assert tables.read("t").columns == ["v"] and tables.read("t").count() == 4
     tables.append(spark.createDataFrame([(10, "x")], "v long, extra string"), "t", evolve=True)
     assert {r["extra"] for r in tables.read("t").collect()} == {None, "x"}
