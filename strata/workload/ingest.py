@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_folder
+from strata.session import scratch_folder, stage
 from strata.sources.bronze import (
     add_lineage,
     extract_delta,
@@ -61,7 +61,9 @@ def appended_with_new_columns(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.temporary(spark, scratch_folder(spark))
     tables.create(rows.select("c_custkey", "c_name"), "t")
     tables.append(rows.select("c_mktsegment", "c_custkey", "c_acctbal"), "t", evolve=True)
-    return tables.read("t").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    result = stage(tables.read("t").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), "evolved")
+    tables.drop_database()
+    return result
 
 
 @query(
