@@ -51,5 +51,6 @@ ORACLES = {
     "op1_decontamination": decontamination.ORACLE,
     "op3_line_spread": line_spread.ORACLE,
     "op4_jaccard_join": jaccard.ORACLE,
+    "op6_secret_ledger": secret_ledger.ORACLE,
     "op8_substrings": substrings.ORACLE,
 }

@@ -132,3 +132,32 @@ def op6(spark, sf_dir: str) -> DataFrame:
         return F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return paths.select("doc_id", *map(number, BASE_KINDS), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("_spans")).alias("spans"))
+
+
+ORACLE = r"""
+WITH RECURSIVE kinds(place, kind, pattern, least) AS (VALUES
+    (1, 'assign', '(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', 0),
+    (2, 'access', 'AKIA[A-Z0-9]+', 20),
+    (3, 'hex', '[0-9a-f]+', 24),
+    (4, 'private_key', '-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]*PRIVATE KEY-----)?', 0),
+    (5, 'web_token', 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}', 0),
+    (6, 'host_token', '\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,})', 0)),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS (SELECT doc_id, text, place, kind, least, regexp_extract_all(text, pattern) AS ms FROM d, kinds
+  WHERE CASE kind WHEN 'hex' THEN regexp_matches(text, '[0-9a-f]{24}') ELSE regexp_matches(text, pattern) END),
+r AS (
+  SELECT doc_id, text, place, kind, least, ms, 0 AS i, CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS e FROM m
+  UNION ALL
+  SELECT doc_id, text, place, kind, least, ms, i + 1, e + instr(substr(text, e + 1), ms[i + 1]) - 1,
+    e + instr(substr(text, e + 1), ms[i + 1]) - 1 + length(ms[i + 1])
+  FROM r WHERE i < len(ms)),
+found AS (SELECT doc_id, place, kind, s, e, kind || ':' || s || ':' || e AS t FROM r
+  WHERE i > 0 AND length(ms[i]) >= least AND (kind <> 'assign' OR length(regexp_extract(ms[i],
+    '(?i)^(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6)),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k, count(*) FILTER (kind = 'hex') AS h,
+    string_agg(t, ',' ORDER BY s, place) FILTER (place <= 3) AS base, string_agg(t, ',' ORDER BY s, place) AS spans
+  FROM found GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
