@@ -103,7 +103,8 @@ def occurrences(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame
         near = near.select("_doc", "_digest", start.alias("_start"), "_len", "_items")
         hits = near if hits is None else hits.union(near)
     if hits is None:
-        hits = cut.sparkSession.createDataFrame([], "_doc long, _digest long, _start int, _len int, _items array<string>")
+        nothing = [F.lit(0).alias("_start"), F.lit(0).alias("_len"), F.array().cast("array<string>").alias("_items")]
+        hits = cut.filter(F.lit(False)).select("_doc", "_digest", *nothing)
     return hits
 
 
