@@ -18,6 +18,7 @@ from strata.operators.changes import CHANGED, NEW, SAME, restrict_to
 from strata.operators.keys import add_surrogate_key, with_hash_key
 from strata.operators.merge import merge_delete, merge_update
 from strata.operators.shape import align_to, require_columns
+from strata.session import stage
 
 OPEN_END = "2999-12-31 00:00:00"  # fixed value: end of the version that is still valid
 FILL = "fill"  # change type of a real row that arrives for a placeholder
@@ -141,34 +142,39 @@ def scd2_recalc(dim: DataFrame, skey: str, keys: DataFrame | None = None) -> Dat
 
 
 def _chains(dim: DataFrame, skey: str) -> DataFrame:
-    # Two levels, so that no key has to fit in one task: neighbours are found within
-    # (key, day), days of a key are linked through one summary row per (key, day), and the
-    # summary comes back by a join on the partitioning the rows already have.
-    day = F.coalesce(F.to_date("scd_from"), F.lit("0001-01-01").cast("date"))
-    in_day = W.partitionBy("hash_key", "_day").orderBy("scd_from", "audit_ts", skey)
-    rows = dim.withColumn("_day", day).withColumns(
-        {"_position": F.row_number().over(in_day), "_next": F.lead("scd_from").over(in_day)}
+    # Two levels, so that no key has to fit in one task, not even its versions of one day: the
+    # rows are cut into ranges of (key, time) and written with their range, neighbours are found
+    # within a range, and ranges of a key are linked through one summary row each.
+    order = ("scd_from", "audit_ts", skey)
+    ranges = dim.repartitionByRange("hash_key", *order).withColumn("_range", F.spark_partition_id())
+    in_range = W.partitionBy("_range", "hash_key").orderBy(*order)
+    rows = stage(ranges, "chains").withColumns(
+        {"_position": F.row_number().over(in_range), "_next": F.lead("scd_from").over(in_range)}
     )
-    by_day = W.partitionBy("hash_key").orderBy("_day")
-    days = (
-        rows.groupBy("hash_key", "_day")
+    by_range = W.partitionBy("hash_key").orderBy("_range")
+    every = W.partitionBy("hash_key")
+    summaries = (
+        rows.groupBy("_range", "hash_key")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("scd_from").alias("_first"), F.min("scd_start").alias("_start"))
         .select(
+            "_range",
             "hash_key",
-            "_day",
-            F.coalesce(F.sum("_n").over(by_day.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-            F.lead("_first").over(by_day).alias("_next_day"),
-            F.min("_start").over(W.partitionBy("hash_key")).alias("_key_start"),
+            F.coalesce(F.sum("_n").over(by_range.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+            F.lead("_first").over(by_range).alias("_next_range"),
+            F.min("_first").over(every).alias("_key_first"),
+            F.min("_start").over(every).alias("_key_start"),
         )
     )
-    successor = F.coalesce("_next", "_next_day")
+    # Versions without a start come first; what follows them is the earliest start of the key.
+    after_unknown = F.when(F.col("scd_from").isNull(), F.col("_key_first"))
+    successor = F.coalesce("_next", after_unknown, "_next_range")
     chained = {
         "scd_start": F.col("_key_start"),
         "scd_to": F.coalesce(successor, F.lit(OPEN_END).cast("timestamp")),
         "scd_active": F.when(successor.isNull(), 1).otherwise(0),
         "scd_version": (F.col("_before") + F.col("_position")).cast("int"),
     }
-    return rows.join(days, ["hash_key", "_day"]).select(
+    return rows.join(summaries, ["_range", "hash_key"]).select(
         *[chained[c].alias(c) if c in chained else F.col(c) for c in dim.columns]
     )
 

@@ -82,6 +82,8 @@ def test_no_task_receives_the_hot_key(spark, history):
             {"scd_active": F.lit(0), "scd_version": F.lit(0)}
         )
         assert shuffled_rows(spark, scd2_recalc(unlinked, "v")) < 6_000
+        one_day = unlinked.withColumn("scd_from", F.lit(T).cast("timestamp"))
+        assert shuffled_rows(spark, scd2_recalc(one_day, "v")) < 6_000
         assert shuffled_rows(spark, add_surrogate_key(history, "n", ["k", "v"])) < 6_000
     finally:
         for k, v in before.items():
