@@ -80,25 +80,32 @@ def classify_members(staged: DataFrame, dim: DataFrame, skey: str) -> DataFrame:
     return staged.drop(skey).join(active, "hash_key", "left").select(*staged.columns, skey, change.alias("change_type"))
 
 
-def new_members(members: DataFrame, dim: DataFrame, *, skey: str, keys: Sequence[str], now: Column) -> DataFrame:
+def new_members(
+    members: DataFrame, dim: DataFrame, *, skey: str, keys: Sequence[str], now: Column, numbered: DataFrame | None = None
+) -> DataFrame:
     """New and changed members as numbered first versions, shaped like ``dim``.
 
-    While nothing stored has changed, appending these rows is the whole load.
+    While nothing stored has changed, appending these rows is the whole load. When ``dim`` is only a
+    part of the dimension, ``numbered`` is all of it.
     """
     arrived = members.filter(F.col("change_type").isin(NEW, CHANGED)).drop(skey, "change_type")
     complete = with_scd2_defaults(arrived, now)
-    return align_to(add_surrogate_key(complete, skey, [*keys, "audit_ts", "hash_key"], after=dim), dim.schema)
+    return align_to(add_surrogate_key(complete, skey, [*keys, "audit_ts", "hash_key"], after=dim if numbered is None else numbered), dim.schema)
 
 
-def scd2_next(dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[str], attributes: Sequence[str], now: Column, refresh_source: bool = True) -> DataFrame:
+def scd2_next(
+    dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[str], attributes: Sequence[str], now: Column,
+    refresh_source: bool = True, numbered: DataFrame | None = None,
+) -> DataFrame:
     """Next state of a dimension with history, from ``classify_members``.
 
     Placeholders take the real attributes in place and keep their surrogate key; new and
     changed members become versions, whose keys' chains are recalculated. All joins are on
-    ``hash_key``. ``members`` is read several times and should be stored.
+    ``hash_key``. ``members`` is read several times and should be stored. ``dim`` may be the part of
+    the dimension in which the members are or belong; ``numbered`` is all of it then.
     """
     arrived = members.filter(F.col("change_type").isin(NEW, CHANGED)).select("hash_key")
-    versions = new_members(members, dim, skey=skey, keys=keys, now=now)
+    versions = new_members(members, dim, skey=skey, keys=keys, now=now, numbered=numbered)
     settled = fill_inferred(
         merge_delete(dim, arrived, ["hash_key"]), members, attributes=attributes, now=now, refresh_source=refresh_source
     )
@@ -106,9 +113,13 @@ def scd2_next(dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[s
     return settled.unionByName(_chains(affected, skey))
 
 
-def scd1_next(dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[str], attributes: Sequence[str], now: Column) -> DataFrame:
+def scd1_next(
+    dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[str], attributes: Sequence[str], now: Column,
+    numbered: DataFrame | None = None,
+) -> DataFrame:
     """Next state of a dimension without history: new rows added, changed and inferred ones updated in place."""
-    rows = new_members(members.filter(F.col("change_type") == NEW), dim, skey=skey, keys=keys, now=now)
+    arrived = members.filter(F.col("change_type") == NEW)
+    rows = new_members(arrived, dim, skey=skey, keys=keys, now=now, numbered=numbered)
     replaced = members.filter(F.col("change_type").isin(CHANGED, FILL)).drop(skey)
     new_values = {
         **_attributes(dim, members, attributes),

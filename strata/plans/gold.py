@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators import (
     add_surrogate_key,
@@ -195,10 +197,14 @@ def _target(layers: Layers, dim: Dimension, config: ObjectConfig) -> DataFrame:
     wanted = dimension_schema(source, dim.skey, columns, technical, extra)
     if not layers.gold.exists(dim.name):
         return layers.spark.createDataFrame([], wanted)
-    target = layers.gold.read(dim.name)
     # Columns that the configuration has gained are NULL in stored rows.
-    gained = {f.name: F.lit(None).cast(f.dataType) for f in wanted if f.name not in target.columns}
-    return target.withColumns(gained) if gained else target
+    return _with_columns_of(layers.gold.read(dim.name), wanted)
+
+
+def _with_columns_of(stored: DataFrame, wanted: DataFrame | StructType) -> DataFrame:
+    schema = wanted.schema if isinstance(wanted, DataFrame) else wanted
+    gained = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in stored.columns}
+    return stored.withColumns(gained) if gained else stored
 
 
 def _write_members(layers: Layers, dim: Dimension, config: ObjectConfig, target: DataFrame, members: DataFrame, counts: dict[str, int], now: Column) -> None:
@@ -207,16 +213,19 @@ def _write_members(layers: Layers, dim: Dimension, config: ObjectConfig, target:
     if counts[CHANGED] + counts[FILL] == 0:
         # Only first versions: nothing stored changes, so the rows are added as they are.
         _add(layers, dim.name, new_members(members, target, **common))
-    elif dim.history:
-        refresh = dim.refresh_source_on_fill
-        rows = scd2_next(target, members, attributes=attributes, refresh_source=refresh, **common)
-        layers.gold.replace(rows, dim.name)
+        return
+    if dim.history:
+        step = partial(scd2_next, attributes=attributes, refresh_source=dim.refresh_source_on_fill, **common)
     else:
-        layers.gold.replace(scd1_next(target, members, attributes=attributes, **common), dim.name)
+        step = partial(scd1_next, attributes=attributes, **common)
+    # Only the buckets of these members are read and rewritten, besides the largest key in use.
+    layers.gold.update_keys(
+        dim.name, members, lambda held: step(_with_columns_of(held, target), members, numbered=layers.gold.read(dim.name))
+    )
 
 
 def _add(layers: Layers, table: str, rows: DataFrame) -> None:
     if layers.gold.exists(table):
         layers.gold.append(rows, table, evolve=True)
     else:
-        layers.gold.create(rows, table)
+        layers.gold.create(rows, table, buckets=layers.buckets)

@@ -60,8 +60,10 @@ class Layers:
 
     CONFIG, WATERMARK = "config_tables", "watermark"
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "strata"):
+    def __init__(self, spark: SparkSession, root: str, prefix: str = "strata", buckets: int = 8):
+        """``buckets`` of new dimensions and snapshot tables: an update rewrites those that it touches."""
         self.spark = configure(spark)
+        self.buckets = ("hash_key", buckets)
         self.root = root.rstrip("/")
         self._log_lock = Lock()  # parallel loads append to one log
         self.control, self.silver, self.gold = (

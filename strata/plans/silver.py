@@ -115,12 +115,12 @@ def load_snapshot(layers: Layers, config: ObjectConfig, now: datetime) -> LoadRe
         if not counts[NEW] + counts[CHANGED] + counts[SAME]:
             raise EmptySnapshot(f"{name}: the newest copy has no rows")
         if counts[DELETED]:
-            silver.replace(snapshot_next(silver.read(name), changes, now), name)
+            silver.update_keys(name, changes, lambda held: snapshot_next(held, changes, now))
         elif counts[NEW] + counts[CHANGED]:
             silver.append(changes.drop("change_type"), name, evolve=True)
     else:
         staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
-        silver.create(staged, name)
+        silver.create(staged, name, buckets=layers.buckets)
         counts = seen.get
     layers.advance("silver", name, newest, now, since)
     return LoadResult(name, LOADED, counts, newest)

@@ -4,14 +4,17 @@ A table ``t`` is a view over one of two stored tables, ``t__a`` and ``t__b``. A
 is written to the idle one, then the view is pointed at it: one catalog change, no file is
 moved or copied, readers of the old version finish undisturbed, and a load that fails half
 way leaves ``t`` as it was.
+
+A table may be kept in buckets of a key: partitions by a hash of it, which the view hides. Then an
+update of some keys rewrites their buckets only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.errors import MissingTable, UnknownColumns
@@ -19,6 +22,8 @@ from strata.operators.shape import align_to
 
 _SIDES = ("a", "b")
 _SIDE_PROPERTY = "strata.side"
+_BUCKET_PROPERTY = "strata.buckets"
+BUCKET = "key_bucket"
 
 
 class Tables:
@@ -50,16 +55,30 @@ class Tables:
             raise MissingTable(f"table {self.name(table)} does not exist")
         return self.spark.table(self.name(table))
 
-    def create(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-        """First version of a table."""
-        self._publish(df, table, "a", partition_by)
+    def create(self, df: DataFrame, table: str, partition_by: Sequence[str] = (), *, buckets: tuple[str, int] | None = None) -> None:
+        """First version of a table; ``buckets`` names the key and the number of its buckets."""
+        self._publish(df, table, "a", partition_by, buckets)
 
     def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-        """New content for a table, which ``df`` may be reading; creates it if needed."""
+        """New content for a table, which ``df`` may be reading; creates it if needed. Buckets stay."""
         if not self.exists(table):
             return self.create(df, table, partition_by)
         idle = next(side for side in _SIDES if side != self._side(table))
-        self._publish(df, table, idle, partition_by)
+        self._publish(df, table, idle, partition_by, self._buckets(table))
+
+    def update_keys(self, table: str, keys: DataFrame, build: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace the buckets that hold ``keys`` by what ``build`` makes of their rows.
+
+        ``build`` must keep every row in its bucket. A table without buckets is replaced as a whole.
+        """
+        buckets = self._buckets(table)
+        if buckets is None:
+            return self.replace(build(self.read(table)), table)
+        bucket = _bucket(buckets)
+        # At most as many rows as there are buckets.
+        touched = sorted(row[0] for row in keys.select(bucket.alias(BUCKET)).distinct().collect())
+        held = self.spark.table(self._stored(table)).filter(F.col(BUCKET).isin(*touched)).drop(BUCKET)
+        self.replace_partitions(build(held).withColumn(BUCKET, bucket), table, BUCKET, touched, evolve=True)
 
     def append(self, df: DataFrame, table: str, *, evolve: bool = False) -> None:
         """Add rows, shaped like the table: columns that they lack are NULL.
@@ -68,6 +87,8 @@ class Tables:
         catalog change; older files read as NULL there.
         """
         stored = self._widened(df, table, evolve)
+        if buckets := self._buckets(table):
+            df = df.withColumn(BUCKET, _bucket(buckets))
         align_to(df, self.spark.table(stored).schema).write.mode("append").insertInto(stored)
 
     def replace_partitions(
@@ -102,10 +123,14 @@ class Tables:
         if added:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             self.spark.sql(f"ALTER TABLE {stored} ADD COLUMNS ({columns})")
-            self._point(table, self._side(table))
+            self._point(table, self._side(table), self._buckets(table))
         return stored
 
-    def _publish(self, df: DataFrame, table: str, side: str, partition_by: Sequence[str]) -> None:
+    def _publish(
+        self, df: DataFrame, table: str, side: str, partition_by: Sequence[str], buckets: tuple[str, int] | None = None
+    ) -> None:
+        if buckets:
+            df, partition_by = df.withColumn(BUCKET, _bucket(buckets)), [*partition_by, BUCKET]
         if partition_by:
             # Few files per partition value, and a value with many rows still spreads over tasks.
             writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
@@ -114,19 +139,31 @@ class Tables:
         # The idle side may have been laid out differently; a plain drop keeps this a full overwrite.
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}__{side}")
         writer.mode("overwrite").format("parquet").saveAsTable(f"{self.name(table)}__{side}")
-        self._point(table, side)
+        self._point(table, side, buckets)
 
-    def _point(self, table: str, side: str) -> None:
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ('{_SIDE_PROPERTY}' = '{side}') "
-            f"AS SELECT * FROM {self.name(table)}__{side}"
-        )
+    def _point(self, table: str, side: str, buckets: tuple[str, int] | None) -> None:
+        stored = f"{self.name(table)}__{side}"
+        properties = {_SIDE_PROPERTY: side} | ({_BUCKET_PROPERTY: f"{buckets[1]} {buckets[0]}"} if buckets else {})
+        listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        columns = ", ".join(f"`{c}`" for c in self.spark.table(stored).columns if not (buckets and c == BUCKET))
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({listed}) AS SELECT {columns} FROM {stored}")
+
+    def _properties(self, table: str) -> dict[str, str]:
+        return {row["key"]: row["value"] for row in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
 
     def _side(self, table: str) -> str:
-        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
-        return {row["key"]: row["value"] for row in properties}[_SIDE_PROPERTY]
+        return self._properties(table)[_SIDE_PROPERTY]
+
+    def _buckets(self, table: str) -> tuple[str, int] | None:
+        number, _, key = self._properties(table).get(_BUCKET_PROPERTY, "").partition(" ")
+        return (key, int(number)) if key else None
 
     def _stored(self, table: str) -> str:
         if not self.exists(table):
             raise MissingTable(f"table {self.name(table)} does not exist")
         return f"{self.name(table)}__{self._side(table)}"
+
+
+def _bucket(buckets: tuple[str, int]) -> Column:
+    key, number = buckets
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(number)).cast("int")

@@ -1,5 +1,6 @@
 """Jobs whose configuration or source changes between runs, and the options of jobs."""
 
+import re
 from datetime import datetime
 from uuid import uuid4
 
@@ -128,3 +129,35 @@ def test_fact_options(lake, rows_of):
     result = load_fact(layers, DAYS[2], mode="both", keep_skeys=False)
     assert (result.counts["staged"], result.counts["replaced"]) == (1, 1) and result.seconds > 0
     assert rows_of(layers.gold.read(FACT_SALES), "OrderLineID", "fact_sales_skey") == [(1, 3), (2, 2)]
+
+
+def test_updates_leave_the_files_of_other_buckets(lake, rows_of):
+    layers, shop = lake
+    layers.set_up()
+    for key in range(2, 40):
+        shop.put("Customers", key, CustomerName=f"c{key}", CustomerCategoryID=1)
+    run_all(layers, shop.reader, DAYS[0])
+
+    def files(tables, table):
+        held = {}
+        for name in layers.spark.table(tables._stored(table)).inputFiles():
+            held.setdefault(re.search(r"key_bucket=(\d+)", name)[1], set()).add(name)
+        return held
+
+    places = ((layers.silver, "Sales_Customers"), (layers.gold, "Dim_Customer"))
+    before = [files(*p) for p in places]
+    assert all(4 < len(x) <= 8 for x in before)
+    shop.put("Customers", 5, CustomerName="changed", CustomerCategoryID=1)
+    shop.drop("Customers", 7)
+    run_all(layers, shop.reader, DAYS[1])
+    after = [files(*p) for p in places]
+    rewritten = [[k for k in b if b[k] != a.get(k)] for b, a in zip(before, after, strict=True)]
+    assert 1 <= len(rewritten[0]) <= 2 and len(rewritten[1]) == 1  # changed and deleted key; changed member
+    silver = layers.silver.read("Sales_Customers")
+    assert silver.columns.count("key_bucket") == 0
+    assert rows_of(silver.filter("CustomerID IN (5, 7)"), "CustomerID", "CustomerName", "deleted_audit_ts") == [
+        (5, "c5", None), (5, "changed", None), (7, "c7", DAYS[1]),
+    ]
+    dim = layers.gold.read("Dim_Customer")
+    assert dim.count() == dim.select("customer_skey").distinct().count() == 40
+    assert rows_of(dim.filter("CustomerID = 5"), "scd_version", "scd_active") == [(1, 0), (2, 1)]
