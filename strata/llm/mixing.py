@@ -151,7 +151,8 @@ def draw(sources: DataFrame, wanted: float, per_shard: int, repeats: int, seed:
     slots = slots.withColumn("_turn", turn).select(
         "shard", "slot", F.when(F.col("_turn") < whole, F.col("_turn")).otherwise(F.least(chance, F.lit(whole + GRID - 1))).alias("_cell")
     )
-    named = slots.join(cells, "_cell").drop("_cell")
+    # Counted and numbered: stored, as drawing costs more than reading.
+    named = stage(slots.join(cells, "_cell").drop("_cell"), "mix-slots")
     counts = named.groupBy("shard", "_src").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("_src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "_src", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
@@ -159,7 +160,7 @@ def draw(sources: DataFrame, wanted: float, per_shard: int, repeats: int, seed:
     numbered = named.withColumn("_nth", nth).join(starts, ["shard", "_src"]).withColumn("_nth", F.col("_start") + F.col("_nth"))
     numbered = numbered.join(F.broadcast(sources.select("_src", "_blocks")), "_src")
     numbered = numbered.withColumn("_pass", F.floor(F.col("_nth") / F.col("_blocks"))).filter(F.col("_pass") < repeats)
-    index = permute(F.col("_nth") % F.col("_blocks"), F.col("_blocks"), seed + 5, F.col("_src"), F.col("_pass"))
+    index = permute(F.col("_nth") % F.col("_blocks"), F.col("_blocks"), seed + 5, F.col("_src"), F.col("_pass"), rounds=16)
     return numbered.select("shard", "slot", "_src", "_pass", index.alias("_block"))
 
 
