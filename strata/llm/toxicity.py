@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from heapq import nlargest
 
 import numpy as np
@@ -51,12 +51,11 @@ class Settings:
     seed: int = 909
 
 
-def subwords(word: str, settings: Settings) -> np.ndarray:
+def subwords(word: str, settings: Settings) -> list[int]:
     """Buckets of a word and its character n-grams; bucket 0 belongs to every word."""
     marked = f"<{word}>"
     parts = {marked, *(marked[i : i + n] for n in settings.grams for i in range(len(marked) - n + 1))}
-    ids = {1 + xxhash.xxh3_64_intdigest(p.encode("utf-8", "replace")) % (settings.buckets - 1) for p in parts}
-    return np.array([0, *sorted(ids)])
+    return [0, *sorted({1 + xxhash.xxh3_64_intdigest(p) % (settings.buckets - 1) for p in parts})]
 
 
 def words_in(text: str) -> set[str]:
@@ -78,14 +77,15 @@ class Model:
     def scorer(self):
         """A function from texts to scores. The model is linear, so each word has one known lean."""
         leans: dict[str, float] = {}
+        toward, known = self.toward.tolist(), self.known.tolist()
 
         def lean(word: str) -> float:
             got = leans.get(word)
             if got is None:
                 if len(leans) > 400_000:
                     leans.clear()
-                ids = subwords(word, self.settings)
-                got = leans[word] = self.bias + float(self.toward[ids[self.known[ids]]].mean())
+                found = [toward[i] for i in subwords(word, self.settings) if known[i]]
+                got = leans[word] = self.bias + sum(found) / len(found)
             return got
 
         def score(text: str) -> float:
@@ -121,7 +121,7 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
             counts.setdefault(word, [0, 0])[labels[i]] += 1
     words = sorted(counts)
     times = np.array([counts[w] for w in words], np.float64).reshape(-1, 2)
-    bags = [subwords(w, settings) for w in words]
+    bags = [np.array(subwords(w, settings)) for w in words]
     seen = np.zeros(settings.buckets)
     for bag, n in zip(bags, times.sum(1), strict=True):
         seen[bag] += n
@@ -155,9 +155,10 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
             wanted = share[picked]
             wrong = ((p * wanted.sum(1, keepdims=True) - wanted) / len(picked)).astype(np.float32)
             down = (wrong @ weights.T) / sizes[:, None]
-            rows, place = np.unique(ids, return_inverse=True)
-            spread = np.repeat(np.arange(len(picked)), sizes)
-            grad = np.stack([np.bincount(place, weights=down[spread, k], minlength=len(rows)) for k in range(settings.width)], 1)
+            order = np.argsort(ids, kind="stable")
+            begin = np.concatenate([[0], np.flatnonzero(np.diff(ids[order])) + 1])
+            rows = ids[order[begin]]
+            grad = np.add.reduceat(down[np.repeat(np.arange(len(picked)), sizes)[order]], begin, axis=0)
             step += 1
             adam("t", table, grad.astype(np.float32), rows)
             adam("w", weights, mean.T @ wrong)
@@ -184,7 +185,25 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     picked = F.broadcast(stage(picked.select("doc_id", "toxic"), "toxicity-sample"))  # 2 * sample rows at most
     found = docs.select("doc_id", text_of().alias("text")).join(picked, "doc_id").orderBy("doc_id", "text").limit(2 * settings.sample)
     rows = found.select("text", "toxic").collect()
-    return train([r.text for r in rows], np.array([r.toxic for r in rows], np.int64), settings)
+    labels = np.array([r.toxic for r in rows], np.int64)
+    model = train([r.text for r in rows], labels, settings)
+    # The sample holds toxic texts more often than the labelled rows do.
+    totals = dict(known.groupBy("toxic").agg(F.count("*")).collect())
+    if model.slope and totals.get(0) and totals.get(1):
+        odds = totals[1] / totals[0] * (labels == 0).sum() / max(1, labels.sum())
+        model = replace(model, shift=model.shift + float(np.log(odds)))
+    return model
+
+
+_scorers: dict[int, tuple[Model, object]] = {}
+
+
+def scorer_of(model: Model):
+    """The scorer of a model, kept with the words that it knows for the next task of this worker."""
+    if id(model) not in _scorers:
+        _scorers.clear()
+        _scorers[id(model)] = (model, model.scorer())
+    return _scorers[id(model)][1]
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
@@ -196,7 +215,7 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = shared.value.scorer()
+        score = scorer_of(shared.value)
         for batch in batches:
             values = [score(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(values, pa.float64())], ["doc_id", "score"])
