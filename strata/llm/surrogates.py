@@ -46,7 +46,10 @@ GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() fo
 WORD = r"[^\W\d_][^\W\d_'’-]*(?:-[^\W\d_]+)*"
 TITLED = re.compile(rf"\b({'|'.join(t for ts in TITLES.values() for t in ts)})\.? ({WORD})(?: ({WORD}))?")
 NAMED = re.compile(rf"(?<![\w-])({'|'.join(map(re.escape, GENDER))}) ({WORD})")
-TITLE_WORDS = frozenset(t for ts in TITLES.values() for t in ts) | frozenset(f"{t}." for ts in TITLES.values() for t in ts)
+TITLE_WORDS = frozenset(t for ts in TITLES.values() for t in ts)
+#: Runs of letters from a first letter of a title or given name on. Both patterns need one as a whole
+#: run, whatever stands around it, so texts without any are passed over.
+LEADS = re.compile(rf"[{''.join(sorted({w[0] for w in (*TITLE_WORDS, *GENDER)}))}][^\W\d_]*")
 ENTITIES = "doc_id long, digest long, found array<struct<start: int, end: int, kind: string, value: string>>"
 
 
@@ -56,7 +59,7 @@ def script_of(word: str) -> str:
 
 def names(text: str) -> Iterator[tuple[int, int, str, str]]:
     """Parts of names after titles or known given names; only capitalised words count."""
-    words = set(text.split())
+    words = set(LEADS.findall(text))
     if not TITLE_WORDS.isdisjoint(words):
         for m in TITLED.finditer(text):
             gender = "m" if m[1] in TITLES["m"] else "f"

@@ -144,6 +144,21 @@ def test_surrogates_keep_format_and_identity():
     assert kinds == {"given latin f", "surname latin", "given cyrillic m", "surname cyrillic", "email", "address", "phone"}
 
 
+@pytest.mark.parametrize("text", ["(John Smith)", '"Anna Meier said', '"Mr. Jones left', "(Mrs. Smith)", "see:Mr Jones", "a/John Smith", "«госпожа Петрова»", "[Иван Петров]", "-Mr. Jones", "1.José Díaz"])
+def test_names_behind_punctuation(text):
+    assert any(kind.startswith("surname") for *_, kind, _ in surrogates.detect(text))
+
+
+def test_no_name_is_passed_over():
+    rng = random.Random(8)
+    parts = ["Mr", "Mr.", "госпожа", "John", "José", "Анна", "Smith", "Петрова", "x", "é", "1", "²", "_", "-", "'", " ", " ", "(", "«", ".", "\n", "\u0301"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(parts, k=8))
+        words = set(surrogates.LEADS.findall(text))
+        assert not surrogates.TITLED.search(text) or words & surrogates.TITLE_WORDS
+        assert not surrogates.NAMED.search(text) or words & surrogates.GENDER.keys()
+
+
 def test_replace_personal_data(spark, empty):
     rows = [(1, "Mr. John Smith wrote to a.b@c.org and A.B@C.ORG. Mr Smith waits."), (2, "call 4111 1111 1111 1111 or 4111111111111111"),
             (3, None), (4, ""), (4, ""), (5, "nothing here"), (None, "x@y.z 10.0.0.1"), (6, "JOHN SMITH " + "word " * 9000 + "John Smith")]
