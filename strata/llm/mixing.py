@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import WORDS, permute, text_of, whole_row
 from strata.session import stage
 
-GRID = 65_536  # steps in which the multinomial draw tells sources apart
+GRID_BITS = 16  # the multinomial draw joins slots and sources by 2 ** GRID_BITS cells
 MAX_SOURCES = 4_096
 
 
@@ -130,29 +130,39 @@ def draw(sources: DataFrame, wanted: float, per_shard: int, repeats: int, seed:
     parts = sources.select("_src", F.floor(share).alias("_whole"), (share - F.floor(share)).alias("_rest"))
     upto = Window.orderBy("_src").rowsBetween(Window.unboundedPreceding, 0)
     sums = parts.select(
-        "*", F.sum("_whole").over(upto).alias("_w1"), F.sum("_rest").over(upto).alias("_r1"),
-        F.sum("_whole").over(Window.partitionBy()).alias("_all"), F.sum("_rest").over(Window.partitionBy()).alias("_left"),
+        "*", F.sum("_whole").over(upto).alias("_w1"), F.sum("_rest").over(upto).alias("_r1"), F.sum("_whole").over(Window.partitionBy()).alias("_all")
     )
-    sure = sums.filter("_whole > 0").select(
-        "_src", F.explode(F.sequence(F.col("_w1") - F.col("_whole"), F.col("_w1") - 1)).alias("_cell")
+    # Each source starts exactly where the one before it ends, and the last one ends with the last cell.
+    ends = sums.withColumns(
+        {"_r0": F.coalesce(F.lag("_r1").over(Window.orderBy("_src")), F.lit(0.0)), "_left": F.max("_r1").over(Window.partitionBy())}
     )
-    low = F.floor(GRID * (F.col("_r1") - F.col("_rest")) / F.col("_left"))
-    high = F.floor(GRID * F.col("_r1") / F.col("_left"))
-    drawn = sums.filter("_left > 1e-9").select("_src", "_all", low.alias("_low"), high.alias("_high")).filter("_high > _low").select(
-        "_src", F.explode(F.sequence(F.col("_all") + F.col("_low"), F.col("_all") + F.col("_high") - 1)).alias("_cell")
+    sure = ends.filter("_whole > 0").select(
+        "_src", F.explode(F.sequence(F.col("_w1") - F.col("_whole"), F.col("_w1") - 1)).alias("_cell"),
+        F.lit(0.0).alias("_lo"), F.lit(1.0).alias("_hi"),
     )
-    cells = F.broadcast(sure.union(drawn))  # at most per_shard + GRID rows
+    grid = float(2**GRID_BITS)
+    low, high = grid * F.col("_r0") / F.col("_left"), grid * F.col("_r1") / F.col("_left")
+    drawn = ends.filter("_left > 1e-9").select("_src", "_all", low.alias("_low"), high.alias("_high")).filter("_high > _low")
+    drawn = drawn.select("*", F.explode(F.sequence(F.floor("_low"), F.ceil("_high") - 1)).alias("_at")).select(
+        "_src", (F.col("_all") + F.col("_at")).alias("_cell"),
+        F.greatest(F.col("_low") - F.col("_at"), F.lit(0.0)).alias("_lo"), F.least(F.col("_high") - F.col("_at"), F.lit(1.0)).alias("_hi"),
+    )
+    cells = F.broadcast(sure.union(drawn))  # at most per_shard + 2 ** GRID_BITS rows and one per source
     whole = sums.agg(F.coalesce(F.max("_all"), F.lit(0))).first()[0]
     slots = spark.range(total).select(
         F.floor(F.col("id") / per_shard).alias("shard"), (F.col("id") % per_shard).alias("slot"), "id"
     )
     turn = permute(F.col("slot"), F.lit(per_shard), seed + 2, F.col("shard"), rounds=12)
-    chance = F.pmod(F.xxhash64(F.lit(seed + 3), F.col("id")), F.lit(GRID)) + whole
+    # One hash gives the cell and, by the bits below, the place within it.
+    bits = F.xxhash64(F.lit(seed + 3), F.col("id"))
+    chance = F.shiftrightunsigned(bits, 64 - GRID_BITS) + whole
+    inside = F.shiftrightunsigned(F.shiftleft(bits, GRID_BITS), GRID_BITS) / F.lit(float(2 ** (64 - GRID_BITS)))
     slots = slots.withColumn("_turn", turn).select(
-        "shard", "slot", F.when(F.col("_turn") < whole, F.col("_turn")).otherwise(F.least(chance, F.lit(whole + GRID - 1))).alias("_cell")
+        "shard", "slot", F.when(F.col("_turn") < whole, F.col("_turn")).otherwise(chance).alias("_cell"), inside.alias("_inside")
     )
+    found = slots.join(cells, "_cell").filter("_lo <= _inside and _inside < _hi").select("shard", "slot", "_src")
     # Counted and numbered: stored, as drawing costs more than reading.
-    named = stage(slots.join(cells, "_cell").drop("_cell"), "mix-slots")
+    named = stage(found, "mix-slots")
     counts = named.groupBy("shard", "_src").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("_src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "_src", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))

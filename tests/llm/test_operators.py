@@ -355,6 +355,20 @@ def test_mixing_meets_targets(spark, docs, texts, empty):
     assert mixing.mix(no_words).taken().count() == 0
 
 
+def test_mixing_draws_small_sources(spark):
+    small, large = 100, 600
+    need = F.when(F.col("id") % 7 == 3, 12.0).otherwise(1500.0)
+    sources = spark.range(700).select(F.col("id").alias("_src"), need.alias("_need"), F.lit(10_000).cast("long").alias("_blocks"))
+    total = small * 12 + large * 1500
+    slots = mixing.draw(sources, float(total), 512, 2, 717)
+    got = {r._src: r["count"] for r in slots.groupBy("_src").count().collect()}
+    assert sum(got.values()) == total and len(got) == small + large
+    # As many as expected, and scattered as draws are.
+    few = [n for s, n in got.items() if s % 7 == 3]
+    assert abs(sum(few) - 12 * small) < 5 * (12 * small) ** 0.5
+    assert 0.5 < sum((n - 12) ** 2 / 12 for n in few) / small < 1.6
+
+
 # 8
 
 
