@@ -18,11 +18,10 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORDS, permute, text_of, whole_row
+from strata.llm.common import BROADCAST_ROWS, WORDS, bounded_broadcast, permute, text_of, whole_row
 from strata.session import stage
 
-GRID_BITS = 16  # the multinomial draw joins slots and sources by 2 ** GRID_BITS cells
-MAX_SOURCES = 4_096
+GRID_BITS = 16  # the multinomial draw joins slots and sources by 2 ** GRID_BITS cells, or more if there are more sources
 
 
 @dataclass(frozen=True)
@@ -74,9 +73,9 @@ def mix(
     """Plan the mix of all ``docs`` (doc_id, text, source).
 
     Null texts have no words and are taken nowhere, null sources form the last source, repeated rows
-    are separate documents, a table without rows or words gives an empty plan. At most
-    ``MAX_SOURCES`` sources are accepted; a larger number raises ``ValueError``. No block is taken
-    more than ``repeats`` times: draws beyond that are left out.
+    are separate documents, a table without rows or words gives an empty plan. Any number of
+    sources is accepted; one narrow row of each is ranked in one task. No block is taken more than
+    ``repeats`` times: draws beyond that are left out.
     """
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), text_of())
     sized = stage(
@@ -88,16 +87,14 @@ def mix(
     # A slot is worth the mean length of the source's blocks, whose last one may be short.
     need = F.when(F.col("_words") > 0, F.col("target") * F.col("_blocks") / F.col("_words")).otherwise(0.0)
     sources = stage(sources.withColumn("_need", need).withColumn("_chunks", F.ceil(F.sqrt("_rows")).cast("long")), "mix-sources")
-    found, wanted = sources.agg(F.count("*"), F.coalesce(F.sum("_need"), F.lit(0.0))).first()
-    if found > MAX_SOURCES:
-        raise ValueError(f"{found} sources; at most {MAX_SOURCES} can be mixed")
+    wanted = sources.agg(F.coalesce(F.sum("_need"), F.lit(0.0))).first()[0]
     placed = place(sized, sources)
     return Mix(sources, placed, cut(placed, block), draw(sources, wanted, shard_slots, repeats, seed))
 
 
 def place(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """Each row with its source's number and the offset of its first word in the source's stream."""
-    known = F.broadcast(sources.select(F.col("_source").alias("_named"), "_src", "_chunks"))
+    known = bounded_broadcast(sources.select(F.col("_source").alias("_named"), "_src", "_chunks"), BROADCAST_ROWS)
     rows = sized.join(known, F.col("_source").eqNullSafe(F.col("_named"))).drop("_named")
     rows = rows.withColumn("_chunk", F.pmod(F.col("_key"), F.col("_chunks"))).drop("_chunks")
     in_order = Window.partitionBy("_src", "_chunk").orderBy("_key", "doc_id")
@@ -140,23 +137,25 @@ def draw(sources: DataFrame, wanted: float, per_shard: int, repeats: int, seed:
         "_src", F.explode(F.sequence(F.col("_w1") - F.col("_whole"), F.col("_w1") - 1)).alias("_cell"),
         F.lit(0.0).alias("_lo"), F.lit(1.0).alias("_hi"),
     )
-    grid = float(2**GRID_BITS)
+    whole, found = sums.agg(F.coalesce(F.max("_all"), F.lit(0)), F.count("*")).first()
+    bits = max(GRID_BITS, found.bit_length())
+    grid = float(2**bits)
     low, high = grid * F.col("_r0") / F.col("_left"), grid * F.col("_r1") / F.col("_left")
     drawn = ends.filter("_left > 1e-9").select("_src", "_all", low.alias("_low"), high.alias("_high")).filter("_high > _low")
     drawn = drawn.select("*", F.explode(F.sequence(F.floor("_low"), F.ceil("_high") - 1)).alias("_at")).select(
         "_src", (F.col("_all") + F.col("_at")).alias("_cell"),
         F.greatest(F.col("_low") - F.col("_at"), F.lit(0.0)).alias("_lo"), F.least(F.col("_high") - F.col("_at"), F.lit(1.0)).alias("_hi"),
     )
-    cells = F.broadcast(sure.union(drawn))  # at most per_shard + 2 ** GRID_BITS rows and one per source
-    whole = sums.agg(F.coalesce(F.max("_all"), F.lit(0))).first()[0]
+    # At most per_shard + 2 ** bits rows and one per source.
+    cells = bounded_broadcast(sure.union(drawn), BROADCAST_ROWS)
     slots = spark.range(total).select(
         F.floor(F.col("id") / per_shard).alias("shard"), (F.col("id") % per_shard).alias("slot"), "id"
     )
     turn = permute(F.col("slot"), F.lit(per_shard), seed + 2, F.col("shard"), rounds=12)
     # One hash gives the cell and, by the bits below, the place within it.
-    bits = F.xxhash64(F.lit(seed + 3), F.col("id"))
-    chance = F.shiftrightunsigned(bits, 64 - GRID_BITS) + whole
-    inside = F.shiftrightunsigned(F.shiftleft(bits, GRID_BITS), GRID_BITS) / F.lit(float(2 ** (64 - GRID_BITS)))
+    drop = F.xxhash64(F.lit(seed + 3), F.col("id"))
+    chance = F.shiftrightunsigned(drop, 64 - bits) + whole
+    inside = F.shiftrightunsigned(F.shiftleft(drop, bits), bits) / F.lit(float(2 ** (64 - bits)))
     slots = slots.withColumn("_turn", turn).select(
         "shard", "slot", F.when(F.col("_turn") < whole, F.col("_turn")).otherwise(chance).alias("_cell"), inside.alias("_inside")
     )
@@ -168,7 +167,7 @@ def draw(sources: DataFrame, wanted: float, per_shard: int, repeats: int, seed:
     starts = counts.select("shard", "_src", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     nth = F.row_number().over(Window.partitionBy("shard", "_src").orderBy("slot")) - 1
     numbered = named.withColumn("_nth", nth).join(starts, ["shard", "_src"]).withColumn("_nth", F.col("_start") + F.col("_nth"))
-    numbered = numbered.join(F.broadcast(sources.select("_src", "_blocks")), "_src")
+    numbered = numbered.join(bounded_broadcast(sources.select("_src", "_blocks"), BROADCAST_ROWS), "_src")
     numbered = numbered.withColumn("_pass", F.floor(F.col("_nth") / F.col("_blocks"))).filter(F.col("_pass") < repeats)
     index = permute(F.col("_nth") % F.col("_blocks"), F.col("_blocks"), seed + 5, F.col("_src"), F.col("_pass"), rounds=16)
     return numbered.select("shard", "slot", "_src", "_pass", index.alias("_block"))
@@ -186,7 +185,7 @@ def mixed_documents(docs: DataFrame, block: int = 1024, **options) -> DataFrame:
     runs = plan.taken().groupBy("_src", "_chunk", "_pos", "_pass").agg(
         F.sort_array(F.collect_list(F.struct("_from", "_len"))).alias("_runs")
     )
-    sources = F.broadcast(plan.sources.select(F.col("_source").alias("_named"), "_src", "_chunks"))
+    sources = bounded_broadcast(plan.sources.select(F.col("_source").alias("_named"), "_src", "_chunks"), BROADCAST_ROWS)
     rows = docs.select(whole_row(docs), F.col("source").alias("_source"),
                        F.col("doc_id").alias("_doc"), F.xxhash64(F.lit(seed), F.col("doc_id"), text_of()).alias("_key"))
     rows = rows.join(sources, F.col("_source").eqNullSafe(F.col("_named"))).withColumn("_chunk", F.pmod(F.col("_key"), F.col("_chunks")))
@@ -209,7 +208,7 @@ def op7(spark, sf_dir: str) -> DataFrame:
     plan = mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
     place = ["_src", "_chunk", "_pos"]
     taken = plan.taken().groupBy(*place).agg(F.sum("_len").alias("taken"))
-    sources = F.broadcast(plan.sources.select("_src", F.col("_words").alias("source_size"), "target"))
+    sources = bounded_broadcast(plan.sources.select("_src", F.col("_words").alias("source_size"), "target"), BROADCAST_ROWS)
     return plan.docs.join(taken, place, "left").join(sources, "_src").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )

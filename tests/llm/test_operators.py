@@ -1,6 +1,7 @@
 """Operators against brute-force versions on small tables that hold every odd case."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -369,6 +370,28 @@ def test_mixing_draws_small_sources(spark):
     assert 0.5 < sum((n - 12) ** 2 / 12 for n in few) / small < 1.6
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_mixing_takes_any_number_of_sources(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(mixing, "GRID_BITS", 4)  # more sources than cells
+    rng = random.Random(4)
+    rows = [(i, prose(rng, 20), f"s{i:04}" if i < 4499 else None) for i in range(4500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mix(df, block=8, shard_slots=64)
+    assert plan.sources.count() == 4500
+    drawn = {r._src: r["count"] for r in plan.slots.groupBy("_src").count().collect()}
+    # Weights 3, 1, 2: two passes of 20 words, and 50 words in the ratio of 1 to 2, in three blocks each.
+    for part, want in ((0, 6.0), (1, 2.5), (2, 5.0)):
+        counts = [drawn.get(s, 0) for s in range(part, 4500, 3)]
+        # Draws beyond two passes of three blocks are left out.
+        mean = sum(min(n, 6) * np.exp(-want) * want**n / math.factorial(n) for n in range(40))
+        assert abs(sum(counts) / len(counts) - mean) < 0.04 * mean
+    assert plan.docs.select("doc_id").distinct().count() == 4500 and plan.docs.filter("size != 20").isEmpty()
+    mixed = mixing.mixed_documents(df, block=8, shard_slots=64)
+    assert mixed.select("doc_id").distinct().count() > 4200
+
+
 # 8
 
 
