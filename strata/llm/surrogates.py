@@ -5,7 +5,11 @@ entity alone, so every mention of it in the corpus gets the same one. Given name
 script, surnames keep the script, card numbers keep their check digit, addresses stay addresses.
 
 Distinct entities must stay distinct. Surrogates of all entities are compared with each other and
-with all real entities of the corpus; where two meet, one takes its next candidate, until none do.
+with all real entities of the corpus; where two meet, one takes its next candidate. What still meets
+after some rounds, as where a format is nearly full, is settled exactly: the free values of the format
+are listed and dealt out one by one. Entities that find no free value go on to the next wider format:
+one more digit (phones, numbers, cards), one more letter before the ``@``, one more given name or
+syllable; addresses go from ``192.168.`` and ``172.x.`` to ``10.``, to public ones, to one more part.
 """
 
 from __future__ import annotations
@@ -13,13 +17,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import mul
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import text_of
+from strata.llm.common import permute, text_of
 from strata.session import stage
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -149,11 +155,93 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     return "".join(pool[next(rand) % len(pool)] for _ in range(3 + attempt % 3))
 
 
+PRIVATE = re.compile(r"10\.|192\.168\.|172\.(?:1[6-9]|2\d|3[01])\.|")
+MOST = 2**62  # values of a format that are told apart; more than any corpus needs
+
+
+def form(kind: str, value: str) -> str:
+    """The format of a surrogate: ``*`` for what is drawn, or for emails ``a`` and ``0``. Values of two formats differ."""
+    if kind == "email":
+        local, domain = value.split("@", 1)
+        return "".join("a" if c.isalpha() else "0" if c.isdigit() else c for c in local) + "@" + domain
+    if kind == "address":
+        lead = PRIVATE.match(value)[0]
+        return lead + ".".join("*" * (value.count(".") + 1 - lead.count(".")))
+    if kind == "phone":
+        lead = re.match(r"\+1|\+\d\d|", value)[0]
+        return lead + "*" * (len(value) - len(lead))
+    if kind == "card":
+        return value[0] + "*" * (len(value) - 1) + ("!" if value[-1] == check_digit(value[:-1]) else "")
+    if kind == "number":
+        return re.sub(r"\d", "*", value)
+    return "-".join("*" * (value.count("-") + 1)) if kind.startswith("given") else "*" * (len(value) // 3)
+
+
+def first_form(key: bytes, kind: str, value: str) -> str:
+    """The format in which an entity looks for a surrogate first."""
+    if kind == "email":
+        return form(kind, surrogate(key, kind, value, 0))
+    return "*" if kind.startswith("given") else "***" if kind.startswith("surname") else form(kind, value)
+
+
+def wider(kind: str, shape: str) -> str:
+    """The format to go on with where all values of ``shape`` are taken."""
+    if kind == "email":
+        return "a" + shape
+    if kind == "address":
+        return "10.*.*.*" if re.match("192|172", shape) else "*.*.*.*" if shape == "10.*.*.*" else shape + ".*"
+    if kind == "card":
+        return shape[:-1] + "*!" if shape[-1] == "!" else shape + "*"
+    return shape + ("-*" if kind.startswith("given") else "*")
+
+
+def choices(kind: str, shape: str) -> list[list[str]]:
+    """What may stand at each place of a format, from left to right; a card's last digit is not among them."""
+    digits = list("0123456789")
+    if kind == "email":
+        local, domain = shape.split("@", 1)
+        letters = [chr(97 + i) for i in range(26)]
+        return [*[letters if c == "a" else digits if c == "0" else [c] for c in local], ["@" + domain]]
+    if kind == "address":
+        lead = PRIVATE.match(shape)[0]
+        rest = [[f".{i}" for i in range(1, 255)]] * (shape.count("*") - 1)
+        return [[f"{lead}{i}" for i in (range(1, 255) if lead else range(11, 123))], *rest]
+    if kind == "phone":
+        return [[shape.rstrip("*")], list("23456789"), *[digits] * (shape.count("*") - 1)]
+    if kind == "card":
+        # Without a right check digit, the last digit is one of the nine that are wrong.
+        return [[shape[0]], *[digits] * (shape.count("*") - 1), [""] if shape[-1] == "!" else list("123456789")]
+    if kind == "number":
+        return [digits if c == "*" else [c] for c in shape]
+    _, script, *gender = kind.split()
+    if gender:
+        pool = [name.casefold() for name in GIVEN[script, gender[0]]]
+        return [pool, *[[f"-{name}" for name in pool]] * shape.count("-")]
+    return [SYLLABLES[script]] * len(shape)
+
+
+def size_of(kind: str, shape: str) -> int:
+    return min(reduce(mul, map(len, choices(kind, shape)), 1), MOST)
+
+
+def value_at(kind: str, shape: str, index: int) -> str:
+    """The value number ``index`` of a format, each another one."""
+    parts = []
+    for options in reversed(choices(kind, shape)):
+        index, at = divmod(index, len(options))
+        parts.append(options[at])
+    made = "".join(reversed(parts))
+    if kind == "card":
+        body, off = (made, 0) if shape[-1] == "!" else (made[:-1], int(made[-1]))
+        return body + str((int(check_digit(body)) + off) % 10)
+    return made
+
+
 def in_format(mention: str, made: str, kind: str) -> str:
-    """The surrogate in the format of the mention: its separators, or its capitals."""
+    """The surrogate in the format of the mention: its separators, or its capitals. Digits beyond the mention's come last."""
     if kind in ("phone", "card"):
         digits = iter(re.sub(r"[^0-9]", "", made))
-        return "".join(next(digits, "") if c.isdigit() else c for c in mention)
+        return "".join(next(digits, "") if c.isdigit() else c for c in mention) + "".join(digits)
     if kind.startswith(("given", "surname")):
         if mention.isupper() and len(mention) > 1:
             return made.upper()
@@ -180,15 +268,87 @@ def choose_surrogates(entities: DataFrame, key: bytes, most: int = 32) -> DataFr
     entities = stage(entities.distinct(), "surrogate-entities")
     real = entities.select(F.col("kind").alias("k"), F.col("value").alias("v"))
     now = entities.withColumn("attempt", F.lit(0))
-    for _ in range(most):
+    before = 0
+    for attempt in range(most):
         now = stage(now.select("kind", "value", "attempt", made("kind", "value", "attempt").alias("made")), "surrogate-candidates")
         first = now.groupBy("kind", "made").agg(F.min("value").alias("holder"))
         judged = now.join(first, ["kind", "made"]).join(real, (F.col("kind") == F.col("k")) & (F.col("made") == F.col("v")), "left")
         judged = stage(judged.select("kind", "value", "attempt", "made", ((F.col("value") != F.col("holder")) | F.col("v").isNotNull()).alias("clash")), "surrogate-judged")
-        if judged.filter("clash").isEmpty():
+        clashes = judged.filter("clash").count()
+        if not clashes:
             return judged.select("kind", "value", "made")
+        # Names have had all their lengths by then; rounds that don't halve the clashes meet full formats.
+        if attempt > 4 and 2 * clashes > before:
+            break
+        before = clashes
         now = judged.select("kind", "value", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
-    raise ValueError(f"surrogates still clash after {most} rounds; the kinds' formats leave too few values")
+    return settle(judged.filter("not clash").select("kind", "value", "made"), judged.filter("clash").select("kind", "value"), real, key)
+
+
+def numbered(rows: DataFrame, order: str, chunks: int = 64) -> DataFrame:
+    """Adds _nth, the rows of each kind and form from 0 on, without ranking a whole form in one task."""
+    rows = rows.withColumn("_chunk", F.pmod(F.xxhash64(order), F.lit(chunks)))
+    counts = rows.groupBy("kind", "form", "_chunk").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("kind", "form").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("kind", "form", "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    nth = F.row_number().over(Window.partitionBy("kind", "form", "_chunk").orderBy(order)) - 1
+    return rows.withColumn("_nth", nth).join(starts, ["kind", "form", "_chunk"]).withColumn("_nth", F.col("_nth") + F.col("_start")).drop("_chunk", "_start")
+
+
+def settle(done: DataFrame, still: DataFrame, real: DataFrame, key: bytes) -> DataFrame:
+    """``done`` (kind, value, made) and the entities of ``still`` (kind, value) with free values of their formats.
+
+    As many values of a format are listed as it has entities and taken values, so there are enough free
+    ones unless the format itself has fewer; the rest goes on to the next wider format, which has at
+    least as many values and in the end more than are needed.
+    """
+
+    @F.pandas_udf("string")
+    def form_of(kind: pd.Series, value: pd.Series) -> pd.Series:
+        return pd.Series([form(*x) for x in zip(kind, value, strict=True)])
+
+    @F.pandas_udf("form string, keyed string")
+    def start(kind: pd.Series, value: pd.Series) -> pd.DataFrame:
+        pairs = list(zip(kind, value, strict=True))
+        keyed = [hashlib.blake2b("\x1f".join(("order", *x)).encode(), key=key, digest_size=16).hexdigest() for x in pairs]
+        return pd.DataFrame({"form": [first_form(key, *x) for x in pairs], "keyed": keyed})
+
+    @F.pandas_udf("string")
+    def widened(kind: pd.Series, shape: pd.Series) -> pd.Series:
+        return pd.Series([wider(*x) for x in zip(kind, shape, strict=True)])
+
+    @F.pandas_udf("long")
+    def size(kind: pd.Series, shape: pd.Series) -> pd.Series:
+        return pd.Series([size_of(*x) for x in zip(kind, shape, strict=True)], dtype="int64")
+
+    @F.pandas_udf("string")
+    def value(kind: pd.Series, shape: pd.Series, index: pd.Series) -> pd.Series:
+        return pd.Series([value_at(*x) for x in zip(kind, shape, index, strict=True)])
+
+    seed = int.from_bytes(hashlib.blake2b(b"free values", key=key, digest_size=4).digest(), "big") >> 1
+    still = stage(still.select("kind", "value", start("kind", "value").alias("s")).select("kind", "value", "s.*"), "surrogate-still")
+    taken = real.select(F.col("k").alias("kind"), F.col("v").alias("made")).union(done.select("kind", "made")).distinct()
+    taken = stage(taken.select("kind", "made", form_of("kind", "made").alias("form")), "surrogate-taken")
+    while not still.isEmpty():
+        forms = still.groupBy("kind", "form").agg(F.count("*").alias("r"))
+        used = taken.groupBy("kind", "form").agg(F.count("*").alias("t"))
+        forms = forms.join(used, ["kind", "form"], "left").select("kind", "form", "r", F.coalesce("t", F.lit(0)).alias("t"), size("kind", "form").alias("size"))
+        forms = stage(forms.withColumn("most", F.least("size", F.col("r") + F.col("t"))), "surrogate-forms")
+        step = 65_536
+        blocks = forms.select("kind", "form", "size", "most", F.explode(F.sequence(F.lit(0).cast("long"), F.col("most") - 1, F.lit(step).cast("long"))).alias("from"))
+        blocks = blocks.repartition("kind", "form", "from")
+        listed = blocks.select("kind", "form", "size", F.explode(F.sequence("from", F.least(F.col("from") + step, F.col("most")) - 1)).alias("i"))
+        index = permute(F.col("i"), F.col("size"), seed, F.col("kind"), F.col("form"))
+        listed = listed.select("kind", "form", "i", value("kind", "form", index).alias("made"))
+        free = numbered(stage(listed.join(taken, ["kind", "form", "made"], "left_anti"), "surrogate-free"), "i")
+        dealt = numbered(still, "keyed").join(free.select("kind", "form", "_nth", "made"), ["kind", "form", "_nth"], "left")
+        dealt = stage(dealt.select("kind", "value", "form", "keyed", "made"), "surrogate-dealt")
+        found = dealt.filter("made is not null")
+        done = done.union(found.select("kind", "value", "made"))
+        taken = taken.union(found.select("kind", "made", "form"))
+        still = dealt.filter("made is null").select("kind", "value", widened("kind", "form").alias("form"), "keyed")
+        still = stage(still, "surrogate-still")
+    return done
 
 
 def replace_entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

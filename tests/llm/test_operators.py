@@ -178,6 +178,38 @@ def test_replace_personal_data(spark, empty):
     assert not {(r.kind, r.made) for r in chosen} & {(r.kind, r.value) for r in chosen}
 
 
+FORMS = [("phone", "+25**"), ("phone", "***"), ("email", "a0._@q.org"), ("email", "_@q.org"), ("address", "192.168.*.*"), ("address", "10.*.*.*"),
+         ("address", "*.*.*.*.*"), ("card", "4" + "*" * 12 + "!"), ("card", "4" + "*" * 12), ("number", "***-**-****"), ("given latin f", "*"),
+         ("given cyrillic m", "*-*"), ("surname latin", "***"), ("surname cyrillic", "****")]
+
+
+@pytest.mark.parametrize("kind, shape", FORMS)
+def test_values_of_formats_are_distinct(kind, shape):
+    for _ in range(3):
+        n = surrogates.size_of(kind, shape)
+        at = list(range(n)) if n < 5000 else [*range(2000), *range(n - 2000, n)]
+        made = [surrogates.value_at(kind, shape, i) for i in at]
+        assert len(set(made)) == len(at) and {surrogates.form(kind, x) for x in made} == {shape}
+        shape = surrogates.wider(kind, shape)
+        assert surrogates.size_of(kind, shape) >= n
+
+
+def test_full_formats_are_settled(spark):
+    values = [("phone", f"+25{i:02}") for i in range(100)] + [("phone", f"+36{i:02}") for i in range(30)] + [("phone", "+2511")]
+    values += [("email", f"{c}@x.org") for c in "abcdefghijklmnopqrstuvwxyz0123456789_"] + [("email", f"_@{c}.org") for c in "abcdefghijklmnopqrst"]
+    values += [("given cyrillic m", f"имя{'абвгдежзик'[i % 10]}{i}") for i in range(300)] + [("address", f"192.168.{i}.{j}") for i in range(1, 255) for j in range(1, 255)]
+    chosen = surrogates.choose_surrogates(spark.createDataFrame(values, "kind string, value string"), b"k", most=3)
+    got = {(r.kind, r.value): r.made for r in chosen.collect()}
+    again = {(r.kind, r.value): r.made for r in surrogates.choose_surrogates(chosen.select("kind", "value"), b"k", most=3).collect()}
+    assert got == again and got.keys() == set(values)
+    made = {(k, m) for (k, _), m in got.items()}
+    assert len(made) == len(got) and not made & got.keys()
+    # Free values come first: 50 of 80 for +36dd, none for +25dd, which gets one more digit.
+    assert all(len(got["phone", f"+36{i:02}"]) == 5 for i in range(30)) and {len(got["phone", f"+25{i:02}"]) for i in range(100)} == {6}
+    assert all(m.startswith("10.") for (k, _), m in got.items() if k == "address")
+    assert surrogates.in_format("+25 (00)", "+25314", "phone") == "+25 (31)4"
+
+
 # 3
 
 
