@@ -1,0 +1,141 @@
+"""Operator 12 against a search of all stretches word by word."""
+
+import random
+from hashlib import sha256
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from strata.llm.periodic_runs import COVER, SHIFTS, V, Extensions, altered, digest, find_runs, op12, periodic_runs
+
+
+def slow_runs(words):
+    """Every maximal stretch of period q, the smallest period of each stretch first."""
+    n, found = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            end = i
+            while end + q < n and words[end] == words[end + q]:
+                end += 1
+            if end - i + q >= max(6, 4 * q):
+                found.setdefault((i, end - i + q), q)
+            i = max(end, i + 1)
+    return sorted(((s, length, q) for (s, length), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def numbered(words):
+    names = {}
+    return np.array([names.setdefault(w, len(names)) for w in words], np.int64)
+
+
+def sample_texts(rng):
+    yield []
+    yield ["a"] * 5
+    yield ["a"] * 6
+    yield ["a"] * 700
+    yield list("ab") * 4
+    yield list("ab") * 3 + ["a"]
+    yield list("aab") * 100
+    for size in (8, 30, 200, 900):
+        for letters in (1, 2, 3, 50):
+            for _ in range(6):
+                text = [rng.randrange(letters) for _ in range(size)]
+                for _ in range(rng.randrange(3)):
+                    at, q = rng.randrange(size), rng.randrange(1, 60)
+                    unit = text[at : at + q] or [0]
+                    text[at:at] = unit * rng.randrange(2, 7)
+                yield [str(w) for w in text]
+
+
+def test_cover_synchronises_all_places():
+    assert SHIFTS.min() >= 0 and len(COVER) * (len(COVER) - 1) == V - 1
+
+
+def test_extensions_of_all_pairs():
+    rng = random.Random(5)
+    for letters in (1, 2, 4):
+        words = np.array([rng.randrange(letters) for _ in range(150)] * 3 + [9])
+        i, j = (x.ravel() for x in np.meshgrid(np.arange(len(words)), np.arange(len(words))))
+        i, j = i[i != j], j[i != j]
+        got = Extensions(words).of(i, j)
+        for a, b, common in zip(i.tolist(), j.tolist(), got.tolist(), strict=True):
+            same = 0
+            while max(a, b) + same < len(words) and words[a + same] == words[b + same]:
+                same += 1
+            assert common == same
+
+
+def test_runs_of_many_texts_at_once_and_one_by_one():
+    texts = list(sample_texts(random.Random(12)))
+    arrays = [numbered(t) for t in texts]
+    expected = [slow_runs(t) for t in texts]
+    assert sum(map(len, expected)) > 50
+    assert find_runs(arrays) == expected
+    assert [find_runs([a])[0] for a in arrays] == expected
+
+
+def test_one_very_long_text():
+    rng = random.Random(3)
+    unit = [rng.randrange(1000) for _ in range(30_000)]
+    text = np.array([rng.randrange(1000) for _ in range(50_000)] + unit * 5 + [7] * 20_000)
+    runs = find_runs([text])[0]
+    assert [(s, q) for s, _, q in runs if q > 1] == [(50_000, 30_000)]
+    assert max(length for _, length, q in runs if q == 1) >= 20_000
+
+
+def brute(doc_id, text):
+    words = (text or "").encode().split()
+    n, h = len(words), crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = slow_runs(words)
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = sorted(runs, key=lambda r: (-r[1], r[0], r[2]))[:1]
+    top = (*best[0], 1000 * best[0][1] // best[0][2]) if best else (None,) * 4
+    listed = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    kept = b" ".join(w for i, w in enumerate(words) if i not in dropped)
+    return (doc_id, len(runs), *top, sha256(listed.encode()).hexdigest(), sha256(kept).hexdigest())
+
+
+def test_documents_with_nulls_repeated_rows_and_clashing_columns(spark):
+    rng = random.Random(8)
+    rows = [(None, "a a a a a a a"), (1, None), (2, ""), (3, " \t\n"), (4, "x"), (4, "x"), (5, "ü b " * 9)]
+    for i in range(10, 130):
+        size = rng.choice((1, 3, 12, 60, 300))
+        rows.append((i, rng.choice((" ", "\n", "\x0b ")).join(str(rng.randrange(rng.choice((2, 400)))) for _ in range(size))))
+    docs = spark.createDataFrame([(*r, 1, "z") for r in rows], "doc_id long, text string, start int, n_runs string")
+    got = sorted((tuple(r) for r in periodic_runs(docs, altered).collect()), key=str)
+    assert got == sorted((brute(*r) for r in rows), key=str)
+    assert any(r[1] for r in got) and len(got) == len(rows)
+    assert periodic_runs(docs.limit(0), altered).count() == 0
+    plain = {r.doc_id: r for r in periodic_runs(docs).collect()}
+    assert plain[5].n_runs == 1 and (plain[5].start, plain[5].length, plain[5].period) == (0, 18, 2)
+
+
+def test_ids_of_another_type(spark):
+    docs = spark.createDataFrame([("k", "a b " * 8)], "doc_id string, text string")
+    assert [r.doc_id for r in periodic_runs(docs).collect()] == ["k"]
+
+
+def test_query_against_the_search_of_all_stretches(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    got = sorted(tuple(r) for r in op12(spark, sf_dir).collect())
+    assert len(got) == len(docs) and sum(r[1] > 0 for r in got) > len(docs) // 20
+    small = {d.doc_id: d.text for d in docs if len(d.text or "") < 6_000}
+    assert [r for r in got if r[0] in small] == sorted(brute(*item) for item in small.items())
+
+
+def test_altered_and_digest_of_nothing():
+    assert altered([], "0") == [] and altered([b"a"], None) == [b"a"]
+    empty = sha256(b"").hexdigest()
+    assert digest([], []) == (0, None, None, None, None, empty, empty)
+
+
+@pytest.fixture
+def sf_dir():
+    return "/root/testdata/sf0.001"
