@@ -11,17 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 import strata
 from strata.llm import (
     decontamination,
+    filter_audit,
     jaccard,
     line_spread,
     mixing,
+    periodic_runs,
     quality,
     secret_ledger,
     sharding,
     substrings,
     surrogates,
+    top_k_search,
     toxicity,
 )
 
+
 def importable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Python workers look for this package where the driver found it, besides their own path."""
 
@@ -44,6 +48,9 @@ QUERIES = {
     "op8_substrings": substrings.op8,
     "op9_toxicity": toxicity.op9,
     "op10_sharding": sharding.op10,
+    "op11_top_k_search": top_k_search.op11,
+    "op12_periodic_runs": periodic_runs.op12,
+    "op13_filter_audit": filter_audit.op13,
 }
 QUERIES = {name: importable(query) for name, query in QUERIES.items()}
 
@@ -53,4 +60,6 @@ ORACLES = {
     "op4_jaccard_join": jaccard.ORACLE,
     "op6_secret_ledger": secret_ledger.ORACLE,
     "op8_substrings": substrings.ORACLE,
+    "op11_top_k_search": top_k_search.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
