@@ -17,6 +17,10 @@ class UnknownColumns(LoadError):
     """Rows hold columns that the table lacks and that would be lost."""
 
 
+class IncompatibleTypes(LoadError):
+    """A column has changed to a type that does not hold the values it had."""
+
+
 class UnmarkedRows(LoadError):
     """Source rows have no value in the watermark column."""
 

@@ -34,9 +34,12 @@ from strata.operators.shape import (
     dates_to_timestamp,
     drop_columns,
     empty_like,
+    merged_schema,
     move_first,
     require_columns,
     select_configured,
+    wider_types,
+    with_types,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

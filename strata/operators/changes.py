@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.shape import empty_like
+
+# Keys that are listed in a filter; see the session setting of the same number.
+LISTED_KEYS = 500
 NEW, CHANGED, DELETED, SAME = "new", "changed", "deleted", "same"
 
 
@@ -61,11 +65,20 @@ def restrict_to(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 def restrict_to_stored(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """``restrict_to`` for stored keys, where NULL is a key like any other.
 
-    The smallest and largest key first reach the scan: keys are mostly given out in order and
-    loads bring recent ones, so the range lets the parquet reader skip most row groups of a
-    long history by their statistics. The semi join then decides; the range loses no row.
+    Few keys reach the scan as a list: the parquet reader skips row groups by their statistics and Bloom
+    filters for each of them, so keys that lie scattered over a long history cost a row group each.
+    Of more keys, the smallest and largest reach it: keys are mostly given out in order and
+    loads bring recent ones. The semi join then decides; neither loses a row.
     """
     column = F.col(on)
-    low, high, blanks = keys.agg(F.min(on), F.max(on), F.count_if(column.isNull())).first()
-    found = df.limit(0) if low is None else restrict_to(df.filter(column.between(F.lit(low), F.lit(high))), keys, on)
+    low, high, blanks, kinds = keys.agg(
+        F.min(on), F.max(on), F.count_if(column.isNull()), F.approx_count_distinct(on)
+    ).first()
+    found = empty_like(df)
+    if low is not None:
+        found = restrict_to(df.filter(column.between(F.lit(low), F.lit(high))), keys, on)
+        if kinds <= LISTED_KEYS:
+            listed = keys.select(on).filter(column.isNotNull()).distinct().limit(2 * LISTED_KEYS + 1).collect()
+            if len(listed) <= 2 * LISTED_KEYS:  # the estimate is a few percent off
+                found = df.filter(column.isin(*[row[0] for row in listed]))
     return found.unionByName(df.filter(column.isNull())) if blanks else found

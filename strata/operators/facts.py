@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import hash_expr, with_sales_measures
-from strata.operators.changes import restrict_to, restrict_to_stored
+from strata.operators.changes import restrict_to_stored
 from strata.operators.keys import add_surrogate_key
 from strata.operators.latest import keep_latest
 from strata.operators.merge import merge_delete
@@ -58,7 +58,7 @@ def changed_facts(lines: DataFrame, orders: DataFrame, since: object, *, mode: s
     changed_lines, changed_orders = lines.filter(newer), orders.filter(newer)
     if mode == "both":
         return fact_base(_current(changed_lines, "OrderLineID"), _current(changed_orders, "OrderID"), now)
-    of_changed_orders = restrict_to(lines, changed_orders, "OrderID").select("OrderLineID")
+    of_changed_orders = restrict_to_stored(lines, changed_orders, "OrderID").select("OrderLineID")
     touched = changed_lines.select("OrderLineID").unionByName(of_changed_orders).distinct()
     histories = restrict_to_stored(lines, stage(touched, "touched_keys"), "OrderLineID")
     current_lines = stage(_current(histories, "OrderLineID"), "touched_lines")
@@ -107,23 +107,23 @@ def replace_by_key(
     skey: str = FACT_SKEY,
     order: Sequence[str] = (*FACT_KEYS, "hash_key"),
     keep_skeys: bool = True,
-    numbered: DataFrame | None = None,
-    stored: DataFrame | None = None,
+    numbered: DataFrame | int | None = None,
 ) -> DataFrame:
     """Fact rows with those of the staged keys replaced.
 
     A replaced row keeps its surrogate key and only new rows are numbered, from the largest
     key in use. ``keep_skeys=False`` numbers every staged row, from the largest key of the
-    rows that stay. When ``fact`` is only a part of the table, ``numbered`` is all of it. ``stored``
-    holds the hash and surrogate keys of the staged rows that ``fact`` has, where they are already known.
+    rows that stay. When ``fact`` is only a part of the table, ``numbered`` is all of it, or the largest
+    key of all rows (of those that stay).
     """
     everything = fact if numbered is None else numbered
     kept = merge_delete(fact, staged, ["hash_key"])
     if not keep_skeys:
-        stays = kept if numbered is None else merge_delete(numbered, staged, ["hash_key"])
+        stays = kept if numbered is None else numbered
+        if isinstance(numbered, DataFrame):
+            stays = merge_delete(numbered, staged, ["hash_key"])
         return kept.unionByName(add_surrogate_key(staged, skey, order, after=stays).select(*fact.columns))
-    keys = (fact if stored is None else stored).select("hash_key", skey)
-    known = staged.join(keys, "hash_key", "left")
+    known = staged.join(fact.select("hash_key", skey), "hash_key", "left")
     replaced = known.filter(F.col(skey).isNotNull()).select(*fact.columns)
     new = add_surrogate_key(known.filter(F.col(skey).isNull()), skey, order, after=everything)
     return kept.unionByName(replaced).unionByName(new.select(*fact.columns))

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.functions import hash_expr
-from strata.operators.shape import require_columns
+from strata.operators.shape import move_first, require_columns
 from strata.session import stage
 
 # Columns that describe the load, not the row.
@@ -54,7 +54,7 @@ def max_skey(df: DataFrame | None, column: str) -> int:
 
 
 def add_surrogate_key(
-    df: DataFrame, skey: str, order: Sequence[str], *, start: int = 0, after: DataFrame | None = None
+    df: DataFrame, skey: str, order: Sequence[str], *, start: int = 0, after: DataFrame | int | None = None
 ) -> DataFrame:
     """Number the rows ``start+1, start+2, ...`` in the given order, without one global task.
 
@@ -63,7 +63,7 @@ def add_surrogate_key(
     earlier partitions. What is broadcast is one row per partition, whatever the data size.
     Writing first keeps numbers stable: a retried task would otherwise sample new ranges.
     ``order`` must be a total order for the numbering to be repeatable. With ``after``,
-    numbering goes on from the largest ``skey`` of that frame. Finding the ranges reads ``df``
+    numbering goes on from the largest ``skey`` of that frame, or from that number. Finding the ranges reads ``df``
     once more, so costly input should be stored first.
     """
     require_columns(df, order)
@@ -75,7 +75,9 @@ def add_surrogate_key(
     part = F.shiftright("_place", _ROW_BITS).cast("int")
     position = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    if after is not None:
+    if isinstance(after, int):
+        start += after
+    elif after is not None:
         # The numbers in use count like a partition before the first one.
         used = F.coalesce(F.max(skey), F.lit(0)).cast("long")
         sizes = sizes.unionByName(after.agg(used.alias("_rows")).select(F.lit(-1).alias("_part"), "_rows"))
@@ -83,4 +85,4 @@ def add_surrogate_key(
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     number = F.lit(start).cast("long") + F.col("_offset") + position + 1
-    return numbered.select(number.alias(skey), *[c for c in df.columns if c != skey])
+    return move_first(numbered.select(*[c for c in df.columns if c != skey], number.alias(skey)), skey)

@@ -81,12 +81,12 @@ def classify_members(staged: DataFrame, dim: DataFrame, skey: str) -> DataFrame:
 
 
 def new_members(
-    members: DataFrame, dim: DataFrame, *, skey: str, keys: Sequence[str], now: Column, numbered: DataFrame | None = None
+    members: DataFrame, dim: DataFrame, *, skey: str, keys: Sequence[str], now: Column, numbered: DataFrame | int | None = None
 ) -> DataFrame:
     """New and changed members as numbered first versions, shaped like ``dim``.
 
     While nothing stored has changed, appending these rows is the whole load. When ``dim`` is only a
-    part of the dimension, ``numbered`` is all of it.
+    part of the dimension, ``numbered`` is all of it or the largest surrogate key in use.
     """
     arrived = members.filter(F.col("change_type").isin(NEW, CHANGED)).drop(skey, "change_type")
     complete = with_scd2_defaults(arrived, now)
@@ -95,14 +95,14 @@ def new_members(
 
 def scd2_next(
     dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[str], attributes: Sequence[str], now: Column,
-    refresh_source: bool = True, numbered: DataFrame | None = None,
+    refresh_source: bool = True, numbered: DataFrame | int | None = None,
 ) -> DataFrame:
     """Next state of a dimension with history, from ``classify_members``.
 
     Placeholders take the real attributes in place and keep their surrogate key; new and
     changed members become versions, whose keys' chains are recalculated. All joins are on
     ``hash_key``. ``members`` is read several times and should be stored. ``dim`` may be the part of
-    the dimension in which the members are or belong; ``numbered`` is all of it then.
+    the dimension in which the members are or belong; ``numbered`` is all of it then, or its largest key.
     """
     arrived = members.filter(F.col("change_type").isin(NEW, CHANGED)).select("hash_key")
     versions = new_members(members, dim, skey=skey, keys=keys, now=now, numbered=numbered)
@@ -115,7 +115,7 @@ def scd2_next(
 
 def scd1_next(
     dim: DataFrame, members: DataFrame, *, skey: str, keys: Sequence[str], attributes: Sequence[str], now: Column,
-    numbered: DataFrame | None = None,
+    numbered: DataFrame | int | None = None,
 ) -> DataFrame:
     """Next state of a dimension without history: new rows added, changed and inferred ones updated in place."""
     arrived = members.filter(F.col("change_type") == NEW)
@@ -211,10 +211,13 @@ def missing_members(facts: DataFrame, dim: DataFrame, key_map: Mapping[str, str]
     return merge_delete(with_hash_key(first, keys), dim, ["hash_key"])
 
 
-def placeholder_rows(missing: DataFrame, dim: DataFrame, *, skey: str, keys: Sequence[str], now: Column) -> DataFrame:
+def placeholder_rows(
+    missing: DataFrame, dim: DataFrame, *, skey: str, keys: Sequence[str], now: Column, numbered: int | None = None
+) -> DataFrame:
     """Numbered rows for missing members, shaped like ``dim``: no attributes, marked as inferred."""
     rows = with_scd2_defaults(missing, now).withColumns({"row_hash": F.lit(""), "inferred_flag": F.lit(1)})
-    return align_to(add_surrogate_key(rows, skey, [*keys, "audit_ts", "hash_key"], after=dim), dim.schema)
+    after = dim if numbered is None else numbered
+    return align_to(add_surrogate_key(rows, skey, [*keys, "audit_ts", "hash_key"], after=after), dim.schema)
 
 
 def infer_members(facts: DataFrame, dim: DataFrame, key_map: Mapping[str, str], *, skey: str, now: Column) -> DataFrame:

@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, StructType, TimestampNTZType, TimestampType
-
-from strata.errors import MissingColumns
+from pyspark.sql.types import (
+    BooleanType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    NumericType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from strata.errors import IncompatibleTypes, MissingColumns
 from strata.functions import blank_to_null
 
 PARTITION_COLUMNS = ("year", "month", "day")
+# Integer types by the number of decimal digits that hold all their values.
+_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20}
+_MOST_DIGITS = 38
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], what: str = "input") -> None:
@@ -60,6 +80,45 @@ def align_to(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+def widest_type(a: DataType, b: DataType) -> DataType | None:
+    """The type that holds all values of both, where one of them or a longer decimal does; else None."""
+    if a == b:
+        return a
+    if type(a) in _DIGITS and type(b) in _DIGITS:
+        return max(a, b, key=lambda t: _DIGITS[type(t)])
+    if {type(a), type(b)} == {FloatType, DoubleType}:
+        return DoubleType()
+    if {type(a), type(b)} <= {DecimalType, *_DIGITS}:
+        decimals = [t if isinstance(t, DecimalType) else DecimalType(_DIGITS[type(t)], 0) for t in (a, b)]
+        scale = max(t.scale for t in decimals)
+        digits = max(t.precision - t.scale for t in decimals) + scale
+        return DecimalType(digits, scale) if digits <= _MOST_DIGITS else None
+    return None
+
+
+def wider_types(stored: StructType, new: StructType) -> dict[str, DataType]:
+    """Columns of ``stored`` that need another type to hold the values of ``new`` as well."""
+    types = {f.name: f.dataType for f in new}
+    widest = {f.name: widest_type(f.dataType, types[f.name]) for f in stored if f.name in types}
+    return {f.name: widest[f.name] for f in stored if widest.get(f.name) not in (None, f.dataType)}
+
+
+def with_types(df: DataFrame, types: Mapping[str, DataType]) -> DataFrame:
+    return df.withColumns({name: _quoted(name).cast(type_) for name, type_ in types.items()}) if types else df
+
+
+def merged_schema(old: StructType, new: StructType) -> StructType:
+    """All columns of both, each with a type for the values of both; an error where there is none."""
+    types = {f.name: f.dataType for f in new}
+    fields = []
+    for f in old:
+        type_ = widest_type(f.dataType, types.get(f.name, f.dataType))
+        if type_ is None:
+            raise IncompatibleTypes(f"column {f.name}: {types[f.name].simpleString()} after {f.dataType.simpleString()}")
+        fields.append(StructField(f.name, type_))
+    return StructType([*fields, *[f for f in new if f.name not in old.names]])
+
+
 def conform(df: DataFrame, schema: StructType, *, strict: bool = True) -> DataFrame:
     """Convert a source extract to declared types; digits and time of day may be cut off.
 

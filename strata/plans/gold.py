@@ -30,7 +30,9 @@ from strata.operators import (
     scd2_next,
     select_configured,
     staged_facts,
+    wider_types,
     with_hash_key,
+    with_types,
 )
 from strata.operators.calendar import FIRST_DAY, LAST_DAY
 from strata.operators.changes import CHANGED, NEW, SAME
@@ -42,8 +44,11 @@ from strata.schemas import DIM_DATE, DIMENSIONS, FACT_SALES, ORDER_LINES, ORDERS
 from strata.session import scratch_scope, stage
 from strata.sources.bronze import newer_than
 from strata.sources.metadata import ObjectConfig
+from strata.sources.tables import BUCKET, Register, bucket_of, in_places
 
 FACT_PARTITION = "order_month"
+FACT_PLACES = (FACT_PARTITION, BUCKET)
+_FACT_ORDER = (*FACT_KEYS, "hash_key")
 # What facts use of the two histories, and what tells their versions apart.
 LINE_COLUMNS = (
     "OrderLineID", "OrderID", "StockItemID", "Description", "Quantity", "UnitPrice", "TaxRate", "PickedQuantity",
@@ -78,7 +83,7 @@ def load_dimension(layers: Layers, dim: Dimension, now: datetime, *, hash_lookup
     current = current_versions(source, active="before")
     if dim.lookup:
         current = _with_lookup(layers, dim, current)
-    with scratch_scope(layers.spark):
+    with scratch_scope(layers.spark), layers.gold.registered(dim.name, dim.skey) as register:
         staged = stage_members(current, config.keys, config.columns, lookups=dim.lookup_columns, hash_lookups=hash_lookups)
         target = _target(layers, dim, config)
         members, seen = observed(
@@ -88,7 +93,7 @@ def load_dimension(layers: Layers, dim: Dimension, now: datetime, *, hash_lookup
         counts = seen.get
         if counts[NEW] + counts[CHANGED] + counts[FILL] == 0:
             return LoadResult(dim.name, NO_NEW_DATA, counts)
-        _write_members(layers, dim, config, target, members, counts, F.lit(now).cast("timestamp"))
+        _write_members(layers, dim, config, target, members, counts, F.lit(now).cast("timestamp"), register)
     return LoadResult(dim.name, LOADED, counts)
 
 
@@ -96,7 +101,7 @@ def load_dimension(layers: Layers, dim: Dimension, now: datetime, *, hash_lookup
 def load_inferred(layers: Layers, dim: Dimension, facts: DataFrame, now: datetime) -> LoadResult:
     """Append placeholder rows for dimension keys that the facts use and the dimension lacks."""
     config = layers.config("Gold", dim.source.object)[dim.source.object]
-    with scratch_scope(layers.spark):
+    with scratch_scope(layers.spark), layers.gold.registered(dim.name, dim.skey) as register:
         target = _target(layers, dim, config)
         missing, seen = observed(
             missing_members(facts, target, {dim.key: dim.fact_key}), {"inferred": F.count(F.lit(1))}
@@ -105,7 +110,8 @@ def load_inferred(layers: Layers, dim: Dimension, facts: DataFrame, now: datetim
         if not seen.get["inferred"]:
             return LoadResult(dim.name, NO_NEW_DATA, seen.get)
         load_time = F.lit(now).cast("timestamp")
-        _add(layers, dim.name, placeholder_rows(missing, target, skey=dim.skey, keys=[dim.key], now=load_time))
+        rows = placeholder_rows(missing, target, skey=dim.skey, keys=[dim.key], now=load_time, numbered=register.high)
+        _add(layers, dim.name, rows, register, seen.get["inferred"])
     return LoadResult(dim.name, LOADED, seen.get)
 
 
@@ -132,8 +138,8 @@ def load_calendar(layers: Layers, start: date = FIRST_DAY, end: date = LAST_DAY)
 def load_fact(layers: Layers, now: datetime, *, mode: str = "either", keep_skeys: bool = True) -> LoadResult:
     """Replace the fact rows of order lines that changed since the last load.
 
-    The table is partitioned by order month, and only months that lose or gain a row are
-    rewritten. Missing dimension members are inferred before their keys are looked up.
+    The table is partitioned by order month and bucket of the key, and only pairs that lose or gain a row
+    are rewritten. Missing dimension members are inferred before their keys are looked up.
     """
     lines = layers.silver.read(ORDER_LINES.object).select(*LINE_COLUMNS)
     orders = layers.silver.read(ORDERS.object).select(*ORDER_COLUMNS)
@@ -156,26 +162,53 @@ def load_fact(layers: Layers, now: datetime, *, mode: str = "either", keep_skeys
 
 
 def _write_facts(layers: Layers, base: DataFrame, keep_skeys: bool) -> dict[str, int]:
+    gold = layers.gold
     staged, seen = observed(_with_month(staged_facts(base)), {"staged": F.count(F.lit(1))})
     staged = stage(staged, "fact_staged")
-    order = [*FACT_KEYS, "hash_key"]
-    if not layers.gold.exists(FACT_SALES):
-        layers.gold.create(add_surrogate_key(staged, FACT_SKEY, order), FACT_SALES, [FACT_PARTITION])
-        return {**seen.get, "replaced": 0}
-    fact = layers.gold.read(FACT_SALES)
-    # Found by the business key: narrower than the hash, and its range skips row groups.
-    key = FACT_KEYS[0]
-    stored = restrict_to_stored(fact.select(key, FACT_PARTITION, "hash_key", FACT_SKEY), staged, key)
-    replaced = stage(stored, "fact_stored")
-    # One row per order month on the driver, never one per fact.
-    months = {row[0]: row["count"] for row in replaced.groupBy(FACT_PARTITION).count().collect()}
-    touched = set(months) | {row[0] for row in staged.select(FACT_PARTITION).distinct().collect()}
+    count, replaced = seen.get["staged"], 0
+    with gold.registered(FACT_SALES, FACT_SKEY) as register:
+        if gold.exists(FACT_SALES):
+            replaced = _replace_facts(layers, staged, count, register, keep_skeys)
+        else:
+            months = max(1, staged.select(FACT_PARTITION).distinct().count())
+            buckets = layers.buckets(count // months, layers.fact_buckets)
+            facts = add_surrogate_key(staged, FACT_SKEY, _FACT_ORDER)
+            gold.create(facts, FACT_SALES, [FACT_PARTITION], buckets=buckets, indexed=FACT_KEYS)
+            register.high = count
+        register.rows += count - replaced
+        if count > replaced:
+            months = max(1, gold.partition_count(FACT_SALES) // gold.layout(FACT_SALES).buckets[1])
+            layers.settle(gold, FACT_SALES, register.rows // months, layers.fact_buckets)
+    return {"staged": count, "replaced": replaced}
+
+
+def _replace_facts(layers: Layers, staged: DataFrame, count: int, register: Register, keep_skeys: bool) -> int:
+    """Rewrite the (month, bucket) folders that lose or gain a row; the number of rows replaced."""
+    gold, key = layers.gold, FACT_KEYS[0]
+    fact = gold.stored(FACT_SALES)
+    staged = staged.withColumn(BUCKET, bucket_of(gold.layout(FACT_SALES).buckets))
+    # On the driver one row per folder, never one per fact.
+    touched = {tuple(row) for row in staged.select(*FACT_PLACES).distinct().collect()}
     if not touched:
-        return {**seen.get, "replaced": 0}
-    in_scope = fact.filter(F.col(FACT_PARTITION).isin(*touched))
-    rows = replace_by_key(in_scope, staged, keep_skeys=keep_skeys, order=order, numbered=fact, stored=replaced)
-    layers.gold.replace_partitions(rows, FACT_SALES, FACT_PARTITION, sorted(touched), evolve=True)
-    return {**seen.get, "replaced": sum(months.values())}
+        return 0
+    # Where the rows lie now is read from the business key alone: it is narrower than the hash, and its
+    # ranges and Bloom filters skip row groups.
+    buckets = sorted({bucket for _, bucket in touched})
+    held = fact.select(key, *FACT_PLACES).filter(F.col(BUCKET).isin(*buckets))
+    held = restrict_to_stored(held, staged, key).groupBy(*FACT_PLACES).count().collect()
+    touched |= {tuple(row[:2]) for row in held}
+    in_scope = fact.filter(in_places(FACT_PLACES, touched))
+    numbered = register.high
+    if not keep_skeys:
+        # Numbering goes on from the rows that stay, which are read only if the largest key is not among them.
+        gone = restrict_to_stored(in_scope.select(key, FACT_SKEY), staged, key).agg(F.max(FACT_SKEY)).first()[0]
+        numbered = fact if gone == register.high else numbered
+    rows = replace_by_key(in_scope, staged, keep_skeys=keep_skeys, order=_FACT_ORDER, numbered=numbered)
+    rows, written = observed(rows, {"high": F.max(FACT_SKEY)})
+    gold.replace_partitions(rows, FACT_SALES, FACT_PLACES, touched, evolve=True)
+    high = written.get["high"]
+    register.high = max(register.high, high) if keep_skeys else high
+    return sum(row["count"] for row in held)
 
 
 def _with_month(facts: DataFrame) -> DataFrame:
@@ -197,35 +230,43 @@ def _target(layers: Layers, dim: Dimension, config: ObjectConfig) -> DataFrame:
     wanted = dimension_schema(source, dim.skey, columns, technical, extra)
     if not layers.gold.exists(dim.name):
         return layers.spark.createDataFrame([], wanted)
-    # Columns that the configuration has gained are NULL in stored rows.
+    # Columns that the configuration has gained are NULL in stored rows; types that have widened hold for all.
     return _with_columns_of(layers.gold.read(dim.name), wanted)
 
 
 def _with_columns_of(stored: DataFrame, wanted: DataFrame | StructType) -> DataFrame:
     schema = wanted.schema if isinstance(wanted, DataFrame) else wanted
+    stored = with_types(stored, wider_types(stored.schema, schema))
     gained = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in stored.columns}
     return stored.withColumns(gained) if gained else stored
 
 
-def _write_members(layers: Layers, dim: Dimension, config: ObjectConfig, target: DataFrame, members: DataFrame, counts: dict[str, int], now: Column) -> None:
-    common = {"skey": dim.skey, "keys": config.keys, "now": now}
+def _write_members(layers: Layers, dim: Dimension, config: ObjectConfig, target: DataFrame, members: DataFrame, counts: dict[str, int], now: Column, register: Register) -> None:
+    common = {"skey": dim.skey, "keys": config.keys, "now": now, "numbered": register.high}
+    added = counts[NEW] + (counts[CHANGED] if dim.history else 0)
     attributes = [*config.columns, *dim.lookup_columns]
     if counts[CHANGED] + counts[FILL] == 0:
         # Only first versions: nothing stored changes, so the rows are added as they are.
-        _add(layers, dim.name, new_members(members, target, **common))
+        _add(layers, dim.name, new_members(members, target, **common), register, added)
         return
     if dim.history:
         step = partial(scd2_next, attributes=attributes, refresh_source=dim.refresh_source_on_fill, **common)
     else:
         step = partial(scd1_next, attributes=attributes, **common)
-    # Only the buckets of these members are read and rewritten, besides the largest key in use.
-    layers.gold.update_keys(
-        dim.name, members, lambda held: step(_with_columns_of(held, target), members, numbered=layers.gold.read(dim.name))
-    )
+    # Only the buckets of these members are read and rewritten.
+    layers.gold.update_keys(dim.name, members, lambda held: step(_with_columns_of(held, target), members))
+    _count(layers, dim.name, register, added)
 
 
-def _add(layers: Layers, table: str, rows: DataFrame) -> None:
+def _add(layers: Layers, table: str, rows: DataFrame, register: Register, added: int) -> None:
     if layers.gold.exists(table):
         layers.gold.append(rows, table, evolve=True)
     else:
-        layers.gold.create(rows, table, buckets=layers.buckets)
+        layers.gold.create(rows, table, buckets=layers.buckets(added))
+    _count(layers, table, register, added)
+
+
+def _count(layers: Layers, table: str, register: Register, added: int) -> None:
+    register.high += added
+    register.rows += added
+    layers.settle(layers.gold, table, register.rows)

@@ -20,17 +20,21 @@ from strata.sources.metadata import (
     CONFIG_REQUIRED,
     WATERMARK_REQUIRED,
     ObjectConfig,
+    compacted_log,
     latest_watermark,
     load_config,
     require_values,
     reset_watermark,
     seed_config,
+    superseded_log,
     watermark_rows,
 )
 from strata.sources.tables import Tables
 
 LOADED, NO_NEW_DATA = "loaded", "no_new_data"
 MAX_LOADS = 8  # that run side by side
+LOG_FILES = 64  # of the watermark log, then it is compacted
+BUCKET_ROWS = 4_000_000  # that a bucket is meant for
 
 
 @dataclass(frozen=True)
@@ -58,12 +62,23 @@ def timed(load: Callable[..., LoadResult]) -> Callable[..., LoadResult]:
 class Layers:
     """Raw files under ``root``; control, cleaned and dimensional tables in three databases."""
 
-    CONFIG, WATERMARK = "config_tables", "watermark"
-
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "strata", buckets: int = 8):
-        """``buckets`` of new dimensions and snapshot tables: an update rewrites those that it touches."""
+    CONFIG, WATERMARK, HISTORY = "config_tables", "watermark", "watermark_history"
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        prefix: str = "strata",
+        buckets: int = 8,
+        fact_buckets: int = 1,
+        bucket_rows: int = BUCKET_ROWS,
+    ):
+        """An update rewrites the buckets that it touches. ``buckets`` is the least number for dimensions and snapshot
+        tables, ``fact_buckets`` for a month of facts; a table that outgrows ``bucket_rows`` a bucket
+        twofold is dealt anew to more of them.
+        """
         self.spark = configure(spark)
-        self.buckets = ("hash_key", buckets)
+        self.least_buckets, self.fact_buckets, self.bucket_rows = buckets, fact_buckets, bucket_rows
         self.root = root.rstrip("/")
         self._log_lock = Lock()  # parallel loads append to one log
         self.control, self.silver, self.gold = (
@@ -102,6 +117,33 @@ class Layers:
         with self._log_lock:
             rows = require_values(watermark_rows(self.spark, layer, object_name, value, now), WATERMARK_REQUIRED)
             self.control.append(rows, self.WATERMARK)
+            if len(self.watermarks.inputFiles()) > LOG_FILES:
+                self._compact()
+
+    def _compact(self) -> None:
+        """Keep the newest entries in the log; the older ones go to a table that no load reads."""
+        older = superseded_log(self.watermarks).coalesce(1)
+        if self.control.exists(self.HISTORY):
+            # Entries that an interrupted compaction has moved already are not moved again.
+            self.control.append(older.exceptAll(self.control.read(self.HISTORY)), self.HISTORY)
+        else:
+            self.control.create(older, self.HISTORY)
+        self.control.replace(compacted_log(self.watermarks).coalesce(1), self.WATERMARK)
+
+    def buckets(self, rows: int, least: int | None = None) -> tuple[str, int]:
+        """The bucket key and the number of buckets for so many rows: the least number, doubled as often as needed."""
+        number = self.least_buckets if least is None else least
+        while rows > number * self.bucket_rows:
+            number *= 2
+        return "hash_key", number
+
+    def settle(self, tables: Tables, table: str, rows: int, least: int | None = None) -> bool:
+        """Deal a table anew whose buckets hold twice the rows that they are meant for."""
+        held = tables.layout(table).buckets
+        if held is None or rows <= 2 * held[1] * self.bucket_rows:
+            return False
+        tables.redeal(table, self.buckets(rows, least)[1])
+        return True
 
     def reset(self, layer: str = "bronze") -> int:
         """Forget the watermarks of a layer, to load it anew; returns the number removed."""

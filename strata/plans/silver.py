@@ -96,7 +96,7 @@ def load_incremental(layers: Layers, config: ObjectConfig, now: datetime) -> Loa
         silver.append(versions.filter(F.col("change_type") != SAME).drop("change_type"), name, evolve=True)
     else:
         staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
-        silver.create(staged, name)
+        silver.create(staged, name, indexed=[*config.keys, *_lookup_keys(config)])
     layers.advance("silver", name, newest, now, since)
     return LoadResult(name, LOADED, seen.get, newest)
 
@@ -107,25 +107,33 @@ def load_snapshot(layers: Layers, config: ObjectConfig, now: datetime) -> LoadRe
     since = layers.watermark("silver", name)
     snapshot, newest = latest_snapshot_at(read_bronze(layers.spark, layers.bronze(config), since))
     staged = _staged(snapshot, config, now).withColumn(DELETION_MARK, F.lit(None).cast("timestamp"))
-    if silver.exists(name):
-        versions = snapshot_versions(staged, silver.read(name))
-        versions, seen = observed(versions, count_by("change_type", NEW, CHANGED, DELETED, SAME))
-        changes = stage(versions.filter(F.col("change_type") != SAME), name)
-        counts = seen.get
-        if not counts[NEW] + counts[CHANGED] + counts[SAME]:
-            raise EmptySnapshot(f"{name}: the newest copy has no rows")
-        if counts[DELETED]:
-            silver.update_keys(name, changes, lambda held: snapshot_next(held, changes, now))
-        elif counts[NEW] + counts[CHANGED]:
-            silver.append(changes.drop("change_type"), name, evolve=True)
-    else:
-        staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
-        silver.create(staged, name, buckets=layers.buckets)
-        counts = seen.get
+    with silver.registered(name) as register:
+        if silver.exists(name):
+            versions = snapshot_versions(staged, silver.read(name))
+            versions, seen = observed(versions, count_by("change_type", NEW, CHANGED, DELETED, SAME))
+            changes = stage(versions.filter(F.col("change_type") != SAME), name)
+            counts = seen.get
+            if not counts[NEW] + counts[CHANGED] + counts[SAME]:
+                raise EmptySnapshot(f"{name}: the newest copy has no rows")
+            if counts[DELETED]:
+                silver.update_keys(name, changes, lambda held: snapshot_next(held, changes, now))
+            elif counts[NEW] + counts[CHANGED]:
+                silver.append(changes.drop("change_type"), name, evolve=True)
+        else:
+            staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
+            silver.create(staged, name, buckets=layers.buckets(0))
+            counts = seen.get
+        register.rows += counts[NEW] + counts.get(CHANGED, 0)
+        layers.settle(silver, name, register.rows)
     layers.advance("silver", name, newest, now, since)
     return LoadResult(name, LOADED, counts, newest)
 
 
+def _lookup_keys(config: ObjectConfig) -> tuple[str, ...]:
+    """Keys of other objects by which loads look up rows of this one."""
+    return next((s.lookup_keys for s in SOURCES if s.object == config.source_object), ())
+
+
 def _staged(bronze: DataFrame, config: ObjectConfig, now: datetime) -> DataFrame:
     unwanted = next((s.unwanted for s in SOURCES if s.object == config.source_object), ())
     return stage_rows(

@@ -57,13 +57,16 @@ WATERMARK_SCHEMA = (
 
 @dataclass(frozen=True)
 class Source:
-    """One source table and how it is loaded. ``unwanted`` columns stop at the raw layer."""
+    """One source table and how it is loaded. ``unwanted`` columns stop at the raw layer; ``lookup_keys`` are
+    keys of other sources by which its history is searched.
+    """
 
     schema_name: str
     table: str
     business_key: str
     watermark: str | None = None
     unwanted: tuple[str, ...] = field(default=())
+    lookup_keys: tuple[str, ...] = ()
 
     @property
     def object(self) -> str:
@@ -81,7 +84,7 @@ class Source:
 # The six sources, in config order.
 SOURCE_SYSTEM = "WWI"
 ORDERS = Source("Sales", "Orders", "OrderID", "LastEditedWhen", ("Comments", "DeliveryInstructions", "InternalComments"))
-ORDER_LINES = Source("Sales", "OrderLines", "OrderLineID", "LastEditedWhen")
+ORDER_LINES = Source("Sales", "OrderLines", "OrderLineID", "LastEditedWhen", lookup_keys=("OrderID",))
 CUSTOMERS = Source("Sales", "Customers", "CustomerID", None, ("WebsiteURL", "DeliveryRun", "RunPosition"))
 CUSTOMER_CATEGORIES = Source("Sales", "CustomerCategories", "CustomerCategoryID")
 STOCK_ITEMS = Source("Warehouse", "StockItems", "StockItemID", None, ("MarketingComments", "InternalComments", "Photo"))

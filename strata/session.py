@@ -21,6 +21,8 @@ SQL_SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keys in a filter that parquet looks up in statistics and Bloom filters one by one (twice LISTED_KEYS).
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Partial fact rewrites replace only the partitions they write.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from strata.operators.shape import require_columns
+from strata.operators.shape import merged_schema, require_columns
 from strata.sources.metadata import NO_WATERMARK
 
 _DAY_FOLDERS = {"year": "yyyy", "month": "MM", "day": "dd"}
+# Names with an underscore are no data to Spark.
+_SCHEMA_FILE = "_schema.json"
 
 
 def extract_full(source: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,8 +59,11 @@ def bronze_path(root: str, source_system: str, source_object: str) -> str:
 def write_bronze(df: DataFrame, path: str, load_ts: datetime | None = None) -> None:
     """Append one copy to the folder of its load day.
 
-    Without ``load_ts`` each row goes to the day of its ``audit_ts``, for a history of copies.
+    Without ``load_ts`` each row goes to the day of its ``audit_ts``, for a history of copies. The columns and
+    types of all copies are recorded beside them; a column whose new type can't hold its
+    earlier values is an error before anything is written.
     """
+    record_schema(df.sparkSession, path, df.schema)
     if load_ts is not None:
         folder = load_ts.astimezone(timezone.utc).strftime("year=%Y/month=%m/day=%d")
         df.write.mode("append").option("compression", "snappy").parquet(f"{path}/{folder}")
@@ -70,12 +77,48 @@ def write_bronze(df: DataFrame, path: str, load_ts: datetime | None = None) -> N
 def read_bronze(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
     """The raw layer; with ``since``, only day folders from that day on are listed and read.
 
-    Copies made before a column was configured read as NULL there.
+    Copies made before a column was configured read as NULL there, and those made before its type widened
+    read as the wider type. The recorded schema spares reading the footers of all files.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    schema = recorded_schema(spark, path)
+    df = (spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")).parquet(path)
     return df if since is None else since_day(df, since)
 
 
+def recorded_schema(spark: SparkSession, path: str) -> StructType | None:
+    file, files = _schema_file(spark, path)
+    if not files.exists(file):
+        return None
+    stream = files.open(file)
+    try:
+        return StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def record_schema(spark: SparkSession, path: str, schema: StructType) -> StructType:
+    """Merge the schema of a new copy into that of all copies."""
+    file, files = _schema_file(spark, path)
+    known = recorded_schema(spark, path)
+    if known is None and files.exists(file.getParent()):  # copies from before schemas were recorded
+        found = spark.read.option("mergeSchema", "true").parquet(path).schema
+        known = StructType([f for f in found if f.name not in _DAY_FOLDERS])
+    plain = StructType.fromJson(json.loads(schema.json()))
+    for f in plain:
+        f.nullable, f.metadata = True, {}
+    merged = merged_schema(known, plain) if known else plain
+    if merged != known or not files.exists(file):
+        stream = files.create(file, True)
+        stream.write(bytearray(merged.json(), "utf-8"))
+        stream.close()
+    return merged
+
+
+def _schema_file(spark: SparkSession, path: str):
+    file = spark._jvm.org.apache.hadoop.fs.Path(path, _SCHEMA_FILE)
+    return file, file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def since_day(df: DataFrame, since: datetime) -> DataFrame:
     """Rows in day partitions at or after the day of ``since`` (a partition filter)."""
     year, month, day = F.col("year"), F.col("month"), F.col("day")

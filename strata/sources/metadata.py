@@ -117,6 +117,21 @@ def latest_watermarks(log: DataFrame) -> DataFrame:
     )
 
 
+def _newest_first(log: DataFrame) -> DataFrame:
+    order = W.partitionBy("layer", "object_name").orderBy(F.desc("timestamp"), F.desc("key_1"))
+    return log.withColumn("_rank", F.row_number().over(order))
+
+
+def compacted_log(log: DataFrame) -> DataFrame:
+    """One row per (layer, object), the newest, from which all marks and load times are read as before."""
+    return _newest_first(log).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def superseded_log(log: DataFrame) -> DataFrame:
+    """The entries that ``compacted_log`` leaves out."""
+    return _newest_first(log).filter(F.col("_rank") > 1).drop("_rank")
+
+
 def latest_watermark(log: DataFrame, layer: str, object_name: str) -> datetime | None:
     """Value of the newest entry of one object, None before its first load."""
     mine = log.filter((F.col("layer") == layer) & (F.col("object_name") == object_name))
