@@ -37,6 +37,7 @@ from strata.operators.shape import (
     merged_schema,
     move_first,
     require_columns,
+    rescued_counts,
     select_configured,
     wider_types,
     with_types,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -119,23 +119,44 @@ def merged_schema(old: StructType, new: StructType) -> StructType:
     return StructType([*fields, *[f for f in new if f.name not in old.names]])
 
 
-def conform(df: DataFrame, schema: StructType, *, strict: bool = True) -> DataFrame:
+def conform(df: DataFrame, schema: StructType, *, strict: bool = True, rescued: str | None = None) -> DataFrame:
     """Convert a source extract to declared types; digits and time of day may be cut off.
 
-    Text that does not parse is an error, or NULL with ``strict=False``. Booleans are left
-    as booleans: converting one to a number is an error, not a 0 or 1.
+    Values that do not convert are an error, or NULL with ``strict=False``. With ``rescued``, a column of that
+    name maps the columns of a row whose values became NULL to the text that they had, so
+    that nothing is lost and ``rescued_counts`` can report it. Booleans are left as booleans: converting one
+    to a number is an error, not a 0 or 1.
     """
     require_columns(df, schema.fieldNames())
     for f in schema:
         pair = (df.schema[f.name].dataType, f.dataType)
         if any(isinstance(t, BooleanType) for t in pair) and any(isinstance(t, NumericType) for t in pair):
             raise TypeError(f"column {f.name}: a boolean is not a number")
-    return df.select(
-        *[
-            (_quoted(f.name).cast(f.dataType) if strict else _quoted(f.name).try_cast(f.dataType)).alias(f.name)
-            for f in schema
-        ]
-    )
+    strict = strict and rescued is None
+    columns = [
+        (_quoted(f.name).cast(f.dataType) if strict else _quoted(f.name).try_cast(f.dataType)).alias(f.name)
+        for f in schema
+    ]
+    if rescued is None:
+        return df.select(*columns)
+    changed = [f for f in schema if df.schema[f.name].dataType != f.dataType]
+    lost = F.create_map(
+        *[part for f in changed for part in (F.lit(f.name), _unconverted(f))]
+    ) if changed else F.create_map().cast("map<string,string>")
+    return df.select(*columns, F.map_filter(lost, lambda _, text: text.isNotNull()).alias(rescued))
+
+
+def _unconverted(field: StructField) -> Column:
+    source = _quoted(field.name)
+    return F.when(source.isNotNull() & source.try_cast(field.dataType).isNull(), source.cast("string"))
+
+
+def rescued_counts(schema: StructType, rescued: str) -> dict[str, Column]:
+    """Metrics: how many values of each column did not convert."""
+    return {
+        f"rescued {f.name}": F.count_if(F.map_contains_key(rescued, f.name))
+        for f in schema
+    }
 
 
 def move_first(df: DataFrame, column: str) -> DataFrame:

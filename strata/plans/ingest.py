@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.errors import UnmarkedRows
+from strata.operators import conform, rescued_counts
 from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, observed, side_by_side, timed
-from strata.sources.bronze import add_lineage, extract_delta, extract_full, write_bronze
+from strata.sources.bronze import RESCUED, add_lineage, extract_delta, extract_full, write_bronze
 from strata.sources.metadata import ObjectConfig, ingest_list, last_load
 
 # Gives the source table for a schema and table name: spark.table, a JDBC read, files, ...
@@ -19,7 +21,14 @@ Reader = Callable[[str, str], DataFrame]
 
 @timed
 def ingest_object(
-    layers: Layers, config: ObjectConfig, source: DataFrame, now: datetime, *, clock: str = "source", unmarked: str = "take"
+    layers: Layers,
+    config: ObjectConfig,
+    source: DataFrame,
+    now: datetime,
+    *,
+    clock: str = "source",
+    unmarked: str = "take",
+    types: StructType | None = None,
 ) -> LoadResult:
     """Copy one source table, or what changed in it, to the raw layer.
 
@@ -28,6 +37,9 @@ def ingest_object(
     watermark. Rows without a watermark are taken by every load and counted, or with
     ``unmarked="refuse"`` are an error before anything is written. A source without marks, such as
     an empty one, leaves the stored mark as it is.
+
+    With ``types`` the copy is converted to declared types. Values that do not convert are NULL, kept as text
+    in the column ``RESCUED`` of the raw layer, and counted by column.
     """
     if clock not in ("source", "load"):
         raise ValueError(f"unknown clock {clock!r}")
@@ -46,9 +58,16 @@ def ingest_object(
         rows = extract_delta(source, config.columns, mark, low, high)
     else:
         rows = extract_full(source, config.columns)
+    if types is not None:
+        declared = StructType([types[c] for c in rows.columns])
+        rows = conform(rows, declared, rescued=RESCUED)
+        metrics |= rescued_counts(declared, RESCUED)
     rows, seen = observed(add_lineage(rows, config.source_system, now), metrics)
     write_bronze(rows, layers.bronze(config), now)
-    counts = {**seen.get, **({"unmarked": without} if config.incremental else {})}
+    # Of the columns, only those that lost a value are reported.
+    counts = {name: n for name, n in seen.get.items() if n or name == "copied"}
+    if config.incremental:
+        counts["unmarked"] = without
     if high is not None:
         layers.advance("bronze", config.source_object, high, now, marked)
         high = high if marked is None else max(high, marked)
@@ -56,15 +75,26 @@ def ingest_object(
 
 
 def ingest_all(
-    layers: Layers, reader: Reader, now: datetime, *, source_object: str = "ALL", clock: str = "source", unmarked: str = "take"
+    layers: Layers,
+    reader: Reader,
+    now: datetime,
+    *,
+    source_object: str = "ALL",
+    clock: str = "source",
+    unmarked: str = "take",
+    types: Mapping[str, StructType] | None = None,
 ) -> list[LoadResult]:
-    """All active objects of the Bronze config, or one of them. Each is one Spark write."""
+    """All active objects of the Bronze config, or one of them. Each is one Spark write.
+
+    ``types`` names the declared schema of objects whose copies are to be converted.
+    """
     listing = ingest_list(layers.control.read(layers.CONFIG), source_object).orderBy("config_id")
     listed = [row["source_object"] for row in listing.collect()]
     configs = layers.config("Bronze", *(listed or [source_object])).values()
 
     def ingest(config: ObjectConfig) -> LoadResult:
         source = reader(config.source_schema, config.source_table)
-        return ingest_object(layers, config, source, now, clock=clock, unmarked=unmarked)
+        declared = (types or {}).get(config.source_object)
+        return ingest_object(layers, config, source, now, clock=clock, unmarked=unmarked, types=declared)
 
     return side_by_side(ingest, configs)

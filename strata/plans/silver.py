@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.errors import EmptySnapshot, LoadError
+from strata.errors import ConfigError, EmptySnapshot, LoadError
 from strata.operators import (
     classify,
     clean_strings,
@@ -26,7 +26,7 @@ from strata.operators.changes import CHANGED, DELETED, NEW, SAME
 from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, count_by, observed, timed
 from strata.schemas import SOURCES
 from strata.session import scratch_scope, stage
-from strata.sources.bronze import newer_than, read_bronze
+from strata.sources.bronze import RESCUED, newer_than, read_bronze, recorded_schema
 from strata.sources.metadata import ObjectConfig
 
 DELETION_MARK = "deleted_audit_ts"
@@ -38,7 +38,7 @@ def stage_rows(bronze: DataFrame, keys: Sequence[str], columns: Sequence[str], n
     Rows of one copy share their raw load time; ties go to the greater source watermark and
     then to the greater row hash, so that a rerun picks the same row.
     """
-    cleaned = drop_columns(dates_to_timestamp(clean_strings(bronze)), unwanted)
+    cleaned = drop_columns(dates_to_timestamp(clean_strings(bronze)), [*unwanted, RESCUED])
     hashed = with_hash_key(cleaned, keys).withColumn("row_hash", row_hash(cleaned, columns))
     order = ["audit_ts", *([watermark_column] if watermark_column else []), "row_hash"]
     return keep_latest(hashed, keys, order).withColumn("audit_ts", F.lit(now).cast("timestamp"))
@@ -80,7 +80,7 @@ def load_silver(layers: Layers, source_object: str, now: datetime) -> LoadResult
 
 def load_incremental(layers: Layers, config: ObjectConfig, now: datetime) -> LoadResult:
     """Append new and changed versions of the rows ingested since the last load."""
-    name, silver = config.source_object, layers.silver
+    name = config.source_object
     since = layers.watermark("silver", name)
     bronze = newer_than(read_bronze(layers.spark, layers.bronze(config), since), "audit_ts", since)
     newest, rows = bronze.agg(F.max("audit_ts"), F.count(F.lit(1))).first()
@@ -88,6 +88,44 @@ def load_incremental(layers: Layers, config: ObjectConfig, now: datetime) -> Loa
         return LoadResult(name, NO_NEW_DATA, watermark=since)
     if newest is None:
         raise LoadError(f"{name}: raw rows have no audit_ts")
+    counts = _add_versions(layers, config, bronze, now)
+    layers.advance("silver", name, newest, now, since)
+    return LoadResult(name, LOADED, counts, newest)
+
+
+@timed
+def stream_silver(layers: Layers, source_object: str, checkpoint: str, now: datetime, *, files_per_batch: int | None = None) -> LoadResult:
+    """Load an incremental object as a stream of its raw files, until all that are there have been read.
+
+    The checkpoint folder knows which files have been loaded, so neither day folders nor marks are compared.
+    A batch that is repeated after a failure finds its rows stored and adds nothing. All rows of a call carry
+    the load time ``now``. Run the object either this way or by ``load_silver``, not by turns. The columns are
+    those that the raw layer has when the stream starts.
+    """
+    config = layers.config("Silver", source_object)[source_object]
+    if not config.incremental:
+        raise ConfigError(f"{source_object} is loaded by full copies, which a stream can't compare")
+    counts = dict.fromkeys((NEW, CHANGED, SAME), 0)
+
+    def load(batch: DataFrame, _: int) -> None:
+        with scratch_scope(layers.spark):
+            # Streams have a session of their own, which other readers' file listings don't follow.
+            rows = stage(batch, source_object, layers.spark)
+            for kind, number in _add_versions(layers, config, rows, now).items():
+                counts[kind] += number
+
+    path = layers.bronze(config)
+    files = layers.spark.readStream.schema(recorded_schema(layers.spark, path))
+    if files_per_batch:
+        files = files.option("maxFilesPerTrigger", files_per_batch)
+    query = files.parquet(path).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+    return LoadResult(source_object, LOADED if sum(counts.values()) else NO_NEW_DATA, counts)
+
+
+def _add_versions(layers: Layers, config: ObjectConfig, bronze: DataFrame, now: datetime) -> dict[str, int]:
+    """Append the new and changed versions among raw rows; how many there are of each kind."""
+    name, silver = config.source_object, layers.silver
     staged = _staged(bronze, config, now)
     if silver.exists(name):
         # Used twice: to cut the history down to its keys and to be compared with it.
@@ -97,8 +135,7 @@ def load_incremental(layers: Layers, config: ObjectConfig, now: datetime) -> Loa
     else:
         staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
         silver.create(staged, name, indexed=[*config.keys, *_lookup_keys(config)])
-    layers.advance("silver", name, newest, now, since)
-    return LoadResult(name, LOADED, seen.get, newest)
+    return seen.get
 
 
 def load_snapshot(layers: Layers, config: ObjectConfig, now: datetime) -> LoadResult:

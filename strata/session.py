@@ -77,12 +77,13 @@ def _scheme(spark: SparkSession, folder: str) -> str:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, session: SparkSession | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back: lineage ends, later passes prune columns.
 
-    The files outlive lost executors. Inside ``scratch_scope`` they are removed at its end.
+    The files outlive lost executors. Inside ``scratch_scope`` they are removed at its end. ``session`` reads
+    them back, where ``df`` belongs to another one, as the batches of a stream do.
     """
-    spark = df.sparkSession
+    spark = session or df.sparkSession
     path = f"{scratch_folder(spark)}/{label}-{uuid4().hex}"
     df.write.parquet(path)
     for paths in _open_scopes()[-1:]:

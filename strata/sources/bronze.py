@@ -14,6 +14,7 @@ from strata.operators.shape import merged_schema, require_columns
 from strata.sources.metadata import NO_WATERMARK
 
 _DAY_FOLDERS = {"year": "yyyy", "month": "MM", "day": "dd"}
+RESCUED = "rescued_values"  # texts that did not convert; stays in the raw layer
 # Names with an underscore are no data to Spark.
 _SCHEMA_FILE = "_schema.json"
 

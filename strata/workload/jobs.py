@@ -12,6 +12,7 @@ from strata.operators import align_to
 from strata.plans import Layers, ingest_all, run_all
 from strata.schemas import DIMENSIONS, FACT_SALES, SOURCES, Source
 from strata.session import scratch_folder, stage
+from strata.workload.dimensions import CUSTOMER_DIM_SQL, STOCK_DIM_SQL, T0, T1
 from strata.workload.facts import FACT_SKEY_SQL, base_sql, versions_sql
 from strata.workload.inputs import (
     CUT,
@@ -24,6 +25,7 @@ from strata.workload.inputs import (
     lines,
     orders,
     people,
+    people_sql,
     stock_items,
 )
 from strata.workload.registry import query, sql_text, sql_time
@@ -87,29 +89,75 @@ def ingested_increments(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+# Which version of a member a fact refers to. A member of the first copies was loaded before the first facts, one
+# that they use but the copies lack was inferred with them, and others came with the second load. Facts
+# that were not replaced by the second load still refer to the version that was active at the first.
+def _referred_sql(name: str, key: str, changed: str | None) -> str:
+    return f"""{name}_referred AS (
+  SELECT k.{key}, e.{key} IS NULL AND l.{key} IS NULL AS unknown,
+         CASE WHEN e.{key} IS NOT NULL OR u.{key} IS NOT NULL THEN {T0} ELSE {T1} END AS since,
+         {"c." + key + " IS NOT NULL" if changed else "false"} AS changed
+  FROM (SELECT DISTINCT {key} FROM facts) k
+  LEFT JOIN (SELECT {_SOURCE_KEY[key]} AS {key} FROM {name}_early) e ON e.{key} = k.{key}
+  LEFT JOIN (SELECT {_SOURCE_KEY[key]} AS {key} FROM {name}_late) l ON l.{key} = k.{key}
+  LEFT JOIN (SELECT DISTINCT {key} FROM first_members) u ON u.{key} = k.{key}
+  {f"LEFT JOIN {changed} c ON c.{key} = k.{key}" if changed else ""})"""
+
+
+_SOURCE_KEY = {"CustomerID": "CustomerID", "StockItemID": "StockItemID", "SalespersonPersonID": "PersonID"}
+_REFERRED_SQL = f"""first_members AS (
+  SELECT l.StockItemID, o.CustomerID, o.SalespersonPersonID
+  FROM lines_src_first l JOIN orders_src_first o ON l.OrderID = o.OrderID),
+customers_changed AS (SELECT CustomerID FROM customers_arrived WHERE NOT is_new),
+stock_items_changed AS (SELECT StockItemID FROM stock_items_arrived WHERE NOT is_new),
+{_referred_sql("customers", "CustomerID", "customers_changed")},
+{_referred_sql("stock_items", "StockItemID", "stock_items_changed")},
+{_referred_sql("people", "SalespersonPersonID", None)}"""
+
+
+def _version_sql(alias: str, name: str) -> str:
+    new = f"{alias}.changed AND audit_ts = {T1}"
+    since = sql_time(f"CASE WHEN {new} THEN {T1} ELSE {alias}.since END", f'"{name}_from"')
+    return f"""CASE WHEN {new} THEN 2 ELSE 1 END AS "{name}_version",
+           CASE WHEN {alias}.changed AND audit_ts = {T0} THEN 0 ELSE 1 END AS "{name}_active",
+           {since}, CAST({alias}.unknown AS INTEGER) AS "{name}_inferred\""""
+
+
 @query(
     "run_all",
-    f"""WITH {versions_sql(CONFIGURED_LINE_VERSIONS_SQL)}, {base_sql("facts")}, {FACT_SKEY_SQL}
-    SELECT fact_sales_skey, OrderLineID, OrderID, CustomerID, CustomerID AS "Dim_Customer",
-           StockItemID, StockItemID AS "Dim_StockItems", SalespersonPersonID, SalespersonPersonID AS "Dim_People",
+    f"""WITH {versions_sql(CONFIGURED_LINE_VERSIONS_SQL)}, {base_sql("facts")}, {FACT_SKEY_SQL}, {CUSTOMER_DIM_SQL},
+    {STOCK_DIM_SQL}, {people_sql(EARLY)}, {people_sql(LATE)}, {_REFERRED_SQL}
+    SELECT fact_sales_skey, OrderLineID, OrderID, n.CustomerID, n.CustomerID AS "Dim_Customer",
+           n.StockItemID, n.StockItemID AS "Dim_StockItems", n.SalespersonPersonID,
+           n.SalespersonPersonID AS "Dim_People", {_version_sql("c", "Dim_Customer")},
+           {_version_sql("s", "Dim_StockItems")}, CASE WHEN p.unknown THEN 1
+             WHEN n.SalespersonPersonID IS NOT NULL THEN 0 END AS "Dim_People_inferred",
            {sql_text("OrderDate")}, Description, {sql_text("sales_amount_net")}, {sql_text("tax_amount")},
            {sql_text("sales_amount_gross")}, {sql_time("audit_ts")}
-    FROM numbered""",
+    FROM numbered n JOIN customers_referred c ON c.CustomerID = n.CustomerID
+    JOIN stock_items_referred s ON s.StockItemID = n.StockItemID
+    LEFT JOIN people_referred p ON p.SalespersonPersonID = n.SalespersonPersonID""",
 )
 def two_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Facts after two full runs, each surrogate key followed back to its dimension row's business key."""
+    """Facts after two full runs, each surrogate key followed back to the key and version of its dimension row."""
     layers = _layers(spark)
     for period, when in ((EARLY, FIRST_LOAD), (LATE, SECOND_LOAD)):
         run_all(layers, reader(spark, folder, period), when)
     facts = layers.gold.read(FACT_SALES)
+    versions = []
     for dim in DIMENSIONS:
-        keys = layers.gold.read(dim.name).select(dim.skey, F.col(dim.key).alias(dim.name))
+        kept = ("scd_version", "scd_active", "scd_from", "inferred_flag") if dim.history else ("inferred_flag",)
+        named = {c: f"{dim.name}_{c.removeprefix('scd_').removesuffix('_flag')}" for c in kept}
+        keys = layers.gold.read(dim.name).select(
+            dim.skey, F.col(dim.key).alias(dim.name), *[F.col(c).alias(name) for c, name in named.items()]
+        )
         facts = facts.join(keys, dim.skey, "left")
+        versions += named.values()
     result = stage(
         facts.select(
             "fact_sales_skey", "OrderLineID", "OrderID", "CustomerID", "Dim_Customer", "StockItemID", "Dim_StockItems",
-            "SalespersonPersonID", "Dim_People", "OrderDate", "Description", "sales_amount_net", "tax_amount",
-            "sales_amount_gross", "audit_ts",
+            "SalespersonPersonID", "Dim_People", *versions, "OrderDate", "Description", "sales_amount_net",
+            "tax_amount", "sales_amount_gross", "audit_ts",
         ),
         "run_all",
     )

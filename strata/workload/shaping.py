@@ -87,7 +87,9 @@ def aligned(spark: SparkSession, folder: str) -> DataFrame:
     "conform_types",
     f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(trunc(o_totalprice) AS BIGINT) AS o_totalprice,
            {sql_text("CAST(o_orderdate AS DATE)", "o_orderdate")},
-           TRY_CAST(CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS INTEGER) AS priority
+           TRY_CAST(CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS INTEGER) AS priority,
+           CASE WHEN o_orderstatus = 'F' AND TRY_CAST(o_orderpriority AS INTEGER) IS NULL THEN o_orderpriority END AS rescued_priority,
+           CASE WHEN o_orderstatus = 'F' AND TRY_CAST(o_orderpriority AS INTEGER) IS NULL THEN 1 ELSE 0 END AS n_rescued
     FROM orders""",
 )
 def conformed(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,7 +97,10 @@ def conformed(spark: SparkSession, folder: str) -> DataFrame:
     text = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).otherwise(F.col("o_custkey").cast("string"))
     orders = table(spark, folder, "orders").withColumn("priority", text)
     target = StructType.fromDDL("o_orderkey string, o_totalprice long, o_orderdate date, priority int")
-    return conform(orders, target, strict=False)
+    done = conform(orders, target, rescued="_rescued")
+    return done.withColumns(
+        {"rescued_priority": F.element_at("_rescued", "priority"), "n_rescued": F.size("_rescued")}
+    ).drop("_rescued")
 
 
 @query(
