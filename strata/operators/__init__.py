@@ -1,7 +1,15 @@
 """Table-maintenance operators: functions from DataFrames to DataFrames."""
 
 from strata.operators.calendar import calendar, calendar_between
-from strata.operators.changes import changed_rows, classify, deleted_keys, new_keys, restrict_to, restrict_to_stored
+from strata.operators.changes import (
+    changed_rows,
+    classify,
+    deleted_keys,
+    near_stored,
+    new_keys,
+    restrict_to,
+    restrict_to_stored,
+)
 from strata.operators.facts import changed_facts, fact_base, replace_by_key, staged_facts
 from strata.operators.keys import add_surrogate_key, max_skey, row_hash, with_hash_key
 from strata.operators.latest import (

@@ -63,22 +63,35 @@ def restrict_to(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 
 
 def restrict_to_stored(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """``restrict_to`` for stored keys, where NULL is a key like any other.
+    """``restrict_to`` for stored keys, where NULL is a key like any other."""
+    found, exact = _near_stored(df, keys, on)
+    return found if exact else restrict_to(found.filter(F.col(on).isNotNull()), keys, on).unionByName(
+        found.filter(F.col(on).isNull())
+    )
+
+
+def near_stored(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows of ``df`` that may have one of the keys, by filters alone: for joins that drop the others anyway."""
+    return _near_stored(df, keys, on)[0]
+
+
+def _near_stored(df: DataFrame, keys: DataFrame, on: str) -> tuple[DataFrame, bool]:
+    """Rows filtered by what can be told of the keys, and whether these are just the rows that have one.
 
     Few keys reach the scan as a list: the parquet reader skips row groups by their statistics and Bloom
     filters for each of them, so keys that lie scattered over a long history cost a row group each.
     Of more keys, the smallest and largest reach it: keys are mostly given out in order and
-    loads bring recent ones. The semi join then decides; neither loses a row.
+    loads bring recent ones. Neither loses a row.
     """
     column = F.col(on)
     low, high, blanks, kinds = keys.agg(
         F.min(on), F.max(on), F.count_if(column.isNull()), F.approx_count_distinct(on)
     ).first()
-    found = empty_like(df)
-    if low is not None:
-        found = restrict_to(df.filter(column.between(F.lit(low), F.lit(high))), keys, on)
-        if kinds <= LISTED_KEYS:
-            listed = keys.select(on).filter(column.isNotNull()).distinct().limit(2 * LISTED_KEYS + 1).collect()
-            if len(listed) <= 2 * LISTED_KEYS:  # the estimate is a few percent off
-                found = df.filter(column.isin(*[row[0] for row in listed]))
-    return found.unionByName(df.filter(column.isNull())) if blanks else found
+    if low is None:
+        return (df.filter(column.isNull()) if blanks else empty_like(df)), True
+    test, exact = column.between(F.lit(low), F.lit(high)), False
+    if kinds <= LISTED_KEYS:
+        listed = keys.select(on).filter(column.isNotNull()).distinct().limit(2 * LISTED_KEYS + 1).collect()
+        if len(listed) <= 2 * LISTED_KEYS:  # the estimate is a few percent off
+            test, exact = column.isin(*[row[0] for row in listed]), True
+    return df.filter(test | column.isNull() if blanks else test), exact

@@ -17,6 +17,7 @@ from strata.operators import (
     drop_columns,
     keep_latest,
     latest_snapshot_at,
+    near_stored,
     restrict_to_stored,
     row_hash,
     soft_delete,
@@ -30,6 +31,8 @@ from strata.sources.bronze import RESCUED, newer_than, read_bronze, recorded_sch
 from strata.sources.metadata import ObjectConfig
 
 DELETION_MARK = "deleted_audit_ts"
+CURRENT = "_current"  # ending of the side table of versions in force
+COMPACT_SHARE = 4  # compacted when more than one row in so many is superseded
 
 
 def stage_rows(bronze: DataFrame, keys: Sequence[str], columns: Sequence[str], now: datetime, *, unwanted: Sequence[str] = (), watermark_column: str | None = None) -> DataFrame:
@@ -124,20 +127,58 @@ def stream_silver(layers: Layers, source_object: str, checkpoint: str, now: date
 
 
 def _add_versions(layers: Layers, config: ObjectConfig, bronze: DataFrame, now: datetime) -> dict[str, int]:
-    """Append the new and changed versions among raw rows; how many there are of each kind."""
-    name, silver = config.source_object, layers.silver
+    """Append the new and changed versions among raw rows; how many there are of each kind.
+
+    Rows are compared with a side table of the versions in force, so that the history is neither read nor
+    ranked. While the register of the history is open the two may differ; the side table is then built anew.
+    """
+    name, silver, side = config.source_object, layers.silver, config.source_object + CURRENT
     staged = _staged(bronze, config, now)
-    if silver.exists(name):
-        # Used twice: to cut the history down to its keys and to be compared with it.
-        versions = incremental_versions(stage(staged, name), silver.read(name), config.keys)
-        versions, seen = observed(versions, count_by("change_type", NEW, CHANGED, SAME))
-        silver.append(versions.filter(F.col("change_type") != SAME).drop("change_type"), name, evolve=True)
-    else:
-        staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
-        silver.create(staged, name, indexed=[*config.keys, *_lookup_keys(config)])
+    narrow = [config.keys[0], "hash_key", "row_hash", "audit_ts"]
+    with silver.registered(name) as register:
+        if not silver.exists(name):
+            staged, seen = observed(staged, {NEW: F.count(F.lit(1))})
+            silver.create(staged, name, indexed=[*config.keys, *_lookup_keys(config)])
+            register.rows = seen.get[NEW]
+            _store_current(layers, side, silver.read(name).select(*narrow), register.rows, config)
+            return seen.get
+        if register.counted or not silver.exists(side):
+            _store_current(layers, side, current_versions(silver.read(name).select(*narrow), active=None), register.rows, config)
+        # Used twice: to cut the side table down to its keys and to be compared with it.
+        staged = stage(staged, name)
+        known = current_versions(near_stored(silver.read(side), staged, config.keys[0]), active=None)
+        versions, seen = observed(classify(staged, known, detect_deletes=False), count_by("change_type", NEW, CHANGED, SAME))
+        changes = stage(versions.filter(F.col("change_type") != SAME).drop("change_type"), name)
+        added = seen.get[NEW] + seen.get[CHANGED]
+        if added:
+            silver.append(changes, name, evolve=True)
+            silver.append(changes.select(*narrow), side, evolve=True)
+            register.rows += added
+            _compact_current(layers, side, seen.get[CHANGED], register.rows, config)
     return seen.get
 
 
+def _store_current(layers: Layers, side: str, rows: DataFrame, count: int, config: ObjectConfig) -> None:
+    """(Re)build the side table: one narrow row per key, in buckets of the key that the planner knows."""
+    if layers.silver.exists(side):
+        layers.silver.replace(rows, side)
+    else:
+        layers.silver.create(rows, side, buckets=layers.buckets(count), indexed=config.keys[:1])
+
+
+def _compact_current(layers: Layers, side: str, superseded: int, rows: int, config: ObjectConfig) -> None:
+    """Drop superseded rows from the side table once they may be a share of it; its register counts them as keys."""
+    silver = layers.silver
+    with silver.registered(side) as register:
+        # ``high`` counts the superseded rows since the last compaction.
+        register.high += superseded
+        register.rows = rows
+        if register.high * COMPACT_SHARE > rows:
+            silver.replace(current_versions(silver.read(side), active=None), side)
+            register.high = 0
+        layers.settle(silver, side, rows)
+
+
 def load_snapshot(layers: Layers, config: ObjectConfig, now: datetime) -> LoadResult:
     """Compare the newest full copy with the table: append new and changed rows, close deleted keys."""
     name, silver = config.source_object, layers.silver

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import groupby
 from uuid import uuid4
 
@@ -53,10 +53,11 @@ class Layout:
 
 @dataclass
 class Register:
-    """Largest surrogate key that was given out and number of rows of a table."""
+    """Largest surrogate key that was given out and number of rows of a table, and whether they had to be counted anew."""
 
     high: int = 0
     rows: int = 0
+    counted: bool = field(default=False, compare=False)
 
 
 class Tables:
@@ -190,7 +191,7 @@ class Tables:
 
     def _counted(self, table: str, skey: str | None) -> Register:
         high = F.coalesce(F.max(skey), F.lit(0)) if skey else F.lit(0)
-        return Register(*self.read(table).agg(high.cast("long"), F.count(F.lit(1))).first())
+        return Register(*self.read(table).agg(high.cast("long"), F.count(F.lit(1))).first(), counted=True)
 
     def _set(self, table: str, properties: dict[str, str]) -> None:
         listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
@@ -216,7 +217,7 @@ class Tables:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             self.spark.sql(f"ALTER TABLE {stored} ADD COLUMNS ({columns})")
             self._point(table, self._side(table), self.layout(table))
-        if evolve and (types := wider_types(self.read(table).schema, df.schema)):
+        if evolve and (types := wider_types(self.spark.table(stored).schema, df.schema)):
             # Stored files can't change their types; the copy leaves the side that ``df`` may be reading.
             self.replace(with_types(self.read(table), types), table)
         return self._stored(table)

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from strata.errors import IncompatibleTypes
-from strata.operators import replace_by_key, restrict_to_stored
+from strata.operators import classify, current_versions, near_stored, replace_by_key, restrict_to_stored
 from strata.operators.facts import FACT_SKEY
 from strata.operators.shape import merged_schema, widest_type
-from strata.plans import Layers, gold, load_fact, run_all
+from strata.plans import Layers, gold, load_fact, load_silver, run_all
 from strata.plans import layers as layers_module
 from strata.plans.ingest import ingest_all
 from strata.plans.pipeline import run_silver
@@ -305,3 +305,65 @@ def test_a_grown_table_is_dealt_anew_once(spark, tmp_path, monkeypatch):
     assert len({re.search(r"key_bucket=(\d+)", name)[1] for name in gone}) == 1 and len(dealt) == 3
     assert layers.gold._register(DIM_CUSTOMER.name) == Register(111, 111)
     layers.drop()
+
+
+def test_an_incremental_load_reads_no_history(spark, tmp_path, monkeypatch, rows_of):
+    layers, shop = lake_of(spark, tmp_path)
+    name, side = "Sales_OrderLines", "Sales_OrderLines_current"
+    read = []
+    plain = Tables.read
+    monkeypatch.setattr(Tables, "read", lambda self, table: (read.append(table), plain(self, table))[1])
+
+    def load(day, lines):
+        for key, qty in lines.items():
+            line(shop, key, 1, 1, DAYS[day] - timedelta(days=1), qty=qty)
+        ingest_all(layers, shop.reader, DAYS[day], source_object=name)
+        read.clear()
+        return load_silver(layers, name, DAYS[day]).counts
+
+    assert load(0, {key: 1 for key in range(1, 21)}) == {"new": 20}
+    assert load(1, {1: 2, 2: 1, 21: 1}) == {"new": 1, "changed": 2, "same": 0}  # edited is changed
+    assert name not in read and side in read
+    assert plain(layers.silver, side).count() == 23 and layers.silver._register(side).high == 2
+    # Many superseded rows: compacted to one row per key.
+    assert load(2, {key: 7 for key in range(5, 12)})["changed"] == 7
+    assert plain(layers.silver, side).count() == 21 and layers.silver._register(side) == Register(0, 30)
+    newest = current_versions(plain(layers.silver, name), active=None)
+    assert rows_of(newest, "hash_key", "row_hash") == rows_of(plain(layers.silver, side), "hash_key", "row_hash")
+
+    # A load that ends between the two tables leaves the register open; the next one builds the side table anew.
+    append = Tables.append
+
+    def lost(self, df, table, **options):
+        if table == side:
+            raise RuntimeError("lost")
+        append(self, df, table, **options)
+
+    monkeypatch.setattr(Tables, "append", lost)
+    with pytest.raises(RuntimeError):
+        load(3, {1: 9, 30: 1})
+    monkeypatch.setattr(Tables, "append", append)
+    assert load_silver(layers, name, DAYS[3]).counts == {"new": 0, "changed": 0, "same": 2}
+    assert plain(layers.silver, name).filter("OrderLineID IN (1, 30)").count() == 4
+    assert plain(layers.silver, side).count() == 22
+    layers.drop()
+
+
+def test_large_loads_do_not_shuffle_the_versions_in_force(tables):
+    spark = tables.spark
+    rows = spark.range(3_000).select(
+        F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("hash_key"), F.lit("a").alias("row_hash"),
+        F.lit(DAYS[0]).cast("timestamp").alias("audit_ts"),
+    )
+    tables.create(rows, "t", buckets=("hash_key", 4), indexed=["k"])
+    staged = stage(rows.withColumn("row_hash", F.lit("b")).filter("k >= 1000"), "staged")
+    known = current_versions(near_stored(tables.read("t"), staged, "k"), active=None)
+    changes = classify(staged, known, detect_deletes=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1 and "GreaterThanOrEqual(k,1000)" in plan
+    assert changes.filter("change_type = 'changed'").count() == 2_000
