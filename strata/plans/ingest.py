@@ -12,7 +12,16 @@ from pyspark.sql.types import StructType
 from strata.errors import UnmarkedRows
 from strata.operators import conform, rescued_counts
 from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, observed, side_by_side, timed
-from strata.sources.bronze import RESCUED, add_lineage, extract_delta, extract_full, write_bronze
+from strata.sources.bronze import (
+    RESCUED,
+    add_lineage,
+    extract_delta,
+    extract_full,
+    not_copied,
+    read_bronze,
+    recorded_schema,
+    write_bronze,
+)
 from strata.sources.metadata import ObjectConfig, ingest_list, last_load
 
 # Gives the source table for a schema and table name: spark.table, a JDBC read, files, ...
@@ -34,7 +43,7 @@ def ingest_object(
 
     A delta starts at the stored source watermark; the first one takes everything. ``clock="load"``
     starts at the time of the last load instead, which misses rows edited before it but after the
-    watermark. Rows without a watermark are taken by every load and counted, or with
+    watermark. Rows without a watermark are taken once, as far as the raw layer can tell, and counted, or with
     ``unmarked="refuse"`` are an error before anything is written. A source without marks, such as
     an empty one, leaves the stored mark as it is.
 
@@ -56,6 +65,13 @@ def ingest_object(
             raise UnmarkedRows(f"{config.source_object}: {without} rows have no {mark}")
         # The configured columns need not hold the mark, so rows without one are counted above.
         rows = extract_delta(source, config.columns, mark, low, high)
+        path = layers.bronze(config)
+        held = recorded_schema(layers.spark, path) if without and mark in config.columns else None
+        if held and set(config.columns) <= set(held.names):
+            unknown = extract_full(source.filter(F.col(mark).isNull()), config.columns)
+            rows = extract_delta(source, config.columns, mark, low, high, unmarked=False).unionByName(
+                not_copied(unknown, read_bronze(layers.spark, path), mark)
+            )
     else:
         rows = extract_full(source, config.columns)
     if types is not None:

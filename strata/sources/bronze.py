@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.functions import hash_expr
 from strata.operators.shape import merged_schema, require_columns
 from strata.sources.metadata import NO_WATERMARK
 
@@ -42,6 +43,16 @@ def extract_delta(
     return extract_full(source.filter(wanted), columns)
 
 
+def not_copied(rows: DataFrame, raw: DataFrame, watermark_column: str) -> DataFrame:
+    """Rows without a watermark that the raw layer does not hold yet, compared by all their columns.
+
+    Only raw rows without a watermark are read. Rows that are equal in every column count as one.
+    """
+    known = raw.filter(F.col(watermark_column).isNull()).select(hash_expr(rows.columns, safe=True).alias("_copy"))
+    hashed = rows.withColumn("_copy", hash_expr(rows.columns, safe=True))
+    return hashed.join(known, "_copy", "left_anti").select(*rows.columns)
+
+
 def source_high_water(source: DataFrame, watermark_column: str, default: datetime = NO_WATERMARK) -> DataFrame:
     """One row: the greatest watermark, or the default for an empty source."""
     mark = F.max(watermark_column).cast("timestamp")

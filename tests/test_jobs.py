@@ -78,8 +78,14 @@ def test_rows_without_a_mark_arrive(lake, rows_of):
         ingest_all(layers, shop.reader, DAYS[0], source_object="Sales_OrderLines", unmarked="refuse")
     results = {r.table: r for r in run_all(layers, shop.reader, DAYS[0])}
     assert results[FACT_SALES].counts["staged"] == 3
-    run_all(layers, shop.reader, DAYS[1])
-    assert rows_of(layers.silver.read("Sales_OrderLines"), "OrderLineID") == [(1,), (2,), (3,)]
+    shop.put("OrderLines", 2, OrderID=1, StockItemID=1, Quantity=99)  # changed, still without a mark
+    again = {r.table: r for r in ingest_all(layers, shop.reader, DAYS[1])}
+    assert again["Sales_OrderLines"].counts == {"copied": 1, "unmarked": 1}
+    results = {r.table: r for r in run_all(layers, shop.reader, DAYS[2])}
+    assert results["Sales_OrderLines"].counts["changed"] == 1
+    raw = read_bronze(layers.spark, layers.bronze(layers.config("Bronze", "Sales_OrderLines")["Sales_OrderLines"]))
+    assert raw.filter("LastEditedWhen IS NULL").count() == 2  # no row is copied twice
+    assert rows_of(layers.silver.read("Sales_OrderLines"), "OrderLineID") == [(1,), (2,), (2,), (3,)]
 
 
 def test_clock_of_the_load_misses_late_edits(lake):
