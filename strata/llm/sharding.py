@@ -2,7 +2,8 @@
 
 Documents are spread over logical partitions by a hash. The matrix that says how many rows each
 partition sends to each shard is drawn without replacement, so that its column sums are the shard
-sizes: the numbers of all rows are permuted and dealt round to the shards. Rows are permuted inside
+sizes: the numbers of all rows are permuted and dealt round to the shards, each partition's numbers where the
+others of that partition are, and counted there. Rows are permuted inside
 their partition, the first of them go to the first shard and so on as the matrix says, and inside
 the shard they are permuted again. No rank is computed over a whole shard or the whole table:
 offsets come from counts of about ``sqrt(rows)`` partitions.
@@ -17,14 +18,20 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import permute, text_of
 
+#: Row numbers that one task draws.
+TASK_NUMBERS = 250_000
+
 
 def communication_matrix(parts: DataFrame, shards: int, rows: int, seed: int) -> DataFrame:
     """(_part, _lo, _to): in each partition, from which local rank on rows go to which shard.
 
-    ``parts`` has _part and _n, the rows of each logical partition.
+    ``parts`` has _part and _n, the rows of each logical partition. Only these, one row per partition, meet in
+    one task; the numbers are drawn in as many tasks as their count asks for.
     """
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     numbered = parts.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    tasks = max(parts.sparkSession.sparkContext.defaultParallelism, ceil(rows / TASK_NUMBERS))
+    numbered = numbered.repartition(tasks, "_part")
     numbers = numbered.select("_part", F.explode(F.sequence("_first", F.col("_first") + F.col("_n") - 1)).alias("_g"))
     dealt = numbers.withColumn("_to", F.pmod(permute(F.col("_g"), F.lit(rows), seed), F.lit(shards)).cast("int"))
     cells = dealt.groupBy("_part", "_to").agg(F.count("*").alias("_c"))
