@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import columns_of, text_of, whole_row
+from strata.llm.common import BROADCAST_ROWS, columns_of, text_of, whole_row
 from strata.session import scratch_folder, stage
 
 #: The kinds in the order of their names in results (patterns of the contract are fixed values).
@@ -53,14 +53,14 @@ RULES = {
     "host_token@1": ("host_token", all_of(HOST_TOKEN)),
 }
 BASE_KINDS = ("assign", "access", "hex")
-LEDGER = "blob string, rules array<string>, found array<struct<kind: string, start: long, end: long>>"
+LEDGER = "blob string, rules array<string>, found array<struct<rule: string, kind: string, start: long, end: long>>"
 
 
 def scan_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns blob, text, missing (rule versions): one row of the ledger per blob."""
     shape = pa.schema([
         ("blob", pa.string()), ("rules", pa.list_(pa.string())),
-        ("found", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))),
+        ("found", pa.list_(pa.struct([("rule", pa.string()), ("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))),
     ])
     for batch in batches:
         blobs, texts, missing = (batch.column(c) for c in ("blob", "text", "missing"))
@@ -68,7 +68,7 @@ def scan_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, rules in zip(texts, missing, strict=True):
             text = text.as_py()
             found.append([
-                {"kind": RULES[rule][0], "start": s, "end": e} for rule in rules.as_py() for s, e in RULES[rule][1](text)
+                {"rule": rule, "kind": RULES[rule][0], "start": s, "end": e} for rule in rules.as_py() for s, e in RULES[rule][1](text)
             ])
         yield pa.RecordBatch.from_arrays([blobs.cast(pa.string()), missing.cast(pa.list_(pa.string())), pa.array(found, shape.field(2).type)], schema=shape)
 
@@ -85,14 +85,23 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[str, ...] = tuple(RULES)) ->
     """Scan what the ledger lacks, add it there, and return the entries of this scan.
 
     ``docs``: text, one row per version; null texts are empty ones. Copies are one blob, so any
-    number of repeated rows is scanned once, whole. An empty table adds nothing.
+    number of repeated rows is scanned once, whole. An empty table adds nothing. Only hashes are compared with the
+    ledger; while few blobs are unseen, no other text leaves its task.
     """
     spark = docs.sparkSession
-    blobs = docs.select(F.sha2(text_of(), 256).alias("blob"), text_of().alias("text")).dropDuplicates(["blob"])
+    blob = F.sha2(text_of(), 256).alias("blob")
     seen = read_ledger(spark, ledger).select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("done"))
     wanted = F.array(*[F.lit(r) for r in rules])
     missing = F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>")))
-    unseen = blobs.join(seen, "blob", "left").select("blob", "text", missing.alias("missing")).filter(F.size("missing") > 0)
+    listed = docs.select(blob).distinct().join(seen, "blob", "left").select("blob", missing.alias("missing"))
+    listed = stage(listed.filter(F.size("missing") > 0), "ledger-unseen")
+    texts = docs.select(blob, text_of().alias("text"))
+    if listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        unseen = texts.join(F.broadcast(listed), "blob").dropDuplicates(["blob"])
+    else:
+        # Copies are dropped before the shuffle, so a text that very many paths hold is sent once a task.
+        unseen = texts.dropDuplicates(["blob"]).join(listed, "blob")
+    unseen = unseen.select("blob", "text", "missing")
     entries = stage(unseen.mapInArrow(scan_blobs, LEDGER), "ledger-entries")
     entries.write.mode("append").parquet(ledger)
     return entries
@@ -101,11 +110,13 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[str, ...] = tuple(RULES)) ->
 def findings(docs: DataFrame, ledger: str, rules: tuple[str, ...] = tuple(RULES)) -> DataFrame:
     """Every row of ``docs`` with _spans, all findings of its blob under ``rules``: start, place of the kind, kind, end.
 
-    All columns of ``docs`` stay, but one named ``_spans`` is replaced.
+    Findings of other versions of a rule do not count. A null text is the empty blob, repeated rows have equal
+    spans, an empty table gives none, and blobs that were not scanned have no spans. All columns of
+    ``docs`` stay, but one named ``_spans`` is replaced.
     """
     kinds = list(dict.fromkeys(RULES[r][0] for r in rules))
     entries = read_ledger(docs.sparkSession, ledger).filter(F.size("found") > 0)
-    spans = entries.select("blob", F.explode("found").alias("f")).filter(F.col("f.kind").isin(kinds)).select(
+    spans = entries.select("blob", F.explode("found").alias("f")).filter(F.col("f.rule").isin(list(rules))).select(
         "blob", F.struct("f.start", F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("f.kind")).alias("place"), "f.kind", "f.end").alias("s")
     )
     # Written before the join, so that Spark can split a blob that very many paths hold.
