@@ -30,8 +30,11 @@ def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SIT
     """Hashes (_line) of lines that occur on ``min_sites`` different sites or more.
 
     The band in which lines are counted exactly is four standard errors of the sketch wide on either side,
-    and one site at least. Rows without a site don't add to the spread.
+    and one site at least. Rows without a site don't add to the spread. A line on one site is not spread, so
+    ``min_sites`` is 2 or more.
     """
+    if min_sites < 2:
+        raise ValueError("lines are compared across sites: min_sites must be 2 or more")
     lines = lines_of(docs.select(F.col(site).cast("string").alias("_site"), "text"))
     sketches = lines.filter("_site is not null").groupBy("_line").agg(F.hll_sketch_agg("_site", bits).alias("_sketch"))
     estimates = stage(sketches.select("_line", F.hll_sketch_estimate("_sketch").alias("_sites")).filter(F.col("_sites") > 1), "line-spread")

@@ -515,6 +515,53 @@ def test_communication_matrix_has_exact_sums(spark):
         assert starts[0] == 0 and starts == sorted(starts) and starts[-1] < 10 + part
 
 
+def test_numbers_are_drawn_in_many_tasks(spark):
+    parts = spark.range(40).selectExpr("id AS _part", "25 AS _n")
+    cells = sharding.communication_matrix(parts, 4, 1000, 1)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    drawn = plan[plan.index("Generate explode") :]
+    # Below the numbers there is an exchange by partition, and only below that the one task of all partitions.
+    assert drawn.index("REPARTITION_BY_NUM") < drawn.index("Exchange SinglePartition")
+    assert "Exchange SinglePartition" not in plan[: plan.index("Generate explode")]
+
+
+def test_counts_follow_the_hypergeometric_law(spark):
+    """Two partitions of three numbers and two shards: how many of the first three go to the first shard."""
+    trials = spark.range(6000).select("id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("g"))
+    to = F.pmod(permute(F.col("g"), F.lit(6), 77, F.col("id")), F.lit(2))
+    seen = trials.groupBy("id").agg(F.count_if(to == 0).alias("k")).groupBy("k").count().collect()
+    law = {0: 1 / 20, 1: 9 / 20, 2: 9 / 20, 3: 1 / 20}
+    assert {r.k for r in seen} == set(law)
+    assert all(abs(r["count"] / 6000 - law[r.k]) < 0.03 for r in seen)
+
+
+def test_findings_of_other_rule_versions_do_not_count(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "password = hunter22"), (2, None)], "doc_id long, text string")
+    ledger, text = str(tmp_path / "versions"), "password = hunter22"
+    blob = hashlib.sha256(text.encode()).hexdigest()
+    old = [(blob, ["assign@0"], [("assign@0", "assign", 3, 9)])]
+    spark.createDataFrame(old, secret_ledger.LEDGER).write.parquet(ledger)
+    assert {r.blob for r in secret_ledger.scan(docs, ledger, ("assign@1",)).collect()} == {blob, hashlib.sha256(b"").hexdigest()}
+
+    def spans(*rules):
+        return {r.doc_id: [(s.start, s.end) for s in r._spans] for r in secret_ledger.findings(docs, ledger, rules or ("assign@1",)).collect()}
+
+    monkey = dict(secret_ledger.RULES)
+    try:
+        secret_ledger.RULES["assign@0"] = secret_ledger.RULES["assign@1"]
+        assert spans("assign@0") == {1: [(3, 9)], 2: []}
+    finally:
+        secret_ledger.RULES.clear()
+        secret_ledger.RULES.update(monkey)
+    assert spans() == {1: [(0, 19)], 2: []}
+    assert secret_ledger.scan(docs, ledger, ("assign@1",)).count() == 0
+
+
+def test_lines_need_two_sites(docs):
+    with pytest.raises(ValueError):
+        line_spread.spread_lines(docs, min_sites=1)
+
+
 def test_checksums(spark):
     assert spark.sql("select crc32(cast('abc' as binary)) c").first().c == zlib.crc32(b"abc")
     assert hashlib.sha256(b"").hexdigest() == spark.sql("select sha2('', 256) s").first().s
