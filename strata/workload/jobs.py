@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from strata.operators import align_to
-from strata.plans import Layers, ingest_all, run_all
-from strata.schemas import DIMENSIONS, FACT_SALES, SOURCES, Source
+from strata.plans import Layers, ingest_all, load_silver, run_all, stream_silver
+from strata.schemas import DIMENSIONS, FACT_SALES, ORDER_LINES, SOURCES, Source
 from strata.session import scratch_folder, stage
 from strata.workload.dimensions import CUSTOMER_DIM_SQL, STOCK_DIM_SQL, T0, T1
 from strata.workload.facts import FACT_SKEY_SQL, base_sql, versions_sql
@@ -89,6 +89,53 @@ def ingested_increments(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+_LINES = ORDER_LINES.object
+
+
+@query(
+    "silver_stream",
+    f"""WITH {CONFIGURED_LINE_VERSIONS_SQL}
+    SELECT OrderLineID, OrderID, StockItemID, Description, Quantity, {sql_text("UnitPrice")}, hash_key, row_hash,
+           {sql_time("audit_ts")}
+    FROM lines_src_versions""",
+)
+def streamed_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned order lines after two copies, each loaded as a stream of the raw files that it added."""
+    layers = _layers(spark)
+    for period, when in ((EARLY, FIRST_LOAD), (LATE, SECOND_LOAD)):
+        ingest_all(layers, reader(spark, folder, period), when, source_object=_LINES)
+        stream_silver(layers, _LINES, f"{layers.root}/checkpoint", when)
+    columns = (
+        "OrderLineID", "OrderID", "StockItemID", "Description", "Quantity", "UnitPrice", "hash_key", "row_hash", "audit_ts",
+    )
+    result = stage(layers.silver.read(_LINES).select(*columns), "streamed")
+    layers.drop()
+    return result
+
+
+@query(
+    "load_metrics",
+    f"""WITH {CONFIGURED_LINE_VERSIONS_SQL}, compared AS (
+      SELECT CASE WHEN f.OrderLineID IS NULL THEN 'new' WHEN f.row_hash <> s.row_hash THEN 'changed' ELSE 'same' END AS kind
+      FROM lines_src_second s LEFT JOIN lines_src_first f USING (OrderLineID))
+    SELECT 1 AS load, 'ingest' AS step, 'copied' AS metric, count(*) AS n FROM lines_src WHERE LastEditedWhen < DATE '{CUT}'
+    UNION ALL SELECT 2, 'ingest', 'copied', count(*) FROM lines_src WHERE LastEditedWhen >= DATE '{CUT}'
+    UNION ALL SELECT load, 'ingest', 'unmarked', 0 FROM range(1, 3) t(load)
+    UNION ALL SELECT 1, 'clean', 'new', count(*) FROM lines_src_first
+    UNION ALL SELECT 2, 'clean', kind, (SELECT count(*) FROM compared c WHERE c.kind = k.kind)
+      FROM (VALUES ('new'), ('changed'), ('same')) k(kind)""",
+)
+def metrics_of_two_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """What two loads of the order lines report, step by step."""
+    layers, rows = _layers(spark), []
+    for load, (period, when) in enumerate(((EARLY, FIRST_LOAD), (LATE, SECOND_LOAD)), 1):
+        (copied,) = ingest_all(layers, reader(spark, folder, period), when, source_object=_LINES)
+        for step, result in (("ingest", copied), ("clean", load_silver(layers, _LINES, when))):
+            rows += [(load, step, metric, n) for metric, n in result.counts.items()]
+    layers.drop()
+    return spark.createDataFrame(rows, "load int, step string, metric string, n long")
+
+
 # Which version of a member a fact refers to. A member of the first copies was loaded before the first facts, one
 # that they use but the copies lack was inferred with them, and others came with the second load. Facts
 # that were not replaced by the second load still refer to the version that was active at the first.
