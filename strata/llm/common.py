@@ -51,6 +51,14 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def forget(staged: DataFrame) -> None:
+    """Remove the files of a staged frame that nothing reads any more."""
+    spark = staged.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def permute(index: Column, size: Column, seed: int, *tweak: Column, rounds: int = 24) -> Column:
     """A keyed permutation of ``0 .. size - 1`` by swap-or-not rounds.
 

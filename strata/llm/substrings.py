@@ -5,20 +5,21 @@ A window is a run of ``width`` words; a word goes if a window that covers it occ
 Streaming all documents through the index of every shard would cost the square of the corpus.
 So passages are routed by content: each window belongs to the rarest-looking (smallest hash) of its
 short word grams, its anchor. Equal windows have equal anchors; neighbouring windows mostly share one
-and travel together as a segment. An anchor that occurs once holds no repeat, and a segment that
-occurs twice is a repeat throughout: both are settled by counting. What is left, different
-segments with a common anchor, goes to the shard of the anchor. Each shard builds an FM-index of
-its segments and streams them through it: backward search gives for every end position the length of
-the longest match that occurs elsewhere, up to ``width``; ends that reach it are reported.
-
-Shards have a fixed size and their number grows with the input. Anchors with very many different
-segments fit in no shard; their windows travel one by one, and those that come twice are
-repeats, which is again settled by counting.
+and travel together as a segment. An anchor that occurs once holds no repeat. Of the others, one
+representative of each different segment goes to the shard of the anchor, weighted by how often the
+segment occurs. Each shard builds an FM-index of its passages and streams them through it: backward
+search gives for every end position the length of the longest match that occurs twice or more, up to
+``width``; windows that reach it are reported for all occurrences of their segment.
+
+Shards have a fixed size and their number grows with the input. An anchor whose passages overflow a
+shard is split by a further gram: its windows are routed by their two smallest grams, then by three,
+and so on, until every part fits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -26,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import MIX, mixed, rolling, text_of, word_hashes
+from strata.llm.common import MIX, bounded_broadcast, forget, mixed, rolling, text_of, word_hashes
 from strata.session import stage
 
 GRAM = 8
 SHARD_WORDS = 1 << 18
-HOT_SEGMENTS = 1_000
+#: A key with more than this share of all rows is joined by broadcasting it, so there are at most 1,000 such keys.
+HEAVY = 1_000
 _BACK = np.uint64(pow(int(MIX), -1, 1 << 64))
 
 
@@ -56,26 +58,25 @@ def segments(hashes: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     return grams[at[start]].view(np.int64), spans_hash(hashes, start, end + width - 1).view(np.int64), start, end - start
 
 
-SEGMENTS = "doc_id long, digest long, anchor long, seg long, start int, n int"
+SEGMENTS = "key long, anchor long, seg long, start int, n int"
 
 
 def find_segments(width: int):
-    """Maps batches of doc_id, digest, text (bytes) to SEGMENTS."""
+    """Maps batches of key, text (bytes) to SEGMENTS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, digests, texts = (batch.column(c) for c in ("doc_id", "digest", "text"))
             found, row = [], []
-            for i, text in enumerate(texts):
+            for i, text in enumerate(batch.column("text")):
                 words = text.as_py().split()
                 if len(words) >= width:
                     found.append(segments(word_hashes(words, len(words)), width))
                     row.append(np.full(len(found[-1][0]), i))
             if found:
                 anchor, seg, start, n = (np.concatenate(x) for x in zip(*found, strict=True))
-                rows = pa.array(np.concatenate(row))
-                columns = [ids.take(rows), digests.take(rows), pa.array(anchor), pa.array(seg), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "anchor", "seg", "start", "n"])
+                keys = batch.column("key").take(pa.array(np.concatenate(row)))
+                columns = [keys, pa.array(anchor), pa.array(seg), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "anchor", "seg", "start", "n"])
 
     return run
 
@@ -83,12 +84,12 @@ def find_segments(width: int):
 class FMIndex:
     """An FM-index over small integers, 0 being a separator, for patterns of up to ``depth`` symbols.
 
-    Suffixes are sorted by their first ``depth`` symbols, which is all that such patterns need. The
+    ``weights`` says how often each position occurs in the corpus. Suffixes are sorted by their first ``depth`` symbols, which is all that such patterns need. The
     last column of the sorted rotations is kept in a wavelet matrix: one packed bit plane per bit of
     the alphabet with counts for each 64 bits.
     """
 
-    def __init__(self, tokens: np.ndarray, depth: int):
+    def __init__(self, tokens: np.ndarray, weights: np.ndarray, depth: int):
         n = len(tokens)
         rank, step = tokens.astype(np.int64), 1
         self.often = np.ones(n, bool)
@@ -102,7 +103,8 @@ class FMIndex:
             rank[order] = fresh
             step *= 2
             if step == GRAM:  # grams that occur once can be in no repeated window
-                self.often = np.bincount(rank)[rank] > 1
+                self.often = np.bincount(rank, weights)[rank] > 1
+        self.upto = np.concatenate([[0], np.cumsum(weights[order])])
         last = tokens[order - 1]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(tokens, minlength=int(tokens.max()) + 1))])
         self.levels = max(1, int(tokens.max()).bit_length())
@@ -136,13 +138,13 @@ class FMIndex:
         return start + self.descend(symbol, low), start + self.descend(symbol, high)
 
     def matches(self, tokens: np.ndarray, ends: np.ndarray, most: int) -> np.ndarray:
-        """Matching statistics: for each end in ``tokens``, symbols up to it that occur twice or more, at most ``most``."""
+        """Matching statistics: for each end in ``tokens``, symbols up to it whose weights sum to two or more, at most ``most``."""
         length = np.zeros(len(ends), np.int64)
         lane = np.arange(len(ends))
         low, high = np.zeros(len(ends), np.int64), np.full(len(ends), self.size)
         for step in range(most):
             low, high = self.extend(tokens[ends[lane] - step], low, high)
-            alive = high - low >= 2
+            alive = self.upto[high] - self.upto[low] >= 2
             lane, low, high = lane[alive], low[alive], high[alive]
             length[lane] += 1
             if not len(lane):
@@ -150,174 +152,214 @@ class FMIndex:
         return length
 
 
-REPEATS = "doc_id long, digest long, start int, n int"
+PASSAGES = "route long, anchor long, seg long, offset int, n int, weight int, words array<long>"
+HITS = "anchor long, seg long, offset int, n int"
+
+
+def runs(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First index and length of each run of consecutive ``at`` within one ``row``."""
+    cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(row) != 0)) + 1
+    first = np.concatenate([[0], cut]) if len(at) else cut
+    return first, np.diff(np.append(first, len(at)))
 
 
 def shard_repeats(width: int):
-    """Maps the segments of one shard (doc_id, digest, start, n, once, words) to REPEATS."""
+    """Maps the PASSAGES of one shard to HITS: their windows that the corpus holds twice or more."""
 
     def run(shard: pa.Table) -> pa.Table:
-        words = [np.frombuffer(x.as_py(), np.int64) for x in shard.column("words")]
-        sizes = np.array([len(w) for w in words])
-        begin = np.concatenate([[0], np.cumsum(sizes + 1)])
+        anchor, seg, offset, n, weight = (shard.column(c).to_numpy() for c in ("anchor", "seg", "offset", "n", "weight"))
+        # Repeated rows send their passages more than once.
+        order = np.lexsort((offset, seg, anchor))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (np.diff(anchor[order]) != 0) | (np.diff(seg[order]) != 0) | (np.diff(offset[order]) != 0)
+        order = order[fresh]
+        anchor, seg, offset, n, weight = (x[order] for x in (anchor, seg, offset, n, weight))
+        words = shard.column("words").combine_chunks().take(pa.array(order))
+        begin = np.concatenate([[0], np.cumsum(n + width)])
         tokens = np.zeros(begin[-1], np.int64)
         place = np.ones(begin[-1], bool)
         place[begin[1:] - 1] = False
-        tokens[place] = np.unique(np.concatenate(words), return_inverse=True)[1] + 1
-        index = FMIndex(tokens, width + 1)
-        n, once = shard.column("n").to_numpy(), shard.column("once").to_numpy(zero_copy_only=False)
-        asked = np.flatnonzero(once)
-        if not len(asked):
-            return pa.table({c: pa.array([], t) for c, t in (("doc_id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("n", pa.int32()))})
-        row = np.repeat(asked, n[asked])
-        offset = np.arange(len(row)) - np.repeat(np.cumsum(n[asked]) - n[asked], n[asked])
+        tokens[place] = np.unique(words.flatten().to_numpy(), return_inverse=True)[1] + 1
+        index = FMIndex(tokens, np.repeat(weight, n + width), width + 1)
+        row = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         rare = np.concatenate([[0], np.cumsum(~index.often)])
-        first = begin[row] + offset
+        first = begin[row] + at
         hopeful = rare[first + width - GRAM + 1] == rare[first]
-        row, offset, first = row[hopeful], offset[hopeful], first[hopeful]
+        row, at, first = row[hopeful], at[hopeful], first[hopeful]
         hit = index.matches(tokens, first + width - 1, width) >= width
-        row, at = pa.array(row[hit]), shard.column("start").to_numpy()[row[hit]] + offset[hit]
-        return pa.table({
-            "doc_id": shard.column("doc_id").take(row), "digest": shard.column("digest").take(row),
-            "start": pa.array(at.astype(np.int32)), "n": pa.array(np.ones(len(at), np.int32)),
-        })
+        row, at = row[hit], at[hit]
+        first, length = runs(row, at)
+        row, at = row[first], at[first]
+        columns = [anchor[row], seg[row], (offset[row] + at).astype(np.int32), length.astype(np.int32)]
+        return pa.table(dict(zip(("anchor", "seg", "offset", "n"), map(pa.array, columns), strict=True)))
 
     return run
 
 
-PASSAGES = "shard long, doc_id long, digest long, start int, n int, once boolean, words binary"
+def passage_batch(routes, anchors, segs, offsets, ns, weights, words: list[np.ndarray], width: int) -> pa.RecordBatch:
+    ns = np.asarray(ns, np.int32)
+    ends = np.concatenate([[0], np.cumsum(ns + width - 1)]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(words).view(np.int64)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(routes, pa.int64()), pa.array(anchors, pa.int64()), pa.array(segs, pa.int64()),
+         pa.array(offsets, pa.int32()), pa.array(ns), pa.array(weights, pa.int32()), lists],
+        ["route", "anchor", "seg", "offset", "n", "weight", "words"],
+    )
 
 
-def fetch_words(width: int, shards: int):
-    """Maps doc_id, digest, text, wanted (structs of start, n, anchor, once) to PASSAGES."""
+def fetch_words(width: int):
+    """Maps text, wanted (structs of start, n, anchor, seg, weight) to PASSAGES, routed by their anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, origin = [], []
-            for i, (text, wanted) in enumerate(zip(batch.column("text"), batch.column("wanted"), strict=True)):
-                words = text.as_py().split()
-                hashes = word_hashes(words, len(words))
-                for x in wanted.as_py():
-                    start, n = x["start"], x["n"]
-                    rows.append((x["anchor"] % shards, start, n, x["once"], hashes[start : start + n + width - 1].tobytes()))
-                    origin.append(i)
-            if rows:
-                shard, start, n, once, words = zip(*rows, strict=True)
-                at = pa.array(origin)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int64()), batch.column("doc_id").take(at), batch.column("digest").take(at),
-                     pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(once, pa.bool_()), pa.array(words, pa.binary())],
-                    ["shard", "doc_id", "digest", "start", "n", "once", "words"],
-                )
+            wanted = batch.column("wanted")
+            ends, listed = wanted.offsets.to_numpy(), wanted.values
+            start, n, anchor, seg, weight = (listed.field(c).to_numpy() for c in ("start", "n", "anchor", "seg", "weight"))
+            words = []
+            for i, text in enumerate(batch.column("text")):
+                split = text.as_py().split()
+                hashes = word_hashes(split, len(split))
+                words.extend(hashes[start[j] : start[j] + n[j] + width - 1] for j in range(ends[i], ends[i + 1]))
+            if words:
+                own = slice(ends[0], ends[-1])
+                yield passage_batch(anchor[own], anchor[own], seg[own], np.zeros(len(words)), n[own], weight[own], words, width)
 
     return run
 
 
-WINDOWS = "window long, doc_id long, digest long, start int, once boolean"
+def further_routes(hashes: np.ndarray, width: int, grams: int) -> np.ndarray:
+    """For each window of a passage a hash of its ``grams`` smallest different grams."""
+    ordered = np.sort(np.lib.stride_tricks.sliding_window_view(rolling(hashes, GRAM), width - GRAM + 1), axis=1)
+    fresh = np.ones(ordered.shape, bool)
+    fresh[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    fresh &= np.cumsum(fresh, axis=1) <= grams
+    return mixed(np.where(fresh, mixed(ordered), np.uint64(0)).sum(axis=1, dtype=np.uint64))
 
 
-def fetch_windows(width: int):
-    """Maps doc_id, digest, text, wanted to WINDOWS: each window of the wanted segments by its hash."""
+def split_passages(width: int, grams: int):
+    """Maps PASSAGES to PASSAGES that are routed by the ``grams`` smallest grams of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, origin = [], []
-            for i, (text, wanted) in enumerate(zip(batch.column("text"), batch.column("wanted"), strict=True)):
-                words = text.as_py().split()
-                hashes = word_hashes(words, len(words))
-                for x in wanted.as_py():
-                    at = np.arange(x["start"], x["start"] + x["n"])
-                    found.append((spans_hash(hashes, at, at + width).view(np.int64), at.astype(np.int32), np.full(len(at), x["once"])))
-                    origin.append(np.full(len(at), i))
-            if found:
-                window, start, once = (np.concatenate(x) for x in zip(*found, strict=True))
-                at = pa.array(np.concatenate(origin))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(window), batch.column("doc_id").take(at), batch.column("digest").take(at), pa.array(start), pa.array(once)],
-                    ["window", "doc_id", "digest", "start", "once"],
-                )
+            routes, rows, offsets, ns, words = [], [], [], [], []
+            for i, listed in enumerate(batch.column("words")):
+                hashes = listed.values.to_numpy().view(np.uint64)
+                route = further_routes(hashes, width, grams)
+                start = np.concatenate([[0], np.flatnonzero(np.diff(route)) + 1])
+                end = np.append(start[1:], len(route))
+                routes.append(route[start].view(np.int64))
+                offsets.append(start)
+                ns.append(end - start)
+                rows.append(np.full(len(start), i))
+                words.extend(hashes[a : b + width - 1] for a, b in zip(start, end, strict=True))
+            if words:
+                row = np.concatenate(rows)
+                anchors, segs, offset, weights = (batch.column(c).to_numpy()[row] for c in ("anchor", "seg", "offset", "weight"))
+                yield passage_batch(np.concatenate(routes), anchors, segs, offset + np.concatenate(offsets), np.concatenate(ns), weights, words, width)
 
     return run
 
 
-def with_wanted(docs: DataFrame, listed: DataFrame) -> DataFrame:
-    """The documents of ``listed`` (doc_id, digest, x) with all their x as ``wanted``."""
-    wanted = listed.groupBy("doc_id", "digest").agg(F.collect_list("x").alias("wanted")).withColumnsRenamed({"doc_id": "d", "digest": "g"})
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))
-    return docs.join(wanted, same).select("doc_id", "digest", "text", "wanted")
-
-
-def repeats(docs: DataFrame, width: int = 35) -> DataFrame:
-    """Runs of windows that occur elsewhere (REPEATS) in ``docs`` (doc_id, digest, text as bytes).
+def shared_rows(rows: DataFrame, keys: DataFrame, heavy: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` joined with ``keys``; ``heavy`` names at most HEAVY of the keys, whose rows are not shuffled."""
+    heavy = F.broadcast(heavy.select(*by))
+    there = rows.join(heavy, by, "left_semi").join(F.broadcast(keys.join(heavy, by, "left_semi")), by)
+    # Always a shuffle: what travels grows in step with the input.
+    return there.unionByName(rows.join(heavy, by, "left_anti").join(keys.join(heavy, by, "left_anti").hint("merge"), by))
+
+
+def fitting(passages: DataFrame, width: int, shard_words: int) -> tuple[DataFrame, int]:
+    """The passages with routes whose parts fit in a shard, and the number of shards for them."""
+    settled, words, grams = [], 0, 1
+    while True:
+        sizes = stage(passages.groupBy("route").agg(F.sum(F.col("n") + width).alias("words")), "substring-routes")
+        # No two different windows have all grams in common but for their order.
+        over = sizes.filter(F.col("words") > shard_words).select("route") if grams <= width - GRAM else sizes.limit(0).select("route")
+        words += sizes.agg(F.sum("words")).first()[0] or 0
+        if over.isEmpty():
+            settled.append(passages)
+            break
+        over = bounded_broadcast(over)
+        settled.append(passages.join(over, "route", "left_anti"))
+        grams += 1
+        deeper = passages.join(over, "route", "left_semi").select(*passages.columns)
+        passages = stage(deeper.mapInArrow(split_passages(width, grams), PASSAGES), "substring-split")
+    return reduce(DataFrame.unionByName, settled), max(1, ceil(words / shard_words))
+
+
+def repeats(docs: DataFrame, width: int = 35, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Runs of windows that occur elsewhere (key, start, n) in ``docs`` (key, text as bytes).
 
     Windows of repeated rows count once for each row.
     """
     found = stage(docs.mapInArrow(find_segments(width), SEGMENTS), "substring-segments")
-    anchors = found.groupBy("anchor").agg(F.count("*").alias("all"), (F.min("seg") == F.max("seg")).alias("same")).filter("all > 1")
-    anchors = stage(anchors.select("anchor", "same"), "substring-anchors")
-    shared = stage(found.join(anchors, "anchor"), "substring-shared")
-    known = shared.filter("same").select("doc_id", "digest", "start", "n")
-    mixed_up = shared.filter("not same")
-    counts = mixed_up.groupBy("anchor", "seg").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "digest", "start", "n")).alias("at"))
-    counts = stage(counts, "substring-counts")
-    twice = mixed_up.join(counts.filter("times > 1").select("anchor", "seg"), ["anchor", "seg"]).select("doc_id", "digest", "start", "n")
-    sizes = stage(counts.groupBy("anchor").agg(F.count("*").alias("kinds")).withColumn("hot", F.col("kinds") > HOT_SEGMENTS), "substring-anchor-sizes")
-    x = F.struct("at.start", "at.n", "anchor", (F.col("times") == 1).alias("once")).alias("x")
-    listed = counts.join(sizes.filter("not hot").select("anchor"), "anchor").select("at.doc_id", "at.digest", x)
-    words = listed.agg(F.sum(F.col("x.n") + width)).first()[0] or 0
-    shards = max(1, ceil(words / SHARD_WORDS))
-    passages = with_wanted(docs, listed).mapInArrow(fetch_words(width, shards), PASSAGES)
-    edges = passages.groupBy("shard").applyInArrow(shard_repeats(width), REPEATS)
-    found = known.union(twice).union(edges)
-    hot = sizes.filter("hot").select("anchor")
-    if hot.isEmpty():
-        return found
-    listed = counts.join(hot, "anchor").select("at.doc_id", "at.digest", x)
-    windows = stage(with_wanted(docs, listed).mapInArrow(fetch_windows(width), WINDOWS), "substring-windows")
-    again = stage(windows.groupBy("window").agg(F.count("*").alias("times")).filter("times > 1").select("window"), "substring-again")
-    return found.union(windows.filter("once").join(again, "window").select("doc_id", "digest", "start", F.lit(1).alias("n")))
-
-
-KEPT = "doc_id long, n_words long, n_removed long, kept string"
+    rows = found.count()
+    anchors = stage(found.groupBy("anchor").agg(F.count("*").alias("all")).filter("all > 1"), "substring-anchors")
+    heavy = anchors.filter(F.col("all") > rows / HEAVY)
+    shared = stage(shared_rows(found, anchors.select("anchor"), heavy, ["anchor"]), "substring-shared")
+    forget(found)
+    forget(anchors)
+    kinds = shared.groupBy("anchor", "seg").agg(F.count("*").alias("times"), F.min(F.struct("key", "start", "n")).alias("at"))
+    kinds = stage(kinds, "substring-kinds")
+    x = F.struct("at.start", "at.n", "anchor", "seg", F.least("times", F.lit(2)).cast("int").alias("weight")).alias("x")
+    wanted = kinds.select(F.col("at.key").alias("_key"), x).groupBy("_key").agg(F.collect_list("x").alias("wanted"))
+    texts = docs.join(wanted.hint("merge"), F.col("key") == F.col("_key")).select("text", "wanted")
+    passages = stage(texts.mapInArrow(fetch_words(width), PASSAGES), "substring-passages")
+    passages, shards = fitting(passages, width, shard_words)
+    routed = passages.withColumn("shard", F.pmod(F.col("route"), F.lit(shards)))
+    hits = stage(routed.groupBy("shard").applyInArrow(shard_repeats(width), HITS), "substring-hits")
+    hits = hits.withColumnRenamed("n", "length")
+    heavy = kinds.filter(F.col("times") > rows / HEAVY)
+    spans = shared_rows(shared.select("key", "anchor", "seg", "start"), hits, heavy, ["anchor", "seg"])
+    return spans.select("key", (F.col("start") + F.col("offset")).alias("start"), F.col("length").alias("n"))
+
+
+KEPT = "n_words long, n_removed long, kept string"
 
 
 def cut_spans(width: int):
-    """Maps doc_id, text, starts, ns to KEPT."""
+    """Maps doc_id, text, spans (structs of start, n) to doc_id and KEPT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, kept = [], [], []
-            for text, starts, ns in zip(*(batch.column(c) for c in ("text", "starts", "ns")), strict=True):
+            spans = batch.column("spans")
+            ends, listed = spans.offsets.to_numpy(), spans.values
+            first, length = (listed.field(c).to_numpy() for c in ("start", "n"))
+            for i, text in enumerate(batch.column("text")):
                 words = text.as_py().split()
                 gone = np.zeros(len(words) + 1, np.int32)
-                if starts.is_valid:
-                    start = np.array(starts.as_py())
-                    np.add.at(gone, start, 1)
-                    np.add.at(gone, start + np.array(ns.as_py()) + width - 1, -1)
+                own = slice(ends[i], ends[i + 1])
+                np.add.at(gone, first[own], 1)
+                np.add.at(gone, first[own] + length[own] + width - 1, -1)
                 stay = np.cumsum(gone[:-1]) == 0
                 sizes.append(len(words))
                 removed.append(len(words) - int(stay.sum()))
                 kept.append(b" ".join(words if stay.all() else [words[i] for i in np.flatnonzero(stay)]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
     return run
 
 
-def without_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
+def without_repeats(docs: DataFrame, width: int = 35, shard_words: int = SHARD_WORDS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_words, n_removed and the kept words, joined by one blank.
 
     All occurrences go, the first one too, as windows are judged on the input. Null and empty texts
     have no words; texts shorter than a window stay; repeated rows are copies of each other; long
-    texts are read whole; other columns are ignored.
+    texts are read whole; an empty table gives an empty result; other columns are ignored. Ids keep
+    their type. Rows are named by a 64-bit hash of id and text.
     """
-    keyed = docs.select("doc_id", F.xxhash64(text_of()).alias("digest"), text_of().cast("binary").alias("text"))
-    spans = repeats(keyed, width).groupBy("doc_id", "digest").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
-    spans = spans.withColumnsRenamed({"doc_id": "d", "digest": "g"})
-    joined = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g")), "left")
-    return joined.select("doc_id", "text", "starts", "ns").mapInArrow(cut_spans(width), KEPT)
+    keyed = docs.select("doc_id", F.xxhash64("doc_id", text_of()).alias("key"), text_of().cast("binary").alias("text"))
+    spans = repeats(keyed.select("key", "text"), width, shard_words)
+    # A set: repeated rows have one key and the same spans.
+    spans = spans.groupBy(F.col("key").alias("_key")).agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    none = F.array().cast("array<struct<start:int,n:int>>")
+    joined = keyed.join(spans.hint("merge"), F.col("key") == F.col("_key"), "left").select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
+    return joined.mapInArrow(cut_spans(width), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {KEPT}")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

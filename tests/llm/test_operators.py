@@ -437,20 +437,41 @@ def brute_kept(texts):
     return out
 
 
-@pytest.mark.parametrize("hot", [1_000, 0])
-def test_repeated_passages(docs, texts, monkeypatch, hot, empty):
-    monkeypatch.setattr(substrings, "HOT_SEGMENTS", hot)
-    monkeypatch.setattr(substrings, "SHARD_WORDS", 2_000)
-    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.without_repeats(crowded(docs)).collect())
+@pytest.mark.parametrize("shard_words", [2_000, 100])
+def test_repeated_passages(docs, texts, shard_words, empty):
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.without_repeats(crowded(docs), shard_words=shard_words).collect())
     assert got == Counter(brute_kept(texts))
-    if hot:
+    if shard_words > 100:
         assert substrings.without_repeats(empty).count() == 0
 
 
+def test_passages_of_one_anchor_are_split_until_they_fit(spark):
+    """Many different passages around one line: all share its gram, and few of them repeat."""
+    rng = random.Random(8)
+    line = "the one line that all of these pages hold in common today".split()
+    texts = [" ".join([f"a{rng.randrange(5000)}" for _ in range(30)] + line + [f"b{rng.randrange(5000)}" for _ in range(30)]) for _ in range(300)]
+    texts += [f"start {t} end" for t in texts[:40]]
+    rows = [(f"p{i}", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.without_repeats(df, shard_words=1_500).collect())
+    assert got == Counter(brute_kept(rows))
+
+
+def test_routes_are_the_smallest_grams():
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 2**63, 90, dtype=np.uint64)
+    words[40:60] = words[40]  # windows with fewer different grams
+    grams = substrings.rolling(words, 8)
+    for depth in (1, 2, 40):
+        sets = [tuple(sorted(set(grams[i : i + 28].tolist()))[:depth]) for i in range(56)]
+        routes = substrings.further_routes(words, 35, depth).tolist()
+        assert len(set(routes)) == len(set(sets)) == len(set(zip(routes, sets, strict=True)))
+
+
 def test_fm_index_counts():
     rng = np.random.default_rng(2)
     tokens = np.append(rng.integers(1, 6, 3_000), 0)
-    index = substrings.FMIndex(tokens, 36)
+    index = substrings.FMIndex(tokens, np.ones(len(tokens), int), 36)
     ends = np.arange(40, 3_000, 7)
     got = index.matches(tokens, ends, 12)
     for e, n in zip(ends, got, strict=True):
