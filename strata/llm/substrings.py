@@ -32,7 +32,7 @@ from strata.session import stage
 
 GRAM = 8
 SHARD_WORDS = 1 << 18
-#: A key with more than this share of all rows is joined by broadcasting it, so there are at most 1,000 such keys.
+#: A key with more than one in so many rows is dealt over parts in joins, so there are at most 1,000 such keys.
 HEAVY = 1_000
 _BACK = np.uint64(pow(int(MIX), -1, 1 << 64))
 
@@ -261,12 +261,20 @@ def split_passages(width: int, grams: int):
     return run
 
 
+def heavy_keys(counted: DataFrame, by: list[str], times: str, rows: int) -> DataFrame:
+    """The keys with more than 1 / HEAVY of all ``rows``, each with as many parts as bring it below that."""
+    parts = F.ceil(F.col(times) * HEAVY / rows).cast("int").alias("_parts")
+    return counted.filter(F.col(times) > rows / HEAVY).select(*by, parts)
+
+
 def shared_rows(rows: DataFrame, keys: DataFrame, heavy: DataFrame, by: list[str]) -> DataFrame:
-    """``rows`` joined with ``keys``; ``heavy`` names at most HEAVY of the keys, whose rows are not shuffled."""
-    heavy = F.broadcast(heavy.select(*by))
-    there = rows.join(heavy, by, "left_semi").join(F.broadcast(keys.join(heavy, by, "left_semi")), by)
+    """``rows`` (key, start and more) joined with ``keys``, the rows of ``heavy`` keys dealt over their parts."""
+    parts = F.coalesce("_parts", F.lit(1))
+    heavy = F.broadcast(heavy)  # at most HEAVY rows, and at most twice as many parts in all
+    dealt = rows.join(heavy, by, "left").withColumn("_part", F.pmod(F.xxhash64("key", "start"), parts).cast("int")).drop("_parts")
+    copies = keys.join(heavy, by, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     # Always a shuffle: what travels grows in step with the input.
-    return there.unionByName(rows.join(heavy, by, "left_anti").join(keys.join(heavy, by, "left_anti").hint("merge"), by))
+    return dealt.join(copies.hint("merge"), [*by, "_part"]).drop("_part")
 
 
 def fitting(passages: DataFrame, width: int, shard_words: int) -> tuple[DataFrame, int]:
@@ -296,7 +304,7 @@ def repeats(docs: DataFrame, width: int = 35, shard_words: int = SHARD_WORDS) ->
     found = stage(docs.mapInArrow(find_segments(width), SEGMENTS), "substring-segments")
     rows = found.count()
     anchors = stage(found.groupBy("anchor").agg(F.count("*").alias("all")).filter("all > 1"), "substring-anchors")
-    heavy = anchors.filter(F.col("all") > rows / HEAVY)
+    heavy = heavy_keys(anchors, ["anchor"], "all", rows)
     shared = stage(shared_rows(found, anchors.select("anchor"), heavy, ["anchor"]), "substring-shared")
     forget(found)
     forget(anchors)
@@ -310,7 +318,7 @@ def repeats(docs: DataFrame, width: int = 35, shard_words: int = SHARD_WORDS) ->
     routed = passages.withColumn("shard", F.pmod(F.col("route"), F.lit(shards)))
     hits = stage(routed.groupBy("shard").applyInArrow(shard_repeats(width), HITS), "substring-hits")
     hits = hits.withColumnRenamed("n", "length")
-    heavy = kinds.filter(F.col("times") > rows / HEAVY)
+    heavy = heavy_keys(kinds, ["anchor", "seg"], "times", rows)
     spans = shared_rows(shared.select("key", "anchor", "seg", "start"), hits, heavy, ["anchor", "seg"])
     return spans.select("key", (F.col("start") + F.col("offset")).alias("start"), F.col("length").alias("n"))
 
