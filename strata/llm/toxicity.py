@@ -175,16 +175,22 @@ def held_out() -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
-    """Fit on labelled rows whose id is not held out: per class, those with the smallest hashes of the id."""
+    """Fit on labelled rows whose id is not held out: per class, those with the smallest hashes of the id.
+
+    Repeated labels count once, and an id with several rows takes part with its smallest text, so the
+    sample has at most ``settings.sample`` texts of each class and loses none of them.
+    """
     known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out() & F.col("doc_id").isNotNull())
     known = known.select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64(F.lit(settings.seed), "doc_id").alias("h"))
+    known = known.distinct()
     picked = None
     for label in (0, 1):
         part = known.filter(F.col("toxic") == label).orderBy("h", "doc_id").limit(settings.sample)
         picked = part if picked is None else picked.union(part)
     picked = F.broadcast(stage(picked.select("doc_id", "toxic"), "toxicity-sample"))  # 2 * sample rows at most
-    found = docs.select("doc_id", text_of().alias("text")).join(picked, "doc_id").orderBy("doc_id", "text").limit(2 * settings.sample)
-    rows = found.select("text", "toxic").collect()
+    found = docs.select("doc_id", text_of().alias("text")).join(picked, "doc_id")
+    found = found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = found.orderBy("doc_id", "text", "toxic").select("text", "toxic").collect()
     labels = np.array([r.toxic for r in rows], np.int64)
     model = train([r.text for r in rows], labels, settings)
     # The sample holds toxic texts more often than the labelled rows do.

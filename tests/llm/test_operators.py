@@ -508,6 +508,18 @@ def test_toxicity_learns_and_catches_misspellings(spark, empty):
     assert all(r.score < 0.5 for r in toxicity.score_toxicity(df.limit(5), nothing).collect())
 
 
+def test_toxicity_sample_keeps_ids_that_follow_repeated_rows(spark, monkeypatch):
+    """Rows and labels of small ids come many times; the toxic class has the large ids."""
+    rows = [(i, f"w{i}") for i in range(40) for _ in range(30 if i < 20 else 1)]
+    labels = [(i, int(i >= 20)) for i in range(40) for _ in range(3)]
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, settings: seen.update(zip(texts, labels, strict=True)) or toxicity.Model.__new__(toxicity.Model))
+    monkeypatch.setattr(toxicity.Model, "slope", 0.0, raising=False)
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"), toxicity.Settings(sample=20))
+    learned = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    assert seen == {f"w{i}": int(i >= 20) for i in learned}
+
+
 # 10
 
 
