@@ -508,6 +508,72 @@ def test_toxicity_learns_and_catches_misspellings(spark, empty):
     assert all(r.score < 0.5 for r in toxicity.score_toxicity(df.limit(5), nothing).collect())
 
 
+def test_toxicity_scores_are_averages_of_subword_bags(monkeypatch):
+    """Every score by hand: rows of a bag, words of a text, softmax; in one slice or many, remembered or not."""
+    settings = toxicity.Settings(buckets=257, grams=(3, 4))
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(settings, rng.normal(size=257), rng.normal(size=257), rng.random(257) < 0.7, -0.3, 1.7, 0.2)
+    model.known[0] = True
+    texts = ["Plain words, Été", "", "a", "12 _ !", "x" * 3_000, "plain words été words", " ".join(WORDS), "\U0001d4d0bc \U0001f600 d"]
+
+    def vector(word):
+        of, bucket = toxicity.subwords([word], settings)
+        marked = f"<{word}>"
+        assert len(bucket) == 2 + sum(max(0, len(marked) - n + 1) for n in settings.grams) and not of.any()
+        rows = [b for b in bucket.tolist() if model.known[b]]
+        return np.mean(model.toward[rows]), np.mean(model.notice[rows])
+
+    wanted = []
+    for text in texts:
+        found = [vector(w) for w in toxicity.words_in(text) or {""}]
+        weights = [math.exp(n) for _, n in found]
+        lean = sum(w * t for w, (t, _) in zip(weights, found, strict=True)) / sum(weights) + model.bias
+        wanted.append(1 / (1 + math.exp(-(model.slope * lean + model.shift))))
+    for at_once, remembered in ((1 << 20, 1000), (10, 1000), (10, 3), (1, 0)):
+        monkeypatch.setattr(toxicity, "AT_ONCE", at_once)
+        monkeypatch.setattr(toxicity, "REMEMBERED", remembered)
+        score = model.scorer()
+        np.testing.assert_allclose(score(texts), wanted, rtol=1e-9)
+        np.testing.assert_allclose(score(texts[::-1]), wanted[::-1], rtol=1e-9)
+        assert len(score([])) == 0
+
+
+def test_toxicity_gradients():
+    """One step of plain descent moves every parameter along the numeric slope of the loss."""
+    settings = toxicity.Settings(buckets=12, width=3)
+    state = toxicity.Training(np.random.default_rng(8), settings)
+    state.values = {k: np.random.default_rng(9).normal(size=v.shape) for k, v in state.values.items()}
+    bags, texts = [np.array([0, 3, 5]), np.array([0, 7]), np.array([0, 3, 3, 11])], [np.array([0, 1]), np.array([2]), np.array([0, 1, 2])]
+    wanted = np.array([[1.0, 0.0], [0.0, 2.0], [0.5, 0.5]])
+
+    def loss():
+        v, total = state.values, 0.0
+        for text, mass in zip(texts, wanted, strict=True):
+            words = np.array([v["table"][bags[i]].mean(0) for i in text])
+            weights = np.exp(words @ v["notice"])
+            logits = weights @ words / weights.sum() @ v["softmax"] + v["bias"]
+            total += mass.sum() * np.log(np.exp(logits).sum()) - mass @ logits
+        return total / len(texts)
+
+    grads = {}
+
+    def keep(name, grad, rate, rows=slice(None)):
+        grads[name] = np.zeros_like(state.values[name])
+        grads[name][rows] = grad
+
+    state.adam = keep
+    state.fit(bags, texts, wanted, 0.1, weigh=True)
+    for name, value in state.values.items():
+        for at in np.ndindex(value.shape):
+            before = value[at]
+            value[at] = before + 1e-6
+            up = loss()
+            value[at] = before - 1e-6
+            slope = (up - loss()) / 2e-6
+            value[at] = before
+            assert abs(slope - grads[name][at]) < 1e-5, (name, at)
+
+
 def test_toxicity_sample_keeps_ids_that_follow_repeated_rows(spark, monkeypatch):
     """Rows and labels of small ids come many times; the toxic class has the large ids."""
     rows = [(i, f"w{i}") for i in range(40) for _ in range(30 if i < 20 else 1)]
