@@ -3,6 +3,9 @@
 Detected entities get a surrogate of the same kind and format that depends on a secret key and the
 entity alone, so every mention of it in the corpus gets the same one. Given names keep gender and
 script, surnames keep the script, card numbers keep their check digit, addresses stay addresses.
+Names are found after titles, with a listed given name, or by words around them ("my name is", "Dear",
+"wrote"); within a text, every other mention of such a name is one too. Scripts without a list of names
+get names made up of letters of the script; where nothing tells the gender, it is a kind of its own.
 
 Distinct entities must stay distinct. Surrogates of all entities are compared with each other and
 with all real entities of the corpus; where two meet, one takes its next candidate. What still meets
@@ -16,8 +19,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import mul
 
 import pandas as pd
@@ -31,13 +35,19 @@ from strata.session import stage
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 ADDRESS = re.compile(rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\w)", re.ASCII)
-PHONE = re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)", re.ASCII)
+PHONE = re.compile(
+    r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)"
+    r"|(?<![\w.,+-])(?:\d{3}([-.])\d{3}\1\d{4}|0\d(?:[ .]\d\d){4}|0\d{2,4}[ /-]\d{3,4}[ -]?\d{3,4})(?![\w-]|[.,]\d)",
+    re.ASCII,
+)
+LEAD = re.compile(r"\+1|\+\d\d|0|")
 NUMBER = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII)
 CARD = re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", re.ASCII)
-#: Titles by gender (fixed values).
+#: Titles by gender; ``n``: it is not told (fixed values).
 TITLES = {
-    "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа"),
+    "m": ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "господин", "κύριος", "Κύριος"),
+    "f": ("Mrs", "Ms", "Miss", "Lady", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "κυρία", "Κυρία"),
+    "n": ("Dr", "Doctor", "Doktor", "Prof", "Professor", "Rev", "доктор"),
 }
 #: Given names by script and gender, both looked for and given as surrogates (fixed values).
 GIVEN = {
@@ -45,47 +55,134 @@ GIVEN = {
     ("latin", "f"): "Adele Alice Amelia Anna Beatrice Camille Carla Carmen Caroline Catherine Clara Claire Diana Elena Elisabeth Emma Eva Frieda Greta Hannah Helen Ines Isabel Jane Johanna Julia Karin Laura Lucia Margaret Maria Marie Martha Nora Olivia Paula Rosa Sarah Sofia Susanne Teresa Victoria".split(),
     ("cyrillic", "m"): "Алексей Андрей Борис Виктор Дмитрий Иван Михаил Николай Павел Сергей".split(),
     ("cyrillic", "f"): "Анна Вера Елена Ирина Мария Наталья Ольга Светлана София Татьяна".split(),
+    ("greek", "m"): "Αντώνης Γιώργος Δημήτρης Κώστας Νίκος Πέτρος Σπύρος Χρήστος".split(),
+    ("greek", "f"): "Αγγελική Βασιλική Δέσποινα Ειρήνη Ελένη Κατερίνα Σοφία Χριστίνα".split(),
+}
+#: Given names of either gender: given only, as they are words or surnames too (fixed values).
+NEUTRAL = {"latin": "Alexis Ariel Blake Casey Dana Drew Ellis Finley Jamie Jordan Kendall Kim Morgan Quinn Reese Robin Rowan Taylor".split(), "cyrillic": "Валя Женя Саша Слава Шура".split()}
+#: Words around a name that has neither title nor listed given name, and words that are none there (fixed values).
+BEFORE = "[Mm]y name is|[Nn]ame:|[Dd]ear|[Rr]egards,|[Ss]incerely,|[Ss]igned:|[Ss]igned by"
+AFTER = "wrote|writes|said|says|called|asked|replied|told|lives in|works at|works for"
+OTHER_WORDS = frozenset("A All An And As At Both But Colleague Colleagues Customer Each Everyone Friend Friends He Her His However I If In It Its Madam Member My No On One Or Our She Sir Some Team That The Their Then These They This Those User We What When Who You Your".split())
+#: Syllables of surnames that are made up, of equal length in each script (fixed values).
+SYLLABLES = {
+    "latin": "bal cor den far gol han kel lin mar nor pel ros sol tan var wen".split(),
+    "cyrillic": "бал вор ден гор кел лин мар нов пел рос сол тан".split(),
+    "greek": "βαλ γορ δεν καλ λιν μαρ νικ πελ ροδ σαλ ταν φιλ".split(),
+    "cjk": list("安白成方高何江林明宁青石文辛远周"),
 }
-#: Syllables of surnames that are made up (fixed values).
-SYLLABLES = {"latin": "bal cor den far gol han kel lin mar nor pel ros sol tan var wen".split(), "cyrillic": "бал вор ден гор кел лин мар нов пел рос сол тан".split()}
 GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
+GENDER |= {name.upper(): kind for name, kind in GENDER.items()}
+TITLE_GENDER = {form: gender for gender, titles in TITLES.items() for t in titles for form in (t, t.upper())}
 WORD = r"[^\W\d_][^\W\d_'’-]*(?:-[^\W\d_]+)*"
-TITLED = re.compile(rf"\b({'|'.join(t for ts in TITLES.values() for t in ts)})\.? ({WORD})(?: ({WORD}))?")
+TITLED = re.compile(rf"\b({'|'.join(TITLE_GENDER)})\.? ({WORD})(?: ({WORD}))?")
 NAMED = re.compile(rf"(?<![\w-])({'|'.join(map(re.escape, GENDER))}) ({WORD})")
-TITLE_WORDS = frozenset(t for ts in TITLES.values() for t in ts)
+CUED = re.compile(rf"(?<!\w)(?:{BEFORE})\s+({WORD})(?: ({WORD}))?")
+CUE = re.compile(rf" (?:{AFTER})(?!\w)")
+TWO_WORDS = re.compile(rf"(?<![\w'’-])({WORD}) ({WORD})\Z")
+MENTION = re.compile(rf"(?<![\w-]){WORD}")
+TITLE_WORDS = frozenset(TITLE_GENDER)
 #: Runs of letters from a first letter of a title or given name on. Both patterns need one as a whole
 #: run, whatever stands around it, so texts without any are passed over.
 LEADS = re.compile(rf"[{''.join(sorted({w[0] for w in (*TITLE_WORDS, *GENDER)}))}][^\W\d_]*")
 ENTITIES = "doc_id long, digest long, found array<struct<start: int, end: int, kind: string, value: string>>"
 
 
+@lru_cache(maxsize=None)
+def letters(script: str) -> tuple[str, ...]:
+    """Up to 32 letters of a script, spread over all that it has; capitals are not among them."""
+    every = [c for c in map(chr, range(0x250, 0x20000)) if unicodedata.name(c, "").startswith(f"{script.upper()} ") and c.isalpha() and unicodedata.normalize("NFKC", c.casefold()) == c]
+    return tuple(every[:: max(1, len(every) // 32)][:32])
+
+
+@lru_cache(maxsize=4096)
+def script_of_letter(letter: str) -> str:
+    script = unicodedata.name(letter, "LATIN").split()[0].split("-")[0].lower()
+    return script if script in SYLLABLES or len(letters(script)) >= 16 else "latin"
+
+
 def script_of(word: str) -> str:
-    return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
+    return "latin" if word[0] < "\u0250" else script_of_letter(word[0])
+
+
+def syllables(script: str) -> list[str]:
+    return SYLLABLES.get(script) or list(letters(script))
+
+
+def given_names(script: str, gender: str) -> list[str]:
+    """The given names that surrogates of a kind are taken from; kinds of one script share none."""
+    listed = GIVEN.get((script, gender)) or (NEUTRAL.get(script) if gender == "n" else None)
+    if listed:
+        return listed
+    parts = syllables(script)
+    return [a + b for a in parts["mfn".index(gender) :: 3] for b in parts[::2]]
+
+
+def capital(word: str) -> bool:
+    """Whether a word may be a name: it begins with a capital, or its script has none."""
+    return not word[0].islower() and (word[0].isupper() or script_of(word) != "latin")
+
+
+def given(word: str, gender: str) -> str:
+    script, gender = GENDER.get(word) or GENDER.get(word.title()) or (script_of(word), gender)
+    return f"given {script} {gender}"
+
+
+def surname(word: str) -> str:
+    return f"surname {script_of(word)}"
+
+
+def parts_of_name(m: re.Match, first: int, gender: str, alone: str, offset: int = 0) -> Iterator[tuple[int, int, str, str]]:
+    """Groups ``first`` and the next of a match as given name and surname; one word alone is of kind ``alone``."""
+    if not capital(m[first]):
+        return
+    if m[first + 1] and capital(m[first + 1]):
+        yield offset + m.start(first), offset + m.end(first), given(m[first], gender), m[first].casefold()
+        first, alone = first + 1, "surname"
+    kind = surname(m[first]) if alone == "surname" else given(m[first], gender)
+    yield offset + m.start(first), offset + m.end(first), kind, m[first].casefold()
 
 
-def names(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """Parts of names after titles or known given names; only capitalised words count."""
+def marked_names(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Parts of names after titles, known given names and words that go with names; only capitalised words count."""
     words = set(LEADS.findall(text))
     if not TITLE_WORDS.isdisjoint(words):
         for m in TITLED.finditer(text):
-            gender = "m" if m[1] in TITLES["m"] else "f"
-            parts = [k for k in (2, 3) if m[k] and m[k][0].isupper()]
-            if m[2][0].isupper():
-                for k in parts:
-                    last = k == parts[-1]
-                    kind = f"surname {script_of(m[k])}" if last else f"given {script_of(m[k])} {gender}"
-                    yield m.start(k), m.end(k), kind, m[k].casefold()
+            yield from parts_of_name(m, 2, TITLE_GENDER[m[1]], "surname")
     if not words.isdisjoint(GENDER):
         for m in NAMED.finditer(text):
-            if m[2][0].isupper() and len(m[2]) > 1:
-                script, gender = GENDER[m[1]]
-                yield m.start(1), m.end(1), f"given {script} {gender}", m[1].casefold()
-                yield m.start(2), m.end(2), f"surname {script_of(m[2])}", m[2].casefold()
+            # In capitals throughout, short words are seldom names.
+            if capital(m[2]) and len(m[2]) > 1 and (not m[1].isupper() or (m[2].isupper() and len(m[2]) > 2)):
+                yield m.start(1), m.end(1), given(m[1], "n"), m[1].casefold()
+                yield m.start(2), m.end(2), surname(m[2]), m[2].casefold()
+    for m in CUED.finditer(text):
+        if m[1] not in OTHER_WORDS and m[1] not in TITLE_WORDS and len(m[1]) > 1:
+            yield from parts_of_name(m, 1, "n", "given")
+    for cue in CUE.finditer(text):
+        start = max(0, cue.start() - 100)
+        m = TWO_WORDS.search(text, start, cue.start())
+        if m and m[1][0].isupper() and m[2][0].isupper() and OTHER_WORDS.isdisjoint((m[1], m[2])) and m[1] not in TITLE_WORDS:
+            yield from parts_of_name(m, 1, "n", "given")
+
+
+def names(text: str) -> list[tuple[int, int, str, str]]:
+    """Marked names, and every other capitalised mention of one of their parts within the text."""
+    found = list(marked_names(text))
+    kinds: dict[str, str] = {}
+    for *_, kind, value in found:
+        if len(value) > 2 or script_of(value) != "latin":
+            kinds.setdefault(value, kind)
+    if kinds:
+        for m in MENTION.finditer(text):
+            kind = kinds.get(m[0].casefold())
+            if kind and capital(m[0]):
+                found.append((m.start(), m.end(), kind, m[0].casefold()))
+    return found
 
 
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Entities from left to right, without overlaps: start, end, kind, value. Formats of a value are not part of it."""
-    found = list(names(text))
+    found = names(text)
     if "@" in text:
         found += [(m.start(), m.end(), "email", m[0].lower()) for m in EMAIL.finditer(text)]
     if re.search(r"[0-9]", text):
@@ -94,7 +191,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         found += [(m.start(), m.end(), "number", m[0]) for m in NUMBER.finditer(text)]
         found += [(m.start(), m.end(), "card", re.sub(r"[^0-9]", "", m[0])) for m in CARD.finditer(text)]
     kept, end = [], 0
-    for x in sorted(set(found), key=lambda x: (x[0], -x[1])):
+    for x in sorted(dict.fromkeys(found), key=lambda x: (x[0], -x[1])):  # of equal spans, the first found
         if x[0] >= end:
             kept.append(x)
             end = x[1]
@@ -139,7 +236,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
             made[0] = str(11 + next(rand) % 112)
         return lead + ".".join(made)
     if kind == "phone":
-        lead = re.match(r"\+1|\+\d\d|", value)[0]
+        lead = LEAD.match(value)[0]
         return lead + str(2 + next(rand) % 8) + digits_like(value[len(lead) + 1 :], rand)
     if kind == "card":
         body = value[0] + digits_like(value[1:-1], rand)
@@ -148,10 +245,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return digits_like(value, rand)
     _, script, *gender = kind.split()
     if gender:
-        pool = GIVEN[script, gender[0]]
+        pool = given_names(script, gender[0])
         # Where the names of the pool don't suffice, double names do.
         return "-".join(pool[(next(rand) * 256 + next(rand)) % len(pool)] for _ in range(1 + min(attempt, 3))).casefold()
-    pool = SYLLABLES[script]
+    pool = syllables(script)
     return "".join(pool[next(rand) % len(pool)] for _ in range(3 + attempt % 3))
 
 
@@ -168,13 +265,13 @@ def form(kind: str, value: str) -> str:
         lead = PRIVATE.match(value)[0]
         return lead + ".".join("*" * (value.count(".") + 1 - lead.count(".")))
     if kind == "phone":
-        lead = re.match(r"\+1|\+\d\d|", value)[0]
+        lead = LEAD.match(value)[0]
         return lead + "*" * (len(value) - len(lead))
     if kind == "card":
         return value[0] + "*" * (len(value) - 1) + ("!" if value[-1] == check_digit(value[:-1]) else "")
     if kind == "number":
         return re.sub(r"\d", "*", value)
-    return "-".join("*" * (value.count("-") + 1)) if kind.startswith("given") else "*" * (len(value) // 3)
+    return "-".join("*" * (value.count("-") + 1)) if kind.startswith("given") else "*" * (len(value) // len(syllables(kind.split()[1])[0]))
 
 
 def first_form(key: bytes, kind: str, value: str) -> str:
@@ -215,9 +312,9 @@ def choices(kind: str, shape: str) -> list[list[str]]:
         return [digits if c == "*" else [c] for c in shape]
     _, script, *gender = kind.split()
     if gender:
-        pool = [name.casefold() for name in GIVEN[script, gender[0]]]
+        pool = [name.casefold() for name in given_names(script, gender[0])]
         return [pool, *[[f"-{name}" for name in pool]] * shape.count("-")]
-    return [SYLLABLES[script]] * len(shape)
+    return [syllables(script)] * len(shape)
 
 
 def size_of(kind: str, shape: str) -> int:
