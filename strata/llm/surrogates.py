@@ -85,7 +85,7 @@ TITLE_WORDS = frozenset(TITLE_GENDER)
 #: Runs of letters from a first letter of a title or given name on. Both patterns need one as a whole
 #: run, whatever stands around it, so texts without any are passed over.
 LEADS = re.compile(rf"[{''.join(sorted({w[0] for w in (*TITLE_WORDS, *GENDER)}))}][^\W\d_]*")
-ENTITIES = "doc_id long, digest long, found array<struct<start: int, end: int, kind: string, value: string>>"
+ENTITIES = "digest long, found array<struct<start: int, end: int, kind: string, value: string>>"
 
 
 @lru_cache(maxsize=None)
@@ -460,23 +460,24 @@ def replace_entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 end = x["end"]
             texts.append("".join([*parts, text[end:]]))
             counts.append(len(swaps))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_entities", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_entities", "text"])
 
 
 def replace_personal_data(docs: DataFrame, key: bytes) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_entities and the text with surrogates.
 
     Null and empty texts have no entities and come out empty; repeated rows get equal texts; texts without entities stay as
-    they are; texts are read whole; other columns are ignored. The same key gives the same surrogates for the same corpus.
+    they are; texts are read whole; ids keep their type; a table without rows gives none; other columns are ignored. The same key gives the same surrogates for the same corpus.
     """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", F.xxhash64(text_of()).alias("digest"), text_of().alias("text"))
-    found = stage(keyed.mapInArrow(find_entities, ENTITIES).dropDuplicates(["doc_id", "digest"]), "surrogate-found")
+    found = stage(keyed.mapInArrow(find_entities, f"doc_id {id_type}, {ENTITIES}").dropDuplicates(["doc_id", "digest"]), "surrogate-found")
     each = found.select("doc_id", "digest", F.explode("found").alias("e")).select("doc_id", "digest", "e.*")
     chosen = choose_surrogates(each.select("kind", "value"), key)
     swaps = each.join(chosen, ["kind", "value"]).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "end", "kind", "made")).alias("swaps"))
     swaps = swaps.withColumnsRenamed({"doc_id": "d", "digest": "g"})
     joined = keyed.join(swaps, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g")), "left")
-    return joined.select("doc_id", "text", "swaps").mapInArrow(replace_entities, "doc_id long, n_entities long, text string")
+    return joined.select("doc_id", "text", "swaps").mapInArrow(replace_entities, f"doc_id {id_type}, n_entities long, text string")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -216,6 +216,12 @@ def test_planted_entities_are_found_and_replaced_consistently(spark):
     assert again and all(a == b for a, b in again)
 
 
+def test_personal_data_of_text_ids(spark):
+    df = spark.createDataFrame([("a", "Mr Jones of x@y.org"), ("b", None), (None, "nothing")], "doc_id string, text string")
+    got = {r.doc_id: (r.n_entities, r.text) for r in surrogates.replace_personal_data(df, b"k").collect()}
+    assert got["a"][0] == 2 and "Jones" not in got["a"][1] and got["b"] == (0, "") and got[None] == (0, "nothing")
+
+
 def test_replace_personal_data(spark, empty):
     rows = [(1, "Mr. John Smith wrote to a.b@c.org and A.B@C.ORG. Mr Smith waits."), (2, "call 4111 1111 1111 1111 or 4111111111111111"),
             (3, None), (4, ""), (4, ""), (5, "nothing here"), (None, "x@y.z 10.0.0.1"), (6, "JOHN SMITH " + "word " * 9000 + "John Smith")]
