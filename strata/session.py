@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import threading
@@ -10,6 +11,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.errors import ConfigError
@@ -28,6 +31,7 @@ SQL_SETTINGS = {
 }
 
 _own_scratch: dict[str, str] = {}
+_tried_out: set[tuple[str, str]] = set()
 _scopes = threading.local()  # loads of independent tables may run in parallel threads
 
 
@@ -49,28 +53,55 @@ def build_session(app: str = "strata", master: str | None = None, **conf: str) -
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir`` or by ``setCheckpointDir``.
 
-    Where it is unset, a temporary folder in local mode; on a cluster, where other machines
-    could not see one, an error. So is a folder of a machine's own file system there, unless
-    ``strata.scratch.mounted=true`` says that all machines mount it.
+    Where neither names one, a temporary folder in local mode; on a cluster, where other machines
+    could not see one, a folder in the warehouse. A folder of a file system that a machine may have to itself
+    is tried out first on a cluster, unless ``strata.scratch.mounted=true`` says that all machines mount it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    on_cluster = not context.master.startswith("local")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    on_cluster = not re.fullmatch(r"local(\[.*\])?", context.master)  # local-cluster has executors of its own
+    if on_cluster and not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/strata-scratch"
     if shared:
         mounted = spark.conf.get("strata.scratch.mounted", "false") == "true"
         if on_cluster and not mounted and _scheme(spark, shared) == "file":
-            raise ConfigError(f"spark.checkpoint.dir is {shared}, which other machines don't see")
+            _try_out(spark, shared.rstrip("/"))
         return shared.rstrip("/")
-    if on_cluster:
-        raise ConfigError("spark.checkpoint.dir must name a folder that all executors can reach")
     if context.applicationId not in _own_scratch:
         folder = _own_scratch[context.applicationId] = tempfile.mkdtemp(prefix="strata-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _own_scratch[context.applicationId]
 
 
+def _try_out(spark: SparkSession, folder: str) -> None:
+    """An error unless all that executors write to the folder is found there; tried once in an application.
+
+    Rows that went to disks of other machines would be missing without an error wherever ``stage`` reads them back.
+    """
+    tried = (spark.sparkContext.applicationId, folder)
+    if tried in _tried_out:
+        return
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    path = f"{folder}/trial-{uuid4().hex}"
+    cause = None
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        found = spark.read.schema("id long").parquet(path).count()
+    except (PySparkException, Py4JJavaError) as failed:
+        found, cause = 0, failed
+    _remove(spark, path)
+    if found != tasks:
+        raise ConfigError(f"executors and driver don't share {folder}: set spark.checkpoint.dir to a folder that they do") from cause
+    _tried_out.add(tried)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _scheme(spark: SparkSession, folder: str) -> str:
     """The file system that a path without one resolves to as well."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -98,10 +129,8 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for path in _open_scopes().pop():
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(hadoop).delete(target, True)
+            _remove(spark, path)
 
 
 def _open_scopes() -> list[list[str]]:
