@@ -42,6 +42,8 @@ SMALL = 24  # sets of up to so many shingles may be enumerated
 FREQUENT = 500_000  # shingles that are told apart by frequency
 SEEN = 8  # least count of those
 CHUNK = 2_000_000  # shingles that a task counts at a time
+SUBSET_ROWS = 50_000  # subsets (26 bytes each) that a task holds at a time
+EDGES = 50_000  # edges of which a task writes at least so many, where there are more tasks than cores
 NEEDED = 1_000_000  # keys (8 bytes each) of texts to compare that are broadcast; more are joined by a shuffle
 
 
@@ -148,11 +150,18 @@ SUBSETS = "k1 long, k2 long, key long, large boolean, even boolean"
 
 
 def subsets(boundary: int):
-    """Maps key, small to SUBSETS: hashes of the subsets that links between small sets need."""
+    """Maps key, small to SUBSETS: hashes of the subsets that links between small sets need.
+
+    A set of 24 has 25,576 of them, so a batch of sets goes out in many batches of subsets.
+    """
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["k1", "k2", "key", "large", "even"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for key, small in zip(batch.column("key").to_numpy(), batch.column("small"), strict=True):
                 values = np.array(small.as_py(), np.int64).view(np.uint64)
                 n = len(values)
@@ -162,9 +171,12 @@ def subsets(boundary: int):
                     pair = np.uint64(min(n, m) * 64 + max(n, m))
                     rest = [mixed(v.sum() - v[out].sum(1) + pair).view(np.int64) for v in (one, two)]
                     rows.append((*rest, np.full(len(out), key), np.full(len(out), n > m), np.full(len(out), n == m)))
+                    size += len(out)
+                    if size >= SUBSET_ROWS:
+                        yield batch_of(rows)
+                        rows, size = [], 0
             if rows:
-                columns = [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "key", "large", "even"])
+                yield batch_of(rows)
 
     return run
 
@@ -184,8 +196,9 @@ def small_links(sets: DataFrame, boundary: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(key, root) for every node of ``edges`` (u, v) that isn't the smallest of its component.
 
-    Large-star and small-star steps in turns until nothing changes; each turn is written.
+    Large-star and small-star steps in turns until nothing changes; each turn is written, few edges in few files.
     """
+    cores = edges.sparkSession.sparkContext.defaultParallelism
 
     def sign(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -194,13 +207,14 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (state := sign(now)) != before:
         before = state
+        files = max(cores, state[0] // EDGES)  # a step adds no more edges than there are
         both = now.union(now.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stage(large, "components-large")
+        large = stage(large.coalesce(files), "components-large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stage(small.union(low.select("u", "m")).distinct(), "components")
+        now = stage(small.union(low.select("u", "m")).distinct().coalesce(files), "components")
     return now.select(F.col("u").alias("key"), F.col("v").alias("root"))
 
 
