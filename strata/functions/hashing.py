@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 SEPARATOR = "||"
 NULL_TOKEN = "NULL"
 HASH_BITS = 256
+_HASH_BYTES = HASH_BITS // 8
+_HASH = f"^[0-9a-f]{{{2 * _HASH_BYTES}}}$"
 
 
 def hash_expr(columns: Iterable[str | Column], *, safe: bool = False) -> Column:
@@ -21,10 +23,39 @@ def hash_expr(columns: Iterable[str | Column], *, safe: bool = False) -> Column:
     backslashes and pipes in the values and writes NULL as ``\\N``, which no escaped value
     can equal.
     """
+    return F.sha2(hash_text(columns, safe=safe), HASH_BITS)
+
+
+def hash_text(columns: Iterable[str | Column], *, safe: bool = False) -> Column:
+    """The text behind ``hash_expr``, never NULL; equal where the hashes are."""
     texts = [_text(c, safe) for c in columns]
     if not texts:
         raise ValueError("no columns to hash")
-    return F.sha2(F.concat_ws(SEPARATOR, *texts), HASH_BITS)
+    return F.concat_ws(SEPARATOR, *texts)
+
+
+def packed(column: str | Column) -> Column:
+    """A hash as its bytes, half as many as its digits, for shuffles. Other texts are followed by more zeros than a
+    hash has bytes, so that none equals one. Texts of either kind keep their order.
+    """
+    text = (F.col(column) if isinstance(column, str) else column).cast("string")
+    other = F.concat(text.cast("binary"), F.lit(bytes(_HASH_BYTES + 1)))
+    return F.when(text.rlike(_HASH), F.unhex(text)).otherwise(other)
+
+
+def unpacked(column: str | Column) -> Column:
+    """The text of a ``packed`` one."""
+    held = F.col(column) if isinstance(column, str) else column
+    other = F.substring(held, F.lit(1), F.length(held) - _HASH_BYTES - 1).cast("string")
+    return F.when(F.length(held) == _HASH_BYTES, F.lower(F.hex(held))).otherwise(other)
+
+
+def hash_order(column: str | Column) -> list[Column]:
+    """Narrow columns that order hashes as their texts do: two numbers of 15 digits each. Other texts order themselves."""
+    text = F.col(column) if isinstance(column, str) else column
+    is_hash = text.rlike(_HASH)
+    digits = [F.conv(F.substring(text, start, 15), 16, 10).cast("long") for start in (1, 16)]
+    return [*[F.when(is_hash, number) for number in digits], F.when(~is_hash, text)]
 
 
 def _text(column: str | Column, safe: bool) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.errors import ConfigError, EmptySnapshot, LoadError
+from strata.functions import hash_expr, hash_text
 from strata.operators import (
     classify,
     clean_strings,
@@ -18,6 +19,7 @@ from strata.operators import (
     keep_latest,
     latest_snapshot_at,
     near_stored,
+    restrict_to,
     restrict_to_stored,
     row_hash,
     soft_delete,
@@ -42,20 +44,36 @@ def stage_rows(bronze: DataFrame, keys: Sequence[str], columns: Sequence[str], n
     then to the greater row hash, so that a rerun picks the same row.
     """
     cleaned = drop_columns(dates_to_timestamp(clean_strings(bronze)), [*unwanted, RESCUED])
-    hashed = with_hash_key(cleaned, keys).withColumn("row_hash", row_hash(cleaned, columns))
-    order = ["audit_ts", *([watermark_column] if watermark_column else []), "row_hash"]
-    return keep_latest(hashed, keys, order).withColumn("audit_ts", F.lit(now).cast("timestamp"))
+    # One hash goes through the shuffle, as bytes.
+    versioned = cleaned.withColumn("_version", F.unhex(row_hash(cleaned, columns)))
+    order = ["audit_ts", *([watermark_column] if watermark_column else []), "_version"]
+    newest = with_hash_key(keep_latest(versioned, keys, order), keys)
+    hashed = newest.withColumn("row_hash", F.lower(F.hex("_version"))).drop("_version")
+    return hashed.withColumn("audit_ts", F.lit(now).cast("timestamp"))
 
 
-def incremental_versions(staged: DataFrame, silver: DataFrame, keys: Sequence[str]) -> DataFrame:
+def version_hashes(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> dict[str, Column]:
+    """The hashes of ``stage_rows`` as expressions over its other columns, for scratch files without them."""
+    return {"hash_key": hash_expr(keys), "row_hash": row_hash(df, columns)}
+
+
+def incremental_versions(
+    staged: DataFrame, silver: DataFrame, keys: Sequence[str], *, derived: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Stored staged rows with ``change_type``, compared with the current versions of their own keys.
 
     The history is cut down by the first business key column: its range skips row groups, its
     values leave only histories that are needed. Further key columns only make that set larger
-    than necessary, never smaller.
+    than necessary, never smaller. ``derived`` are the hashes, where those of both frames follow from
+    the other columns (``version_hashes``): then both are dealt by the text of the key, once, and hashed after that.
     """
-    current = current_versions(restrict_to_stored(silver, staged, keys[0]), active=None)
-    return classify(staged, current, detect_deletes=False)
+    if not derived:
+        current = current_versions(restrict_to_stored(silver, staged, keys[0]), active=None)
+        return classify(staged, current, detect_deletes=False)
+    text = hash_text(keys)
+    held = near_stored(silver, staged, keys[0]).select(text.alias("_text"), "row_hash", "audit_ts")
+    current = current_versions(restrict_to(held, staged.select(text.alias("_text")), "_text"), ["_text"], active=None)
+    return classify(staged, current, detect_deletes=False, key="_text", derived={**derived, "_text": text})
 
 
 def snapshot_versions(staged: DataFrame, silver: DataFrame) -> DataFrame:
@@ -145,10 +163,12 @@ def _add_versions(layers: Layers, config: ObjectConfig, bronze: DataFrame, now:
         if register.counted or not silver.exists(side):
             _store_current(layers, side, current_versions(silver.read(name).select(*narrow), active=None), register.rows, config)
         # Used twice: to cut the side table down to its keys and to be compared with it.
-        staged = stage(staged, name)
+        hashes = version_hashes(staged, config.keys, config.columns)
+        staged = stage(staged, name, derived=hashes)
         known = current_versions(near_stored(silver.read(side), staged, config.keys[0]), active=None)
-        versions, seen = observed(classify(staged, known, detect_deletes=False), count_by("change_type", NEW, CHANGED, SAME))
-        changes = stage(versions.filter(F.col("change_type") != SAME).drop("change_type"), name)
+        versions = classify(staged, known, detect_deletes=False, derived=hashes)
+        versions, seen = observed(versions, count_by("change_type", NEW, CHANGED, SAME))
+        changes = stage(versions.filter(F.col("change_type") != SAME).drop("change_type"), name, derived=hashes)
         added = seen.get[NEW] + seen.get[CHANGED]
         if added:
             silver.append(changes, name, evolve=True)

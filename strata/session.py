@@ -7,13 +7,14 @@ import re
 import shutil
 import tempfile
 import threading
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.errors import ConfigError
 
@@ -28,6 +29,10 @@ SQL_SETTINGS = {
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Partial fact rewrites replace only the partitions they write.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Hashes are most of a stored row; their hex digits take half the bytes this way.
+    "spark.sql.parquet.compression.codec": "zstd",
+    # Shuffle files go with the write or action that made them, not when the driver happens to collect garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 _own_scratch: dict[str, str] = {}
@@ -91,13 +96,13 @@ def _try_out(spark: SparkSession, folder: str) -> None:
         found = spark.read.schema("id long").parquet(path).count()
     except (PySparkException, Py4JJavaError) as failed:
         found, cause = 0, failed
-    _remove(spark, path)
+    remove(spark, path)
     if found != tasks:
         raise ConfigError(f"executors and driver don't share {folder}: set spark.checkpoint.dir to a folder that they do") from cause
     _tried_out.add(tried)
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -108,29 +113,51 @@ def _scheme(spark: SparkSession, folder: str) -> str:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
 
 
-def stage(df: DataFrame, label: str, session: SparkSession | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str, session: SparkSession | None = None, *, derived: Mapping[str, Column] | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back: lineage ends, later passes prune columns.
 
     The files outlive lost executors. Inside ``scratch_scope`` they are removed at its end. ``session`` reads
-    them back, where ``df`` belongs to another one, as the batches of a stream do.
+    them back, where ``df`` belongs to another one, as the batches of a stream do. Columns that are ``derived``
+    from the others, such as hashes, are not written but computed again when they are read.
     """
     spark = session or df.sparkSession
     path = f"{scratch_folder(spark)}/{label}-{uuid4().hex}"
-    df.write.parquet(path)
+    written = df.drop(*derived) if derived else df
+    written.write.parquet(path)
     for paths in _open_scopes()[-1:]:
         paths.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(written.schema).parquet(path)
+    return with_derived(stored, df.columns, derived) if derived else stored
+
+
+def with_derived(df: DataFrame, columns: Sequence[str], derived: Mapping[str, Column]) -> DataFrame:
+    """The columns in their order, with the derived ones computed from those that ``df`` has."""
+    return df.select(*[derived[c].alias(c) if c in derived else F.col(f"`{c}`") for c in columns])
 
 
 @contextmanager
-def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Remove what ``stage`` wrote inside the block once its results are in a table."""
-    _open_scopes().append([])
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """Remove what ``stage`` wrote inside the block once its results are in a table.
+
+    The block gets a function like ``stage`` for results that outlive it, up to the end of the scope around it.
+    """
+    own: list[str] = []
+    results: list[str] = []
+
+    def keep(df: DataFrame, label: str, **options) -> DataFrame:
+        staged = stage(df, label, **options)
+        results.append(own.pop())
+        return staged
+
+    _open_scopes().append(own)
     try:
-        yield
+        yield keep
     finally:
-        for path in _open_scopes().pop():
-            _remove(spark, path)
+        _open_scopes().pop()
+        for paths in _open_scopes()[-1:]:
+            paths += results
+        for path in own:
+            remove(spark, path)
 
 
 def _open_scopes() -> list[list[str]]:

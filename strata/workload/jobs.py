@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from strata.operators import align_to
 from strata.plans import Layers, ingest_all, load_silver, run_all, stream_silver
 from strata.schemas import DIMENSIONS, FACT_SALES, ORDER_LINES, SOURCES, Source
-from strata.session import scratch_folder, stage
+from strata.session import remove, scratch_folder, stage
 from strata.workload.dimensions import CUSTOMER_DIM_SQL, STOCK_DIM_SQL, T0, T1
 from strata.workload.facts import FACT_SKEY_SQL, base_sql, versions_sql
 from strata.workload.inputs import (
@@ -60,6 +60,12 @@ def _layers(spark: SparkSession) -> Layers:
     return Layers(spark, f"{scratch_folder(spark)}/layers-{run}", f"run_{run}").set_up()
 
 
+def _drop(layers: Layers) -> None:
+    """All tables and the raw files."""
+    layers.drop()
+    remove(layers.spark, layers.root)
+
+
 @query(
     "ingest_all",
     f"""SELECT 'Sales_Orders' AS source_object, 'WWI' AS source_id, count(*) AS n,
@@ -85,7 +91,7 @@ def ingested_increments(spark: SparkSession, folder: str) -> DataFrame:
         counts = counts.withColumn("source_object", F.lit(config.source_object))
         result = counts if result is None else result.unionByName(counts)
     result = stage(result, "ingested")
-    layers.drop()
+    _drop(layers)
     return result
 
 
@@ -109,7 +115,7 @@ def streamed_versions(spark: SparkSession, folder: str) -> DataFrame:
         "OrderLineID", "OrderID", "StockItemID", "Description", "Quantity", "UnitPrice", "hash_key", "row_hash", "audit_ts",
     )
     result = stage(layers.silver.read(_LINES).select(*columns), "streamed")
-    layers.drop()
+    _drop(layers)
     return result
 
 
@@ -132,7 +138,7 @@ def metrics_of_two_loads(spark: SparkSession, folder: str) -> DataFrame:
         (copied,) = ingest_all(layers, reader(spark, folder, period), when, source_object=_LINES)
         for step, result in (("ingest", copied), ("clean", load_silver(layers, _LINES, when))):
             rows += [(load, step, metric, n) for metric, n in result.counts.items()]
-    layers.drop()
+    _drop(layers)
     return spark.createDataFrame(rows, "load int, step string, metric string, n long")
 
 
@@ -208,5 +214,5 @@ def two_runs(spark: SparkSession, folder: str) -> DataFrame:
         ),
         "run_all",
     )
-    layers.drop()
+    _drop(layers)
     return result

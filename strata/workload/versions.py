@@ -24,7 +24,7 @@ from strata.operators import (
     with_hash_key,
 )
 from strata.operators.changes import SAME
-from strata.plans.silver import incremental_versions, snapshot_next, snapshot_versions, stage_rows
+from strata.plans.silver import incremental_versions, snapshot_next, snapshot_versions, stage_rows, version_hashes
 from strata.schemas import ORDERS
 from strata.session import stage
 from strata.workload.inputs import (
@@ -243,9 +243,11 @@ def _two_loads(source: DataFrame, key: str, columns: list[str], unwanted: tuple[
         return stage_rows(raw, [key], columns, when, unwanted=unwanted, watermark_column="LastEditedWhen")
 
     edited = F.col("LastEditedWhen")
-    first = stage(staged(source.filter(edited < F.lit(CUT)), FIRST_LOAD), key)
-    second = stage(staged(source.filter(edited >= F.lit(CUT)), SECOND_LOAD), key)
-    changes = incremental_versions(second, first, [key])
+    rows = staged(source.filter(edited < F.lit(CUT)), FIRST_LOAD)
+    hashes = version_hashes(rows, [key], columns)
+    first = stage(rows, key, derived=hashes)
+    second = stage(staged(source.filter(edited >= F.lit(CUT)), SECOND_LOAD), key, derived=hashes)
+    changes = incremental_versions(second, first, [key], derived=hashes)
     return first.unionByName(changes.filter(F.col("change_type") != SAME).select(*first.columns))
 
 
