@@ -19,7 +19,7 @@ from strata.operators.latest import (
     latest_snapshot,
     latest_snapshot_at,
 )
-from strata.operators.lookup import enrich, lookup_skey
+from strata.operators.lookup import enrich, lookup_skey, lookup_skeys
 from strata.operators.merge import assert_unique, merge_delete, merge_update, soft_delete
 from strata.operators.scd import (
     classify_members,

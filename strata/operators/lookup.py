@@ -8,13 +8,13 @@ lookup side comes straight from a shuffle, so an aggregated one is stored first.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.shape import require_columns
-from strata.session import stage
+from strata.session import scratch_scope, stage
 
 UNKNOWN_TEXT = "UNKNOWN"
 UNKNOWN_SKEY = -1
@@ -47,3 +47,17 @@ def lookup_skey(df: DataFrame, dim: DataFrame, source_key: str, dim_key: str, sk
     """
     active = dim.filter(F.col("scd_active") == 1).groupBy(dim_key).agg(F.min(skey).alias(skey))
     return enrich(df, stage(active, "active_members"), {source_key: dim_key}, {skey: UNKNOWN_SKEY})
+
+
+def lookup_skeys(df: DataFrame, lookups: Sequence[tuple[DataFrame, str, str, str]]) -> DataFrame:
+    """``lookup_skey`` for several dimensions, given by its other arguments.
+
+    Each result but the last is stored and the one before it removed: one shuffle of the rows is on disk at a time.
+    """
+    if not lookups:
+        return df
+    *before, (dim, source_key, dim_key, skey) = lookups
+    if before:
+        with scratch_scope(df.sparkSession) as keep:
+            df = keep(lookup_skeys(df, before), "keyed")
+    return lookup_skey(df, dim, source_key, dim_key, skey)

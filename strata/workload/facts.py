@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import add_surrogate_key, changed_facts, lookup_skey, replace_by_key, staged_facts
-from strata.operators.facts import FACT_SKEY, ROW_HASH_COLUMNS
+from strata.operators import add_surrogate_key, changed_facts, lookup_skeys, replace_by_key, staged_facts
+from strata.operators.facts import FACT_SKEY, ROW_HASH_COLUMNS, fact_hashes
+from strata.plans.silver import version_hashes
 from strata.schemas import DIM_CUSTOMER, DIM_PEOPLE, DIM_STOCK_ITEMS, Dimension
-from strata.session import stage
+from strata.session import scratch_scope, stage
 from strata.workload.dimensions import customer_dimension, people_dimension, stock_dimension
 from strata.workload.inputs import (
     EARLY,
     FIRST_LOAD,
+    LINE_COLUMNS,
+    ORDER_COLUMNS,
     SECOND_LOAD,
     customers_sql,
     load_time,
@@ -62,13 +67,24 @@ _BASE_OUT_SQL = f"""OrderLineID, OrderID, StockItemID, CustomerID, SalespersonPe
 
 
 def _versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The two cleaned tables, stored."""
-    return stage(line_versions(spark, folder), "lines"), stage(order_versions(spark, folder), "orders")
+    """The two cleaned tables, stored; what they are made from goes."""
+    stored = []
+    for versions, key, columns in ((line_versions, "OrderLineID", LINE_COLUMNS), (order_versions, "OrderID", ORDER_COLUMNS)):
+        with scratch_scope(spark) as keep:
+            rows = versions(spark, folder)
+            stored.append(keep(rows, key, derived=version_hashes(rows, [key], columns)))
+    return tuple(stored)
+
+
+def _base(spark: SparkSession, folder: str, since: datetime | None, **options) -> DataFrame:
+    """Base rows, stored without what leads to them."""
+    with scratch_scope(spark) as keep:
+        return keep(changed_facts(*_versions(spark, folder), since, **options), "base")
 
 
 @query("fact_base", f"WITH {VERSIONS_SQL}, {base_sql('base')} SELECT {_BASE_OUT_SQL} FROM base")
 def whole_base(spark: SparkSession, folder: str) -> DataFrame:
-    return changed_facts(*_versions(spark, folder), None).select(*_BASE_OUT)
+    return _base(spark, folder, None).select(*_BASE_OUT)
 
 
 @query(
@@ -77,7 +93,7 @@ def whole_base(spark: SparkSession, folder: str) -> DataFrame:
     SELECT {_BASE_OUT_SQL} FROM base""",
 )
 def base_of_either_change(spark: SparkSession, folder: str) -> DataFrame:
-    return changed_facts(*_versions(spark, folder), FIRST_LOAD, mode="either").select(*_BASE_OUT)
+    return _base(spark, folder, FIRST_LOAD, mode="either").select(*_BASE_OUT)
 
 
 @query(
@@ -86,7 +102,7 @@ def base_of_either_change(spark: SparkSession, folder: str) -> DataFrame:
     SELECT {_BASE_OUT_SQL} FROM base""",
 )
 def base_of_both_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return changed_facts(*_versions(spark, folder), FIRST_LOAD, mode="both").select(*_BASE_OUT)
+    return _base(spark, folder, FIRST_LOAD, mode="both").select(*_BASE_OUT)
 
 
 def _dimensions(spark: SparkSession, folder: str) -> dict[Dimension, DataFrame]:
@@ -99,8 +115,7 @@ def _dimensions(spark: SparkSession, folder: str) -> dict[Dimension, DataFrame]:
 
 
 def _with_keys(base: DataFrame, dims: dict[Dimension, DataFrame]) -> DataFrame:
-    for spec, dim in dims.items():
-        base = lookup_skey(base, dim, spec.fact_key, spec.key, spec.skey)
+    base = lookup_skeys(base, [(dim, spec.fact_key, spec.key, spec.skey) for spec, dim in dims.items()])
     return base.withColumn("updated_audit_ts", load_time(SECOND_LOAD))
 
 
@@ -129,7 +144,7 @@ _LOOKUP_SQL = f"""{customers_sql(EARLY)}, {_ranked_sql("customers", "CustomerID"
     FROM facts""",
 )
 def facts_with_keys(spark: SparkSession, folder: str) -> DataFrame:
-    base = changed_facts(*_versions(spark, folder), None)
+    base = _base(spark, folder, None)
     return staged_facts(_with_keys(base, _dimensions(spark, folder))).select(
         "OrderLineID", "CustomerID", "StockItemID", "SalespersonPersonID", "customer_skey", "stockitem_skey",
         "person_skey", "sales_amount_gross", "hash_key", "row_hash",
@@ -154,13 +169,25 @@ FACT_SKEY_SQL = f"""first_facts AS (
 )
 def loaded_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Two fact loads: the second replaces rows whose line or order changed."""
-    lines, orders = _versions(spark, folder)
-    first_time = F.col("audit_ts") == load_time(FIRST_LOAD)
-    dims = {spec: stage(dim, spec.name) for spec, dim in _dimensions(spark, folder).items()}
-    before = _with_keys(changed_facts(lines.filter(first_time), orders.filter(first_time), None), dims)
-    fact = add_surrogate_key(stage(staged_facts(before), "first_facts"), FACT_SKEY, ["OrderLineID", "hash_key"])
-    changed = stage(staged_facts(_with_keys(changed_facts(lines, orders, FIRST_LOAD), dims)), "changed_facts")
-    return replace_by_key(fact, changed).select(
+    with scratch_scope(spark) as keep:
+        lines, orders = _versions(spark, folder)
+        first_time = F.col("audit_ts") == load_time(FIRST_LOAD)
+        dims = {spec: stage(dim, spec.name) for spec, dim in _dimensions(spark, folder).items()}
+
+        def keyed(lines: DataFrame, orders: DataFrame, since: datetime | None) -> DataFrame:
+            with scratch_scope(spark) as keep_base:
+                base = keep_base(changed_facts(lines, orders, since), "base")
+            return staged_facts(_with_keys(base, dims))
+
+        with scratch_scope(spark) as keep_first:
+            first = keep_first(keyed(lines.filter(first_time), orders.filter(first_time), None), "first", derived=fact_hashes())
+        with scratch_scope(spark) as keep_changed:
+            changed = keep_changed(keyed(lines, orders, FIRST_LOAD), "changed", derived=fact_hashes())
+        first, changed = keep(first, "first_facts", derived=fact_hashes()), keep(changed, "changed_facts", derived=fact_hashes())
+    with scratch_scope(spark) as keep:
+        numbered = add_surrogate_key(first, FACT_SKEY, ["OrderLineID", "hash_key"], derived=fact_hashes())
+        fact = keep(numbered, "facts", derived=fact_hashes())
+    return replace_by_key(fact, changed, derived=fact_hashes(), derived_held=fact_hashes()).select(
         "fact_sales_skey", "hash_key", "row_hash", "OrderLineID", "OrderID", "customer_skey", "stockitem_skey",
         "person_skey", "OrderDate", "Quantity", "sales_amount_net", "tax_amount", "sales_amount_gross", "audit_ts",
         "fact_effective_ts",
