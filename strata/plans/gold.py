@@ -18,7 +18,7 @@ from strata.operators import (
     current_versions,
     dimension_schema,
     enrich,
-    lookup_skey,
+    lookup_skeys,
     missing_members,
     new_members,
     placeholder_rows,
@@ -36,7 +36,7 @@ from strata.operators import (
 )
 from strata.operators.calendar import FIRST_DAY, LAST_DAY
 from strata.operators.changes import CHANGED, NEW, SAME
-from strata.operators.facts import FACT_KEYS, FACT_SKEY
+from strata.operators.facts import FACT_KEYS, FACT_SKEY, fact_hashes
 from strata.operators.lookup import UNKNOWN_TEXT
 from strata.operators.scd import FILL, SCD1_TECHNICAL, SCD2_TECHNICAL
 from strata.plans.layers import LOADED, NO_NEW_DATA, LoadResult, Layers, count_by, observed, side_by_side, timed
@@ -148,31 +148,32 @@ def load_fact(layers: Layers, now: datetime, *, mode: str = "either", keep_skeys
     if not any(marks):
         return LoadResult(FACT_SALES, NO_NEW_DATA, watermark=since)
     reached = max(mark for mark in marks if mark)
+    # Of what each step stores, only its result outlives it.
     with scratch_scope(layers.spark):
         load_time = F.lit(now).cast("timestamp")
-        base = stage(changed_facts(lines, orders, since, mode=mode, now=load_time), "fact_base")
-        inferred = side_by_side(lambda dim: load_inferred(layers, dim, base, now), DIMENSIONS)
-        counts = {f"inferred {result.table}": result.counts["inferred"] for result in inferred}
-        keyed = base
-        for dim in DIMENSIONS:
-            keyed = lookup_skey(keyed, layers.gold.read(dim.name), dim.fact_key, dim.key, dim.skey)
-        counts.update(_write_facts(layers, keyed, keep_skeys))
+        with scratch_scope(layers.spark) as keep_facts:
+            with scratch_scope(layers.spark) as keep:
+                base = keep(changed_facts(lines, orders, since, mode=mode, now=load_time), "fact_base")
+            inferred = side_by_side(lambda dim: load_inferred(layers, dim, base, now), DIMENSIONS)
+            counts = {f"inferred {result.table}": result.counts["inferred"] for result in inferred}
+            dims = [(layers.gold.read(dim.name), dim.fact_key, dim.key, dim.skey) for dim in DIMENSIONS]
+            facts = _with_month(staged_facts(lookup_skeys(base, dims)))
+            facts, seen = observed(facts, {"staged": F.count(F.lit(1))})
+            facts = keep_facts(facts, "fact_staged", derived=fact_hashes())
+        counts.update(_write_facts(layers, facts, seen.get["staged"], keep_skeys))
     layers.advance("gold", FACT_SALES, reached, now, since)
     return LoadResult(FACT_SALES, LOADED, counts, reached)
 
 
-def _write_facts(layers: Layers, base: DataFrame, keep_skeys: bool) -> dict[str, int]:
-    gold = layers.gold
-    staged, seen = observed(_with_month(staged_facts(base)), {"staged": F.count(F.lit(1))})
-    staged = stage(staged, "fact_staged")
-    count, replaced = seen.get["staged"], 0
+def _write_facts(layers: Layers, staged: DataFrame, count: int, keep_skeys: bool) -> dict[str, int]:
+    gold, replaced = layers.gold, 0
     with gold.registered(FACT_SALES, FACT_SKEY) as register:
         if gold.exists(FACT_SALES):
             replaced = _replace_facts(layers, staged, count, register, keep_skeys)
         else:
             months = max(1, staged.select(FACT_PARTITION).distinct().count())
             buckets = layers.buckets(count // months, layers.fact_buckets)
-            facts = add_surrogate_key(staged, FACT_SKEY, _FACT_ORDER)
+            facts = add_surrogate_key(staged, FACT_SKEY, _FACT_ORDER, derived=fact_hashes())
             gold.create(facts, FACT_SALES, [FACT_PARTITION], buckets=buckets, indexed=FACT_KEYS)
             register.high = count
         register.rows += count - replaced
@@ -203,7 +204,8 @@ def _replace_facts(layers: Layers, staged: DataFrame, count: int, register: Regi
         # Numbering goes on from the rows that stay, which are read only if the largest key is not among them.
         gone = restrict_to_stored(in_scope.select(key, FACT_SKEY), staged, key).agg(F.max(FACT_SKEY)).first()[0]
         numbered = fact if gone == register.high else numbered
-    rows = replace_by_key(in_scope, staged, keep_skeys=keep_skeys, order=_FACT_ORDER, numbered=numbered)
+    options = {"keep_skeys": keep_skeys, "order": _FACT_ORDER, "numbered": numbered, "derived": fact_hashes()}
+    rows = replace_by_key(in_scope, staged, **options)
     rows, written = observed(rows, {"high": F.max(FACT_SKEY)})
     gold.replace_partitions(rows, FACT_SALES, FACT_PLACES, touched, evolve=True)
     high = written.get["high"]

@@ -24,8 +24,10 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from strata.errors import MissingTable, UnknownColumns
+from strata.functions import packed, unpacked
 from strata.operators.shape import align_to, wider_types, with_types
 
 _SIDES = ("a", "b")
@@ -162,7 +164,7 @@ class Tables:
         written = Observation()
         # At most one value per touched partition.
         rows = df.observe(written, F.collect_set(F.struct(*names)).alias("places"))
-        rows = align_to(rows, self.spark.table(stored).schema).hint("rebalance", *names)
+        rows = _dealt(align_to(rows, self.spark.table(stored).schema), names)
         rows.write.mode("overwrite").insertInto(stored)
         empty = places - {tuple(place) for place in written.get["places"]}
         specs = [", ".join(f"{name}={value!r}" for name, value in zip(names, place, strict=True)) for place in sorted(empty)]
@@ -228,7 +230,7 @@ class Tables:
         writer = df.write
         if layout.partitions:
             # Few files per partition value, and a value with many rows still spreads over tasks.
-            writer = df.hint("rebalance", *layout.partitions).write.partitionBy(*layout.partitions)
+            writer = _dealt(df, layout.partitions).write.partitionBy(*layout.partitions)
         if layout.buckets and not layout.partition_by:
             key, number = layout.buckets
             writer = writer.bucketBy(number, key)
@@ -278,6 +280,13 @@ class Tables:
         return f"{self.name(table)}__{self._side(table)}"
 
 
+def _dealt(df: DataFrame, places: Sequence[str]) -> DataFrame:
+    """Rows dealt to tasks by their partition; the hashes go there as bytes."""
+    hashes = [f.name for f in df.schema if f.name in ("hash_key", "row_hash") and isinstance(f.dataType, StringType)]
+    dealt = df.withColumns({c: packed(c) for c in hashes}).hint("rebalance", *places)
+    return dealt.withColumns({c: unpacked(c) for c in hashes})
+
+
 def bucket_of(buckets: tuple[str, int]) -> Column:
     """The bucket of a row, the same that Spark gives it in a table bucketed by the key."""
     key, number = buckets
