@@ -72,6 +72,7 @@ def shuffled_bytes(spark, action):
 
 # Bytes a line that may be left in the scratch folder, and that the largest shuffle may write.
 LIMITS = {
+    "fact_changed_both": (10, 60),
     "fact_base": (40, 80),
     "fact_changed_either": (30, 60),
     "run_all": (40, 170),
