@@ -10,6 +10,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from strata.operators import align_to
 from strata.plans import Layers, ingest_all, load_silver, run_all, stream_silver
+from strata.plans.silver import version_hashes
 from strata.schemas import DIMENSIONS, FACT_SALES, ORDER_LINES, SOURCES, Source
 from strata.session import remove, scratch_folder, stage
 from strata.workload.dimensions import CUSTOMER_DIM_SQL, STOCK_DIM_SQL, T0, T1
@@ -114,7 +115,8 @@ def streamed_versions(spark: SparkSession, folder: str) -> DataFrame:
     columns = (
         "OrderLineID", "OrderID", "StockItemID", "Description", "Quantity", "UnitPrice", "hash_key", "row_hash", "audit_ts",
     )
-    result = stage(layers.silver.read(_LINES).select(*columns), "streamed")
+    rows, config = layers.silver.read(_LINES), layers.config("Silver", _LINES)[_LINES]
+    result = stage(rows, "streamed", derived=version_hashes(rows, config.keys, config.columns)).select(*columns)
     _drop(layers)
     return result
 
