@@ -72,6 +72,7 @@ def shuffled_bytes(spark, action):
 
 # Bytes a line that may be left in the scratch folder, and that the largest shuffle may write.
 LIMITS = {
+    "load_metrics": (5, 60),
     "silver_stream": (40, 60),
     "fact_lookup": (90, 80),
     "fact_changed_both": (10, 60),
